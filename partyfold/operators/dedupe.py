@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import ident
+
 ORD = "_ord"
 _N, _SOLO, _FIRST = "_grp_n", "_solo", "_ord_first"
 
@@ -39,21 +41,22 @@ def filled(*cols) -> Column:
 
 
 def with_initial_order(df: DataFrame, seq: str = "seq") -> DataFrame:
-    return df.withColumn(ORD, F.struct(F.lit(0).alias("t"), F.lit("").alias("a"),
-                                       F.lit("").alias("b"), F.col(seq).cast("bigint").alias("s")))
+    return df.withColumn(ORD, F.expr(f"named_struct('t', 0, 'a', '', 'b', '', 's', CAST({ident(seq)} AS BIGINT))"))
 
 
 def dedupe_pass(df: DataFrame, k1: str, k2: str, pass_no: int, seq: str = "seq") -> DataFrame:
     carried = [c for c in df.columns if c not in (k1, k2, ORD)]
-    solo = F.when(filled(k1, k2), F.lit(None).cast("bigint")).otherwise(F.col(seq).cast("bigint"))
-    aggs = [F.count(F.lit(1)).alias(_N), F.min(ORD).alias(_FIRST)]
+    a, b, o = ident(k1), ident(k2), ident(ORD)
+    solo = F.expr(f"CASE WHEN {a} IS NOT NULL AND {a} <> '' AND {b} IS NOT NULL AND {b} <> '' "
+                  f"THEN CAST(NULL AS BIGINT) ELSE CAST({ident(seq)} AS BIGINT) END").alias(_SOLO)
+    aggs = [F.expr(f"count(1) AS {_N}"), F.expr(f"min({o}) AS {_FIRST}")]
     # First non-null in the current order ("" is a value, not a gap)
-    aggs += [F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ORD))).alias(c) for c in carried]
-    grouped = df.groupBy(F.col(k1), F.col(k2), solo.alias(_SOLO)).agg(*aggs)
-    merged_ord = F.struct(F.lit(-pass_no).alias("t"), F.col(k1).alias("a"), F.col(k2).alias("b"),
-                          F.lit(0).cast("bigint").alias("s"))
-    new_ord = F.when(F.col(_N) > 1, merged_ord).otherwise(F.col(_FIRST)).alias(ORD)
-    return grouped.select(*[F.col(c) for c in df.columns if c != ORD], new_ord)
+    aggs += [F.expr(f"min_by({ident(c)}, CASE WHEN {ident(c)} IS NOT NULL THEN {o} END) AS {ident(c)}")
+             for c in carried]
+    grouped = df.groupBy(F.col(k1), F.col(k2), solo).agg(*aggs)
+    new_ord = F.expr(f"CASE WHEN {_N} > 1 THEN named_struct('t', {-pass_no}, 'a', {a}, 'b', {b}, "
+                     f"'s', CAST(0 AS BIGINT)) ELSE {_FIRST} END AS {o}")
+    return grouped.select(*[ident(c) for c in df.columns if c != ORD], new_ord)
 
 
 def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True) -> DataFrame:

@@ -37,7 +37,7 @@ def _trimmed(instr: DataFrame) -> DataFrame:
 
 
 def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
-    """(column, code, problem) for every bad code; empty means "go".
+    """(field, code, problem) for every bad code; empty means "go".
 
     problem: ``unknown_code`` (not in the master; both columns), and, beyond
     the original check, ``self_merge`` (survivor = absorbed), ``chain`` (an
@@ -47,16 +47,16 @@ def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
     out = []
     for col in ("survivor", "absorbed"):
         bad = (ins.select(F.col(col).alias("code")).join(codes, "code", "left_anti")
-               .select(F.lit(col).alias("column"), "code", F.lit("unknown_code").alias("problem")))
+               .select(F.lit(col).alias("field"), "code", F.lit("unknown_code").alias("problem")))
         out.append(bad)
     out.append(ins.filter(F.col("survivor") == F.col("absorbed"))
-               .select(F.lit("survivor").alias("column"), F.col("survivor").alias("code"),
+               .select(F.lit("survivor").alias("field"), F.col("survivor").alias("code"),
                        F.lit("self_merge").alias("problem")))
     survivors = ins.select(F.col("survivor").alias("code")).filter(F.col("code").isNotNull())
     out.append(ins.select(F.col("absorbed").alias("code")).join(survivors.distinct(), "code", "left_semi")
-               .select(F.lit("absorbed").alias("column"), "code", F.lit("chain").alias("problem")))
+               .select(F.lit("absorbed").alias("field"), "code", F.lit("chain").alias("problem")))
     out.append(survivors.groupBy("code").count().filter(F.col("count") > 1)
-               .select(F.lit("survivor").alias("column"), "code", F.lit("repeated_survivor").alias("problem")))
+               .select(F.lit("survivor").alias("field"), "code", F.lit("repeated_survivor").alias("problem")))
     result = out[0]
     for o in out[1:]:
         result = result.unionByName(o)
@@ -67,8 +67,8 @@ def valid_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
     """Trimmed instruction rows that none of the E13 problems touches."""
     ins = _trimmed(instr)
     bad = check_instructions(instr, m_company)
-    bad_s = bad.filter(F.col("column") == "survivor").select(F.col("code").alias("survivor"))
-    bad_a = bad.filter(F.col("column") == "absorbed").select(F.col("code").alias("absorbed"))
+    bad_s = bad.filter(F.col("field") == "survivor").select(F.col("code").alias("survivor"))
+    bad_a = bad.filter(F.col("field") == "absorbed").select(F.col("code").alias("absorbed"))
     return (ins.filter(F.col("survivor").isNotNull() & F.col("absorbed").isNotNull())
             .join(bad_s, "survivor", "left_anti").join(bad_a, "absorbed", "left_anti"))
 

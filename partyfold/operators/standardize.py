@@ -60,7 +60,7 @@ def standardize_crm(df: DataFrame, conf: Conf) -> DataFrame:
         tx.person_name("name").alias("normalized_personal_name"),
         tx.person_kana("name_kana").alias("normalized_personal_name_kana"),
         tx.company_name("company_name", conf).alias("normalized_company_name"),
-        tx.address(F.concat(F.col("prefecture"), F.col("address")), conf).alias("normalized_full_address"),
+        tx.address(tx.concat_strict("prefecture", "address"), conf).alias("normalized_full_address"),
         tx.department("department", conf).alias("normalized_department"),
         _job("job_post", conf))
     return stage.select(

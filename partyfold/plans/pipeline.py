@@ -37,6 +37,12 @@ def standardized(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
     return standardize(feed, clean(feed, work, conf), conf)
 
 
+def snapshot(df: DataFrame) -> DataFrame:
+    """Cut lineage: reliable checkpoint into the session's checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _layout(df: DataFrame, layout) -> DataFrame:
     return df.select(*layout)
 
@@ -58,13 +64,14 @@ def upsert_company(feed: str, std: DataFrame, m_company: DataFrame, conf: Conf,
     """E1 -> E3 -> E4 -> E5 -> E6 -> insert -> E8 -> E7."""
     combos = fixed.COMPANY_COMBINATIONS
     view = company_view(feed, std, conf, now)
-    deduped = dd.dedupe(view, combos)
+    # the de-duplicated batch feeds E3, E4, E5 and E6: materialise it once
+    deduped = snapshot(dd.dedupe(view, combos))
     matches = mt.match_master(deduped, m_company, combos, "company_code")
     ins, upd = mt.split_insert_update(deduped, matches, "company_code")
     ins = mt.mint_codes(ins, m_company, "company_code")
     key_cols = ["seq", "company_code"] + sorted({c for pair in combos for c in pair})
     coded = ins.select(*key_cols).unionByName(upd.select(*key_cols))
-    attached = mt.attach_codes(view, coded, combos, "company_code")
+    attached = snapshot(mt.attach_codes(view, coded, combos, "company_code"))
     updated = ms.merge_update(m_company, upd, "company_code", company_update_columns(feed),
                               or_columns=fixed.COMPANY_FLAGS)
     inserted = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(m_company.schema[c].dataType).alias(c)
@@ -87,7 +94,7 @@ def upsert_person(std_with_code: DataFrame, m_person: DataFrame, now: Column) ->
     """E1 -> E3 -> E4 -> E5 -> insert -> E7 (fixed eight-column update list)."""
     combos = fixed.PERSON_COMBINATIONS
     view = person_view(std_with_code, now)
-    deduped = dd.dedupe(view, combos)
+    deduped = snapshot(dd.dedupe(view, combos))
     matches = mt.match_master(deduped, m_person, combos, "person_id")
     ins, upd = mt.split_insert_update(deduped, matches, "person_id")
     ins = mt.mint_codes(ins, m_person, "person_id")
@@ -121,12 +128,6 @@ def feed_step(feed: str, std: DataFrame, m_company: DataFrame, m_person: DataFra
     return FeedResult(comp, pers, linked, pers.master)
 
 
-def snapshot(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's checkpoint folder."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
 def fold(std_by_feed: dict, m_company: DataFrame, m_person: DataFrame, conf: Conf,
          now: Column, feeds=FEED_ORDER) -> tuple[DataFrame, DataFrame]:
     """Apply the feeds in priority order (weakest first), so the

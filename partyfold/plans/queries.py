@@ -102,8 +102,8 @@ def q_person_view(feed):
 
 def q_prefecture_lookup(spark, d):
     std = _std(spark, d, "sales")
-    pref = tx.extract_prefecture("normalized_full_address")
-    return std.select("seq", pref.alias("prefecture_name"),
+    pref = tx.Sql(tx.s_extract_prefecture(tx.ident("normalized_full_address")))
+    return std.select("seq", pref.col().alias("prefecture_name"),
                       tx.prefecture_code(pref, conf()).alias("prefecture_code"))
 
 

@@ -86,7 +86,7 @@ def company_view(feed: str, std: DataFrame, conf: Conf, now: Column) -> DataFram
     if spec.raw_prefecture:
         pref = tx.prefecture_code("prefecture", conf)
     else:
-        pref = tx.prefecture_code(tx.extract_prefecture("normalized_full_address"), conf)
+        pref = tx.prefecture_code(tx.Sql(tx.s_extract_prefecture(tx.ident("normalized_full_address"))), conf)
     postal = F.col("normalized_postal_code") if "normalized_postal_code" in cols else F.col("postal_code")
     values = {
         "company_name": F.col("normalized_company_name"),
