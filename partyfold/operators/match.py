@@ -45,10 +45,10 @@ def split_insert_update(batch: DataFrame, matches: DataFrame, pk: str, row_id: s
     return joined.filter(F.col(pk).isNull()).drop(pk), joined.filter(F.col(pk).isNotNull())
 
 
-def next_code(master: DataFrame, pk: str) -> int:
-    """First free code: max existing code as a number + 1 (1 for an empty master)."""
-    value = master.agg(F.max(F.col(pk).cast("bigint"))).first()[0]
-    return 1 if value is None else int(value) + 1
+def next_code(master: DataFrame, pk: str) -> Column:
+    """First free code: max existing code as a number + 1 (1 for an empty master),
+    as a scalar subquery: it stays inside the plan, no separate driver job."""
+    return master.agg(F.coalesce(F.max(F.col(pk).try_cast("bigint")), F.lit(0)) + 1).scalar()
 
 
 def code_text(n: Column) -> Column:

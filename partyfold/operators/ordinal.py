@@ -7,8 +7,8 @@ one count per partition, so bounded by the partition count) plus its
 position inside the partition. The order key must be a total order.
 
 The range-partitioned rows are reliably checkpointed before they are counted
-and numbered, so both uses see the very same partitions even if an executor
-is lost and work is re-run.
+and numbered, so both uses read the very same partitions (one shuffle, one
+set of range bounds), and a lost executor cannot make them disagree.
 """
 
 from __future__ import annotations
@@ -32,8 +32,7 @@ def with_global_ordinal(df: DataFrame, order_by: list, out_col: str, start=1,
     """Add ``out_col`` = start + 0-based position of the row in ``order_by`` order.
 
     ``start`` is an int or a Column (e.g. max existing code + 1)."""
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
     tagged = (df.repartitionByRange(_partitions(df, num_partitions), *order)
               .sortWithinPartitions(*order)

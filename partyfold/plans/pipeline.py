@@ -38,7 +38,13 @@ def standardized(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
 
 
 def snapshot(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's checkpoint folder."""
+    """Cut lineage: reliable checkpoint into the session's checkpoint folder.
+
+    Used for results read several times (the de-duplicated batch, attached
+    codes) and for master states between feeds: later plans start from a
+    small leaf, and a lost executor never forces a re-run of earlier steps.
+    (``persist`` would keep the whole lineage in every later plan, and
+    matching it against the cache on every step grows with the plan.)"""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
