@@ -50,26 +50,31 @@ def _base(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     return df.withColumn("es", _s(F.col("e")))
 
 
-k, e, es = F.col("k"), F.col("e"), F.col("es")
+def _kes():
+    return F.col("k"), F.col("e"), F.col("es")
 
 
 def PREF() -> Column:
+    k, e, es = _kes()
     return (F.when(e % 4 == 0, "東京都").when(e % 4 == 1, "大阪府")
             .when(e % 4 == 2, "北海道").otherwise("神奈川県"))
 
 
 def STREET() -> Column:
+    k, e, es = _kes()
     return F.concat(F.lit("中央区"), _s(e % 9 + 1), F.lit("丁目"), _s(e % 20 + 1), F.lit("番地"),
                     _s(e % 30 + 1), F.lit("号"))
 
 
 def CNAME() -> Column:
+    k, e, es = _kes()
     return (F.when(k % 3 == 0, F.concat(F.lit("株式会社取引先"), es))
             .when(k % 3 == 1, F.concat(F.lit("（株）取引先"), F.translate(es, "0123456789", FW_DIGITS)))
             .otherwise(F.concat(F.lit("㈱ 取引先"), es)))
 
 
 def EMAIL() -> Column:
+    k, e, es = _kes()
     return (F.when(k % 37 == 0, F.lit("bad.example"))
             .when(k % 4 == 0, F.concat(F.lit("INFO@e"), es, F.lit(".example")))
             .when(k % 41 == 0, F.lit(None).cast("string"))
@@ -77,6 +82,7 @@ def EMAIL() -> Column:
 
 
 def PHONE() -> Column:
+    k, e, es = _kes()
     return (F.when(k % 31 == 0, F.lit("0312"))
             .when(k % 5 == 0, F.concat(F.lit("090-"), _pad(k % 10000, 4), F.lit("-0000")))
             .when(k % 43 == 0, F.lit(None).cast("string"))
@@ -84,24 +90,29 @@ def PHONE() -> Column:
 
 
 def POST() -> Column:
+    k, e, es = _kes()
     return F.concat(F.lit("〒"), _pad(e % 1000, 3), F.lit("-"), _pad(e % 10000, 4))
 
 
 def INVNO() -> Column:
+    k, e, es = _kes()
     return F.when(k % 23 == 0, F.lit("T12")).otherwise(F.concat(F.lit("T"), F.lpad(es, 13, "0")))
 
 
 def JOB() -> Column:
+    k, e, es = _kes()
     return (F.when(k % 6 == 0, "代表取締役").when(k % 6 == 1, "-")
             .when(k % 6 == 2, F.lit(None).cast("string")).otherwise("課長"))
 
 
 def _company_phone(suffix: str) -> Column:
+    k, e, es = _kes()
     return F.concat(F.lit("03-"), _pad(e % 10000, 4), F.lit(suffix))
 
 
 def feed_columns(feed: str) -> list[Column]:
     """The work columns of a derived feed (without seq)."""
+    k, e, es = _kes()
     if feed == "crm":
         return [
             CNAME().alias("company_name"), F.lit("営業部").alias("department"),
@@ -191,6 +202,7 @@ PERSON_TYPES = {"insert_datetime": "timestamp_ntz", "update_datetime": "timestam
 
 
 def seed_company_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, e, es = _kes()
     c = F.col("c_custkey")
     base = read_table(spark, sf_dir, "customer").filter(c % 6 == 0).select(c.alias("e"))
     df = base.select(
@@ -210,6 +222,7 @@ def seed_company_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def seed_person_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, e, es = _kes()
     c = F.col("c_custkey")
     base = read_table(spark, sf_dir, "customer").filter(c % 2 == 0).select(c.alias("k"))
     df = base.select(
