@@ -44,6 +44,7 @@ def main() -> None:
         df = queries[name](spark, sf_dir)
         df.write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        print(f"{name}: {times[name]}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "headline_total",

@@ -1,0 +1,20 @@
+"""Parallelism guard for CPU-heavy narrow stages.
+
+Text standardising and validation are per-row CPU work with no shuffle, so
+they run with the input's partitioning. A small input stored as one parquet
+row group is a single task; at cluster scale the input arrives in thousands
+of splits and this is a no-op.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only if ``df`` has fewer partitions than the
+    cluster's default parallelism (or ``min_partitions``)."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

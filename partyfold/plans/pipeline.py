@@ -17,6 +17,7 @@ from ..functions import fixed
 from ..operators import dedupe as dd
 from ..operators import master as ms
 from ..operators import match as mt
+from ..operators.parallel import spread
 from ..operators.standardize import standardize
 from ..operators.validate import clean_rows, error_records
 from ..session import ensure_checkpoint_dir
@@ -25,11 +26,11 @@ from .specs import FEEDS, FEED_ORDER, company_update_columns, company_view, pers
 
 
 def clean(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
-    return clean_rows(work, FEEDS[feed].checks, conf)
+    return clean_rows(spread(work), FEEDS[feed].checks, conf)
 
 
 def errors(feed: str, work: DataFrame, conf: Conf, now: Column, max_existing_seq: int = 0) -> DataFrame:
-    return error_records(work, FEEDS[feed].checks, conf, now, max_existing_seq)
+    return error_records(spread(work), FEEDS[feed].checks, conf, now, max_existing_seq)
 
 
 def standardized(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
@@ -77,7 +78,7 @@ def upsert_company(feed: str, std: DataFrame, m_company: DataFrame, conf: Conf,
     ins = mt.mint_codes(ins, m_company, "company_code")
     key_cols = ["seq", "company_code"] + sorted({c for pair in combos for c in pair})
     coded = ins.select(*key_cols).unionByName(upd.select(*key_cols))
-    attached = snapshot(mt.attach_codes(view, coded, combos, "company_code"))
+    attached = mt.attach_codes(view, coded, combos, "company_code")
     updated = ms.merge_update(m_company, upd, "company_code", company_update_columns(feed),
                               or_columns=fixed.COMPANY_FLAGS)
     inserted = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(m_company.schema[c].dataType).alias(c)
