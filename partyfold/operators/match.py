@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions.fixed import CODE_WIDTH
 from .dedupe import filled, order_columns
 from .ordinal import with_global_ordinal
+from .skew import salted_join
 
 _RANK, _PK = "_combo_rank", "_cand_pk"
 
@@ -73,7 +74,10 @@ def attach_codes(source: DataFrame, coded: DataFrame, combinations, pk: str,
     for rank, (k1, k2) in enumerate(combinations):
         keys = coded.filter(filled(k1, k2)).groupBy(k1, k2).agg(F.min(pk).alias(_PK))
         rows = source.filter(filled(k1, k2)).select(row_id, k1, k2)
-        cands.append(rows.join(keys, [k1, k2]).select(row_id, F.lit(rank).alias(_RANK), _PK))
+        # the source rows are the batch before de-duplication: one key pair can
+        # hold a large share of them, so the join is salted
+        joined = salted_join(rows, keys, [k1, k2], salt_from=[row_id])
+        cands.append(joined.select(row_id, F.lit(rank).alias(_RANK), _PK))
     cands.append(coded.select(row_id, F.lit(len(combinations)).alias(_RANK), F.col(pk).alias(_PK)))
     best = _union(cands).groupBy(row_id).agg(F.min_by(F.col(_PK), F.col(_RANK)).alias(pk))
     return source.select(row_id).join(best, row_id, "left")

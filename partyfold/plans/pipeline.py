@@ -22,7 +22,8 @@ from ..operators.standardize import standardize
 from ..operators.validate import clean_rows, error_records
 from ..session import ensure_checkpoint_dir
 from ..sources.conf import Conf
-from .specs import FEEDS, FEED_ORDER, company_update_columns, company_view, person_view
+from .specs import (COMPANY_VIEW_COLUMNS, FEEDS, FEED_ORDER, PERSON_VIEW_COLUMNS, company_update_columns,
+                    company_view_parts, person_view_parts, with_constants)
 
 
 def clean(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
@@ -70,10 +71,14 @@ def upsert_company(feed: str, std: DataFrame, m_company: DataFrame, conf: Conf,
                    now: Column) -> CompanyUpsert:
     """E1 -> E3 -> E4 -> E5 -> E6 -> insert -> E8 -> E7."""
     combos = fixed.COMPANY_COMBINATIONS
-    view = company_view(feed, std, conf, now)
+    var_view, constants = company_view_parts(feed, std, conf, now)
+    view = with_constants(var_view, constants, ("seq",) + COMPANY_VIEW_COLUMNS)
+    # E1 carries only the varying columns (constants are equal in every row);
     # the de-duplicated batch feeds E3, E4, E5 and E6: materialise it once
-    deduped = snapshot(dd.dedupe(view, combos))
-    matches = mt.match_master(deduped, m_company, combos, "company_code")
+    deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
+                                      ("seq",) + COMPANY_VIEW_COLUMNS))
+    # (seq, code) pairs from six joins, read by E4, E5, E6 and E7: keep them
+    matches = snapshot(mt.match_master(deduped, m_company, combos, "company_code"))
     ins, upd = mt.split_insert_update(deduped, matches, "company_code")
     ins = mt.mint_codes(ins, m_company, "company_code")
     key_cols = ["seq", "company_code"] + sorted({c for pair in combos for c in pair})
@@ -100,9 +105,11 @@ class PersonUpsert:
 def upsert_person(std_with_code: DataFrame, m_person: DataFrame, now: Column) -> PersonUpsert:
     """E1 -> E3 -> E4 -> E5 -> insert -> E7 (fixed eight-column update list)."""
     combos = fixed.PERSON_COMBINATIONS
-    view = person_view(std_with_code, now)
-    deduped = snapshot(dd.dedupe(view, combos))
-    matches = mt.match_master(deduped, m_person, combos, "person_id")
+    var_view, constants = person_view_parts(std_with_code, now)
+    view = with_constants(var_view, constants, ("seq",) + PERSON_VIEW_COLUMNS)
+    deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
+                                      ("seq",) + PERSON_VIEW_COLUMNS))
+    matches = snapshot(mt.match_master(deduped, m_person, combos, "person_id"))
     ins, upd = mt.split_insert_update(deduped, matches, "person_id")
     ins = mt.mint_codes(ins, m_person, "person_id")
     updated = ms.merge_update(m_person, upd, "person_id", fixed.PERSON_UPDATE_COLUMNS)
@@ -127,12 +134,16 @@ def feed_step(feed: str, std: DataFrame, m_company: DataFrame, m_person: DataFra
               conf: Conf, now: Column) -> FeedResult:
     """One feed against the masters: company upsert, then (if the feed carries
     persons) person upsert and the president link."""
+    # the standardised batch is read by E1, E6 and the person view: text work once
+    std = snapshot(std)
     comp = upsert_company(feed, std, m_company, conf, now)
     if not FEEDS[feed].has_person:
         return FeedResult(comp, None, comp.master, m_person)
     pers = upsert_person(with_company_code(std, comp.attached), m_person, now)
-    linked = ms.president_link(comp.master, pers.master, conf)
-    return FeedResult(comp, pers, linked, pers.master)
+    # the person master is read by the president link and is the next state
+    person_master = snapshot(pers.master)
+    linked = ms.president_link(comp.master, person_master, conf)
+    return FeedResult(comp, pers, linked, person_master)
 
 
 def fold(std_by_feed: dict, m_company: DataFrame, m_person: DataFrame, conf: Conf,
@@ -144,5 +155,6 @@ def fold(std_by_feed: dict, m_company: DataFrame, m_person: DataFrame, conf: Con
         if feed not in std_by_feed:
             continue
         res = feed_step(feed, std_by_feed[feed], m_company, m_person, conf, now)
-        m_company, m_person = snapshot(res.m_company), snapshot(res.m_person)
+        m_company = snapshot(res.m_company)
+        m_person = res.m_person if res.person is not None else m_person
     return m_company, m_person

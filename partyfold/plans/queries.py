@@ -23,7 +23,8 @@ from ..operators.standardize import normalized_only
 from ..sources import fixtures as fx
 from ..sources.conf import Conf
 from . import pipeline as pl
-from .specs import FEED_ORDER, PERSON_FEEDS, company_view
+from .specs import (COMPANY_VIEW_COLUMNS, FEED_ORDER, PERSON_FEEDS, company_view, company_view_parts,
+                    with_constants)
 
 FEEDS = FEED_ORDER
 
@@ -124,8 +125,9 @@ def q_standardize(feed):
 # ---- E: resolution and masters -------------------------------------------------
 def q_dedupe_company(feed):
     def run(spark, d):
-        view = company_view(feed, _std(spark, d, feed), conf(), now())
-        return dedupe(view, fixed.COMPANY_COMBINATIONS).drop(ORD)
+        var_view, constants = company_view_parts(feed, _std(spark, d, feed), conf(), now())
+        out = dedupe(var_view, fixed.COMPANY_COMBINATIONS).drop(ORD)
+        return with_constants(out, constants, ("seq",) + COMPANY_VIEW_COLUMNS)
     return run
 
 

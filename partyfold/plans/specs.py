@@ -79,8 +79,10 @@ COMPANY_VIEW_COLUMNS = tuple(c for c in fixed.M_COMPANY_COLUMNS
                              if c not in ("company_code", "president_person_id"))
 
 
-def company_view(feed: str, std: DataFrame, conf: Conf, now: Column) -> DataFrame:
-    """B5 + B7: standardised rows in the master layout, with seq."""
+def company_view_parts(feed: str, std: DataFrame, conf: Conf, now: Column):
+    """B5 + B7 split in two: (seq + the columns that vary per row, and the
+    columns that are constant for the feed: flags, run time, absent ones).
+    De-duplication only needs to carry the first part."""
     spec = FEEDS[feed]
     cols = set(std.columns)
     if spec.raw_prefecture:
@@ -88,34 +90,51 @@ def company_view(feed: str, std: DataFrame, conf: Conf, now: Column) -> DataFram
     else:
         pref = tx.prefecture_code(tx.Sql(tx.s_extract_prefecture(tx.ident("normalized_full_address"))), conf)
     postal = F.col("normalized_postal_code") if "normalized_postal_code" in cols else F.col("postal_code")
-    values = {
+    varying = {
         "company_name": F.col("normalized_company_name"),
         "postal_code": postal,
         "prefecture_code": pref,
         "full_address": F.col("normalized_full_address"),
         "main_phone_number": F.col("normalized_company_phone_number"),
         "main_email_address": F.col("normalized_company_email"),
-        "insert_datetime": now,
-        "update_datetime": now,
     }
-    for raw in ("employees_volume", "annual_revenue", "url", "industry", "invoice_company_number"):
+    for raw in ("employees_volume", "annual_revenue", "url", "industry", "invoice_company_number",
+                "contact_permission"):
         if raw in cols:
-            values[raw] = F.col(raw)
+            varying[raw] = F.col(raw)
     if "normalized_company_fax_number" in cols:
-        values["fax_number"] = F.col("normalized_company_fax_number")
-    values["contact_permission"] = (F.col("contact_permission") if "contact_permission" in cols
-                                    else F.lit(False))
+        varying["fax_number"] = F.col("normalized_company_fax_number")
+    constants = {"insert_datetime": now, "update_datetime": now}
+    if "contact_permission" not in varying:
+        constants["contact_permission"] = F.lit(False)
     for flag in ("customer_flag", "supplier_flag", "payment_flag"):
-        values[flag] = F.lit(spec.flag == flag)
-    return std.select("seq", *[values[c].alias(c) if c in values else _null(c)
-                               for c in COMPANY_VIEW_COLUMNS])
+        constants[flag] = F.lit(spec.flag == flag)
+    for c in COMPANY_VIEW_COLUMNS:
+        if c not in varying and c not in constants:
+            constants[c] = F.lit(None).cast(VIEW_TYPES.get(c, "string"))
+    var_df = std.select("seq", *[varying[c].alias(c) for c in COMPANY_VIEW_COLUMNS if c in varying])
+    return var_df, {c: constants[c] for c in COMPANY_VIEW_COLUMNS if c in constants}
+
+
+def with_constants(df: DataFrame, constants: dict, layout) -> DataFrame:
+    """Add constant columns back and restore the layout (extra columns kept at the end)."""
+    present = set(df.columns)
+    out = [F.col(c) if c in present else constants[c].alias(c) for c in layout]
+    extra = [c for c in df.columns if c not in layout]
+    return df.select(*out, *extra)
+
+
+def company_view(feed: str, std: DataFrame, conf: Conf, now: Column) -> DataFrame:
+    """B5 + B7: standardised rows in the master layout, with seq."""
+    var_df, constants = company_view_parts(feed, std, conf, now)
+    return with_constants(var_df, constants, ("seq",) + COMPANY_VIEW_COLUMNS)
 
 
 PERSON_VIEW_COLUMNS = tuple(c for c in fixed.M_PERSON_COLUMNS if c != "person_id")
 
 
-def person_view(std_with_code: DataFrame, now: Column) -> DataFrame:
-    """Standardised rows (with their attached company_code) in the person layout."""
+def person_view_parts(std_with_code: DataFrame, now: Column):
+    """B6 split like ``company_view_parts``."""
     cols = set(std_with_code.columns)
     src = {
         "name": "normalized_personal_name", "name_kana": "normalized_personal_name_kana",
@@ -123,12 +142,18 @@ def person_view(std_with_code: DataFrame, now: Column) -> DataFrame:
         "job_post": "normalized_job_post", "phone_number": "normalized_personal_phone_number",
         "email_address": "normalized_personal_email",
     }
-    out = []
+    varying, constants = [], {}
     for c in PERSON_VIEW_COLUMNS:
         if c in ("insert_datetime", "update_datetime"):
-            out.append(now.alias(c))
+            constants[c] = now
         elif src[c] in cols:
-            out.append(F.col(src[c]).alias(c))
+            varying.append(F.col(src[c]).alias(c))
         else:
-            out.append(_null(c))
-    return std_with_code.select("seq", *out)
+            constants[c] = F.lit(None).cast("string")
+    return std_with_code.select("seq", *varying), constants
+
+
+def person_view(std_with_code: DataFrame, now: Column) -> DataFrame:
+    """Standardised rows (with their attached company_code) in the person layout."""
+    var_df, constants = person_view_parts(std_with_code, now)
+    return with_constants(var_df, constants, ("seq",) + PERSON_VIEW_COLUMNS)

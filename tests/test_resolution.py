@@ -127,3 +127,24 @@ def test_global_ordinal_is_dense_and_ordered(spark):
     out = with_global_ordinal(df, ["k"], "n", start=10, num_partitions=7)
     got = sorted((r.k, r.n) for r in out.collect())
     assert [n for _, n in got] == list(range(10, 5010))
+
+
+def test_candidates_are_groups_not_pairs(spark):
+    from partyfold.operators import reports as rp
+    from partyfold.sources.fixtures import _typed_master, COMPANY_TYPES
+    m = spark.createDataFrame(
+        [("0000000001", "A", "info@big.example"), ("0000000002", "B", "sales@big.example"),
+         ("0000000003", "C", "x@big.example"), ("0000000004", "D", "y@solo.example"), ("0000000005", "E", "")],
+        "company_code string, company_name string, main_email_address string")
+    m = _typed_master(m, fixed.M_COMPANY_COLUMNS, COMPANY_TYPES)
+    got = rows(rp.candidates_domain(m), "company_code", "anchor_code", "group_size")
+    assert got == [("0000000001", "0000000001", 3), ("0000000002", "0000000001", 3), ("0000000003", "0000000001", 3)]
+
+
+def test_salted_join_equals_plain_join(spark):
+    from partyfold.operators.skew import salted_join
+    big = spark.range(0, 3000).select((F.col("id") % 3).alias("k"), F.col("id"))
+    small = spark.createDataFrame([(0, "a"), (1, "b")], "k bigint, v string")
+    a = sorted(tuple(r) for r in salted_join(big, small, ["k"], salt_from=["id"]).select("id", "k", "v").collect())
+    b = sorted(tuple(r) for r in big.join(small, "k").select("id", "k", "v").collect())
+    assert a == b
