@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import M_COMPANY_COLUMNS, M_PERSON_COLUMNS
 from ..operators.parallel import spread
+from ..session import ensure_checkpoint_dir
 from .tables import read_table
 
 # ---- FIXED VALUES: run time and slice day of the test batch --------------
@@ -173,8 +174,14 @@ def feed_columns(feed: str) -> list[Column]:
 
 
 def work_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
-    """A feed's work rows: ``seq`` (= source key) + the feed's columns."""
-    return _base(spark, sf_dir, feed).select(F.col("k").cast("bigint").alias("seq"), *feed_columns(feed))
+    """A feed's work rows: ``seq`` (= source key) + the feed's columns.
+
+    The derived rows stand in for a landed lake table, so they are stored once
+    (reliable checkpoint). Left as expressions, every validation predicate
+    pushed below the projection would re-derive the columns it reads."""
+    ensure_checkpoint_dir(spark)
+    rows = _base(spark, sf_dir, feed).select(F.col("k").cast("bigint").alias("seq"), *feed_columns(feed))
+    return rows.checkpoint(eager=True)
 
 
 def lake_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
