@@ -22,8 +22,10 @@ def test_spread_only_when_needed(spark):
 
 def test_scan_is_pruned(spark):
     from conftest import SMALL
-    from partyfold.sources.fixtures import work_feed
-    plan = work_feed(spark, SMALL, "sales")._jdf.queryExecution().executedPlan().toString()
+    from pyspark.sql import functions as F
+    from partyfold.sources.fixtures import _base, feed_columns
+    derived = _base(spark, SMALL, "sales").select(F.col("k").alias("seq"), *feed_columns("sales"))
+    plan = derived._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
