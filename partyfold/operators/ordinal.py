@@ -21,12 +21,6 @@ from ..session import ensure_checkpoint_dir
 _PID, _MID, _OFF, _CNT = "_part_id", "_part_pos", "_part_off", "_part_cnt"
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def with_global_ordinal(df: DataFrame, order_by: list, out_col: str, start=1,
                         num_partitions: int | None = None) -> DataFrame:
     """Add ``out_col`` = start + 0-based position of the row in ``order_by`` order.
@@ -34,7 +28,11 @@ def with_global_ordinal(df: DataFrame, order_by: list, out_col: str, start=1,
     ``start`` is an int or a Column (e.g. max existing code + 1)."""
     ensure_checkpoint_dir(df.sparkSession)
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    tagged = (df.repartitionByRange(_partitions(df, num_partitions), *order)
+    # without an explicit count, AQE may merge adjacent ranges (order is kept,
+    # and partition ids are taken after the merge)
+    ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
+              else df.repartitionByRange(*order))
+    tagged = (ranged
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id())
               .withColumn(_MID, F.monotonically_increasing_id())

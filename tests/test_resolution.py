@@ -148,3 +148,9 @@ def test_salted_join_equals_plain_join(spark):
     a = sorted(tuple(r) for r in salted_join(big, small, ["k"], salt_from=["id"]).select("id", "k", "v").collect())
     b = sorted(tuple(r) for r in big.join(small, "k").select("id", "k", "v").collect())
     assert a == b
+
+
+def test_global_ordinal_with_adaptive_ranges(spark):
+    df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"))
+    got = sorted((r.k, r.n) for r in with_global_ordinal(df, ["k"], "n", start=1).collect())
+    assert [n for _, n in got] == list(range(1, 3001))
