@@ -6,16 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, mixing, quality_rules
+from . import bpe, html_text, jaccard_join, language, mixing, quality_rules, secrets
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_quality_rules": quality_rules.query,
         "op3_source_mix": mixing.query,
+        "op4_secret_scan": secrets.query,
+        "op5_html_text": html_text.query,
         "op6_byte_bpe": bpe.query,
+        "op7_jaccard_join": jaccard_join.query,
+        "op9_language_id": language.query,
     }
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op3_source_mix": mixing.SQL}
+    return {"op3_source_mix": mixing.SQL, "op7_jaccard_join": jaccard_join.SQL}
