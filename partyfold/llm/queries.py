@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, jaccard_join, language, mixing, quality_rules, secrets
+from . import bpe, html_text, jaccard_join, language, line_dedup, mixing, nearest, quality_rules, secrets
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,7 +17,9 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_text": html_text.query,
         "op6_byte_bpe": bpe.query,
         "op7_jaccard_join": jaccard_join.query,
+        "op8_nearest_neighbours": nearest.query,
         "op9_language_id": language.query,
+        "op10_line_dedup": line_dedup.query,
     }
 
 
