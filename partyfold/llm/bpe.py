@@ -216,6 +216,22 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep=("doc_id",), text_
                       "n_tokens long, ids_sha256 string, decoded_sha256 string", make)
 
 
+def encoded_and_checked(docs: DataFrame, path: str, pattern: str, keep=("doc_id",), text_col: str = "text") -> DataFrame:
+    """``keep``, ids, n_tokens and round_trip (do the ids decode to the very bytes of the text)."""
+    new_codec = _codec(docs, path, pattern)
+
+    def make():
+        codec = new_codec()
+
+        def run(text):
+            texts = text.to_pylist()
+            ids = codec.encode(texts)
+            same = [codec.decode(x) == (t or "").encode() for x, t in zip(ids, texts, strict=True)]
+            return [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(same, pa.bool_())]
+        return run
+    return arrow_rows(docs, list(keep), [text_col], "ids binary, n_tokens long, round_trip boolean", make)
+
+
 def vocabulary() -> tuple[str, str]:
     """Path of the public rank file and the pattern that cuts texts before its merges."""
     import public_tokenizers

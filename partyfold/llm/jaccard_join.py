@@ -283,8 +283,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
          text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id (least id reachable by links), n_links (links between its
-    class and others that were compared) of every row."""
+    """doc_id, n_shingles, component_id (least id reachable by links), n_links (verified links of
+    its class), class_id (equal sets) and group_id (the component's first class) of every row."""
     rows = picked(docs, doc_id=id_col, text=text_col)
     digests = stored(_digests(rows, n), "jaccard-digests")
     own = digests.filter("gram = 0").select("doc_id", "n", _node("h1", "h2").alias("node"))
@@ -325,18 +325,53 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     placed = (classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     linked = (roots.select("node", "root").union(roots.select(F.col("root").alias("node"), "root").distinct())
-              .join(least, "root").join(degrees, "node", "left").select("node", "component_id", "n_links"))
+              .join(least, "root").join(degrees, "node", "left").select("node", "root", "component_id", "n_links"))
     # classes without links keep their least id; linked ones take that of their component
     final = (classes.join(linked, "node", "left")
-             .select("node", F.coalesce("component_id", "least_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links")))
+             .select("node", F.coalesce("root", "node").alias("group_id"), F.coalesce("component_id", "least_id").alias("component_id"),
+                     F.coalesce("n_links", F.lit(0)).alias("n_links")))
     return (own.join(final, "node", "left")
             .select("doc_id", F.col("n").alias("n_shingles"),
                     F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
-                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")))
+                    F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+                    F.col("node").alias("class_id"), "group_id"))
+
+
+def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the row of its least id. Rows without words
+    stay. Of rows that share an id (or have none) one of each component's stays, so equal rows become one."""
+    joined = stored(join(docs, n, num, den, id_col, text_col), "components")
+    odd = joined.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias("_odd"))
+    odd = stored(odd, "odd-ids")
+    lost = (joined.filter("n_shingles > 0 and doc_id != component_id").select(F.col("doc_id").alias("_lost")).distinct())
+    lost = stored(lost.join(odd, F.col("_lost") == F.col("_odd"), "left_anti"), "lost-ids")
+    some_odd = not odd.isEmpty()
+    plain = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col("_odd")), "left_anti") if some_odd else docs
+    kept = plain.join(small_side(lost), plain[id_col] == F.col("_lost"), "left_anti")
+    if not some_odd:
+        return kept
+    chosen = (joined.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("group_id", "doc_id")
+              .agg(F.min("class_id").alias("_class")).select(F.col("doc_id").alias("_id"), "_class"))
+
+    def make():
+        shingle = Shingler(n)
+
+        def run(text):
+            sets = [shingle(t) for t in utf8(text)]
+            h = [class_of(s) for s in sets]
+            return [pa.array([x for x, _ in h], pa.int64()), pa.array([x for _, x in h], pa.int64()), pa.array([len(s) == 0 for s in sets], pa.bool_())]
+        return run
+    extra = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col("_odd")), "left_semi")
+    keyed = arrow_rows(extra, docs.columns, [text_col], "_h1 long, _h2 long, _empty boolean", make).withColumn("_node", _node("_h1", "_h2"))
+    empty = keyed.filter("_empty").select(*docs.columns)
+    first = (keyed.filter("not _empty").join(chosen, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_class")), "left_semi")
+             .dropDuplicates([id_col, "_node"]).select(*docs.columns))
+    return kept.unionByName(empty).unionByName(first)
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    return join(table(spark, sf_dir, "documents"), n=4, num=85, den=100).drop("n_links")
+    return join(table(spark, sf_dir, "documents"), n=4, num=85, den=100).select("doc_id", "n_shingles", "component_id")
 
 
 #: For DuckDB: all pairs that share an n-gram, then the least id reachable.

@@ -158,6 +158,28 @@ def identify(docs: DataFrame, keep: list[str] | None = None, training: Column |
     return arrow_rows(docs, keep or [id_col], [text_col], "lang_pred string, score double", make)
 
 
+def recognised(docs: DataFrame, min_score: float = 0.5, sample: int = 4000, buckets: int = 1 << 15, max_languages: int = 64,
+               smoothing: float = 0.5, seed: int = 9, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose language is determined with a score of at least ``min_score``;
+    a null language is filled in. Learns from the rows that have one."""
+    rows = picked(docs, doc_id=id_col, text=text_col, lang=lang_col).filter("doc_id is not null")
+    model = train(rows, sample, buckets, max_languages, smoothing, seed)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*sent.value)
+        for b in batches:
+            lang, score = scorer.score(b.column(names.index(text_col)).to_pylist())
+            given = b.column(names.index(lang_col)).to_pylist()
+            filled = pa.array([g if g is not None else x for g, x in zip(given, lang, strict=True)], pa.string())
+            columns = [filled if c == lang_col else b.column(i) for i, c in enumerate(names)]
+            keep = [x != UNDETERMINED and s >= min_score for x, s in zip(lang, score, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = picked(table(spark, sf_dir, "documents"), doc_id="doc_id", text="text", lang="lang")
     learn = ~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull()

@@ -63,14 +63,9 @@ def water_fill(sources: DataFrame, total: float) -> DataFrame:
     return sources.withColumn("target", F.when(clamped, F.col("cap").cast("double")).otherwise(share))
 
 
-def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: float = 1.5,
-        max_epochs: int = 2, seed: str = "mix", whole_documents: bool = False,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, whole (full copies),
-    part (words of one more copy), taken = whole * size + part.
-
-    With ``whole_documents`` the document at a source's cut is taken in full or not at all,
-    whichever is nearer to the target; else it gives just the words that are missing."""
+def _mixed(docs: DataFrame, weights: Sequence[int], total_share: float, max_epochs: int, seed: str,
+           whole_documents: bool, id_col: str, text_col: str, source_col: str) -> DataFrame:
+    """The rows of ``mix`` with their order hash _h."""
     rows = picked(docs, doc_id=id_col, text=text_col, source=source_col)
     rows = stored(rows.select("doc_id", "source", word_count(F.col("text")).alias("size"),
                               order_hash(F.col("doc_id"), seed).alias("_h")), "mix-sizes")
@@ -115,18 +110,38 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: float
     outside = joined.filter(~at_cut).withColumn(
         "part", F.when(F.col("_b") < F.col("_cut"), F.col("size")).otherwise(F.lit(0)))
     return (outside.unionByName(inside)
-            .select("doc_id", "source", "size", "source_size", "target",
+            .select("_h", "doc_id", "source", "size", "source_size", "target",
                     F.col("_whole").alias("whole"), F.col("part").cast("long").alias("part"),
                     (F.col("_whole") * F.col("size") + F.col("part")).cast("long").alias("taken")))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """``docs`` (unique ids) with every row as often as ``mixed`` says, whole documents only."""
-    copies = mixed.select(F.col("doc_id").alias("_mix_id"),
-                          (F.col("whole") + (F.col("part") > 0).cast("long")).alias("_mix_n"))
-    joined = docs.join(copies.filter("_mix_n > 0"), docs[id_col].eqNullSafe(F.col("_mix_id")))
-    return (joined.withColumn("_mix_k", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_n"))))
-            .select(*[docs[c] for c in docs.columns]))
+def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: float = 1.5,
+        max_epochs: int = 2, seed: str = "mix", whole_documents: bool = False,
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, whole (full copies),
+    part (words of one more copy), taken = whole * size + part.
+
+    With ``whole_documents`` the document at a source's cut is taken in full or not at all,
+    whichever is nearer to the target; else it gives just the words that are missing."""
+    return _mixed(docs, weights, total_share, max_epochs, seed, whole_documents, id_col, text_col, source_col).drop("_h")
+
+
+def repeated(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: float = 1.5,
+             max_epochs: int = 2, seed: str = "mix", id_col: str = "doc_id", text_col: str = "text",
+             source_col: str = "source") -> DataFrame:
+    """``docs`` with every row as often as the mix takes it, whole documents only (rows of one id and
+    source alike); rows without words are taken 0 times. Each source's last copy ends at one place of the
+    hash order, so rows are decided where they are, by a table with one row per source."""
+    mixed = _mixed(docs, weights, total_share, max_epochs, seed, True, id_col, text_col, source_col)
+    plan = mixed.groupBy(F.col("source").alias("_src")).agg(
+        F.max("whole").alias("_whole"), F.max(F.when(F.col("part") > 0, F.col("_h"))).alias("_last"))
+    plan = stored(plan, "mix-copies")
+    joined = docs.join(small_side(plan), docs[source_col].eqNullSafe(F.col("_src")))
+    one_more = order_hash(docs[id_col], seed) <= F.coalesce(F.col("_last"), F.lit(-1))
+    copies = F.when(word_count(docs[text_col]) > 0, F.col("_whole") + one_more.cast("long")).otherwise(F.lit(0))
+    return (joined.select(*[docs[c] for c in docs.columns], copies.alias("_copies")).filter("_copies > 0")
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+            .select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, jaccard_join, language, line_dedup, mixing, nearest, quality_rules, secrets
+from . import bpe, cotraining, html_text, jaccard_join, language, line_dedup, mixing, nearest, quality_rules, secrets
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_cotraining": cotraining.query,
         "op2_quality_rules": quality_rules.query,
         "op3_source_mix": mixing.query,
         "op4_secret_scan": secrets.query,
