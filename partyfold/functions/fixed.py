@@ -110,3 +110,48 @@ PERSON_UPDATE_COLUMNS = (
     "name", "name_kana", "company_code", "department", "job_post",
     "phone_number", "email_address", "update_datetime",
 )
+
+# ---- FIXED VALUES: feed files --------------------------------------------------
+# CSV columns per feed (work columns plus the date columns the files carry)
+CSV_COLUMNS = {
+    "crm": ("company_name", "department", "name", "name_kana", "job_post", "email", "phone_number",
+            "url", "postal_code", "prefecture", "address", "industry", "employees_volume",
+            "annual_revenue", "contact_permission", "register_datetime", "last_contact_datetime"),
+    "name_card": ("family_name", "first_name", "family_name_kana", "first_name_kana", "company_name",
+                  "department_name", "position_name", "postal_code", "address", "building",
+                  "phone_number", "company_phone_number", "email", "company_email"),
+    "purchase": ("company_name", "opponent_staff_name", "phone_number", "email_address", "address",
+                 "invoice_company_number", "purchase_date"),
+    "sales": ("customer_company_name", "customer_person_name", "phone_number1", "phone_number2",
+              "email_address", "address", "sales_date", "scheduled_delivery_date",
+              "actual_delivery_date", "deadline_deposit_date", "actual_deposit_date"),
+    "invoice": ("invoice_issuer", "tel_number", "fax_number", "email", "address",
+                "invoice_company_number", "invoice_date", "payment_deadline"),
+}
+DATE_COLUMNS = {
+    "crm": ("register_datetime", "last_contact_datetime"),
+    "purchase": ("purchase_date",),
+    "sales": ("sales_date", "scheduled_delivery_date", "actual_delivery_date",
+              "deadline_deposit_date", "actual_deposit_date"),
+    "invoice": ("invoice_date", "payment_deadline"),
+}
+NUMBER_COLUMNS = {"crm": ("employees_volume", "annual_revenue")}
+BOOLEAN_COLUMNS = {"crm": ("contact_permission",)}
+CSV_FILE = {"crm": "crm.csv", "name_card": "namecard.csv", "purchase": "purchase_ledger.csv",
+            "sales": "sales_ledger.csv", "invoice": "invoice.csv"}
+
+# ---- FIXED VALUES: white space that trimming removes ----------------------------
+STRIPPED = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+# ---- FIXED VALUES: columns a manual merge fills (fax_number and update_datetime are not carried)
+MERGE_COLUMNS = (
+    "company_name", "postal_code", "prefecture_code", "full_address", "employees_volume",
+    "annual_revenue", "main_phone_number", "main_email_address", "url", "industry",
+    "contact_permission", "president_person_id", "customer_flag", "supplier_flag",
+    "payment_flag", "invoice_company_number",
+)
+ZERO_IS_GAP = ("employees_volume", "annual_revenue")

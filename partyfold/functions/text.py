@@ -91,8 +91,17 @@ def s_digits(x: str) -> str:                              # R2 / R11
     return f"regexp_replace({s_blank(x)}, {q(NON_DIGIT)}, '')"
 
 
+#: From this many pairs on, R3 folds over an array of pairs instead of nesting replaces,
+#: so that the expression stays flat (the result is the same).
+NESTED_REPLACES = 30
+
+
 def s_replace_partial(x: str, pairs) -> str:              # R3
     out = s_blank(x)
+    pairs = list(pairs)
+    if len(pairs) >= NESTED_REPLACES:
+        listed = ", ".join(f"struct({q(before)} AS b, {q(after)} AS a)" for before, after in pairs)
+        return f"aggregate(array({listed}), {out}, (acc, p) -> replace(acc, p.b, p.a))"
     for before, after in pairs:
         out = f"replace({out}, {q(before)}, {q(after)})"
     return out
@@ -125,14 +134,16 @@ def s_ascii_full_to_half(x: str) -> str:                  # R5
 
 
 def s_kana_half_to_full(x: str) -> str:                   # R6
-    # Two-character keys are a base character and a (semi-)voicing mark, so
-    # cutting the text into "character + optional mark" tokens finds every
-    # pair exactly where the ordered pair replaces would; each token is looked
-    # up in one literal map, then one translate does the single characters
-    # (their results are never keys again, so their order does not matter).
-    tokens = f"regexp_extract_all({s_blank(x)}, {q('(?s).[' + _MARKS + ']?')}, 0)"
-    joined = f"array_join(transform({tokens}, t -> coalesce(element_at({_lit_map(_KANA_PAIRS)}, t), t)), '')"
-    out = f"translate({joined}, {q(_KANA_SINGLE_FROM)}, {q(_KANA_SINGLE_TO)})"
+    # Two-character keys are a base character and a (semi-)voicing mark. Only texts
+    # that hold a mark go through the pair replaces (no two pairs overlap, so their
+    # order does not matter); then one translate does the single characters, whose
+    # results are never keys again.
+    text = s_blank(x)
+    voiced = text
+    for pair, full in _KANA_PAIRS:
+        voiced = f"replace({voiced}, {q(pair)}, {q(full)})"
+    out = f"CASE WHEN {text} RLIKE {q('[' + _MARKS + ']')} THEN {voiced} ELSE {text} END"
+    out = f"translate({out}, {q(_KANA_SINGLE_FROM)}, {q(_KANA_SINGLE_TO)})"
     return f"translate({out}, {q(_SMALL_FROM)}, {q(_SMALL_TO)})"
 
 
@@ -169,10 +180,6 @@ def s_extract_prefecture(x: str) -> str:                  # R19
 
 
 # ---- public rules: Columns ------------------------------------------------------
-def blank_if_null(c) -> Column:
-    return F.expr(s_blank(sql(c)))
-
-
 def remove_spaces(c) -> Column:                           # R1
     return F.expr(s_remove_spaces(sql(c)))
 
@@ -237,11 +244,7 @@ def _when_prefix(x: str, prefixes, then_value: str, else_value: str) -> Column:
                   f"THEN {then_value} ELSE {else_value} END")
 
 
-def is_personal_phone(c, conf: Conf) -> Column:           # R16 (on a digits-only phone)
-    return F.expr(f"coalesce({s_starts_with_any(sql(c), personal_phone_prefixes(conf))}, false)")
-
-
-def personal_phone(c, conf: Conf) -> Column:
+def personal_phone(c, conf: Conf) -> Column:              # R16 (on a digits-only phone)
     return _when_prefix(sql(c), personal_phone_prefixes(conf), sql(c), "''")
 
 
@@ -249,11 +252,7 @@ def company_phone(c, conf: Conf) -> Column:
     return _when_prefix(sql(c), personal_phone_prefixes(conf), "''", sql(c))
 
 
-def is_company_mail(c, conf: Conf) -> Column:             # R17 (on a standardised mail)
-    return F.expr(f"coalesce({s_starts_with_any(sql(c), company_mail_prefixes(conf))}, false)")
-
-
-def company_mail(c, conf: Conf) -> Column:
+def company_mail(c, conf: Conf) -> Column:                # R17 (on a standardised mail)
     return _when_prefix(sql(c), company_mail_prefixes(conf), sql(c), "''")
 
 

@@ -44,27 +44,33 @@ def with_initial_order(df: DataFrame, seq: str = "seq") -> DataFrame:
     return df.withColumn(ORD, F.expr(f"named_struct('t', 0, 'a', '', 'b', '', 's', CAST({ident(seq)} AS BIGINT))"))
 
 
-def dedupe_pass(df: DataFrame, k1: str, k2: str, pass_no: int, seq: str = "seq") -> DataFrame:
-    carried = [c for c in df.columns if c not in (k1, k2, ORD)]
+def dedupe_pass(df: DataFrame, k1: str, k2: str, pass_no: int, seq: str = "seq", solid=()) -> DataFrame:
+    """One pass. Columns in ``solid`` hold no null, so the first row's values stand for all of
+    them: they share one buffer (and one copy of the order) with the first row's order."""
+    solid = [c for c in solid if c not in (k1, k2, ORD)]
+    carried = [c for c in df.columns if c not in (k1, k2, ORD, *solid)]
     a, b, o = ident(k1), ident(k2), ident(ORD)
     solo = F.expr(f"CASE WHEN {a} IS NOT NULL AND {a} <> '' AND {b} IS NOT NULL AND {b} <> '' "
                   f"THEN CAST(NULL AS BIGINT) ELSE CAST({ident(seq)} AS BIGINT) END").alias(_SOLO)
-    aggs = [F.expr(f"count(1) AS {_N}"), F.expr(f"min({o}) AS {_FIRST}")]
+    # the order is unique, so comparing the structs never reaches the columns after it
+    aggs = [F.expr(f"count(1) AS {_N}"), F.min(F.struct(ORD, *solid)).alias(_FIRST)]
     # First non-null in the current order ("" is a value, not a gap)
     aggs += [F.expr(f"min_by({ident(c)}, CASE WHEN {ident(c)} IS NOT NULL THEN {o} END) AS {ident(c)}")
              for c in carried]
     grouped = df.groupBy(F.col(k1), F.col(k2), solo).agg(*aggs)
     new_ord = F.expr(f"CASE WHEN {_N} > 1 THEN named_struct('t', {-pass_no}, 'a', {a}, 'b', {b}, "
-                     f"'s', CAST(0 AS BIGINT)) ELSE {_FIRST} END AS {o}")
-    return grouped.select(*[ident(c) for c in df.columns if c != ORD], new_ord)
+                     f"'s', CAST(0 AS BIGINT)) ELSE {_FIRST}.{o} END AS {o}")
+    return grouped.select(*[F.col(f"{_FIRST}.{ident(c)}").alias(c) if c in solid else F.col(ident(c))
+                            for c in df.columns if c != ORD], new_ord)
 
 
 def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True) -> DataFrame:
     """E1 over all key pairs in order. Input rows need a unique ``seq`` (their
     initial order); the output keeps ``_ord`` unless ``keep_order`` is False."""
+    solid = [f.name for f in df.schema.fields if not f.nullable and f.name != ORD]
     out = df if ORD in df.columns else with_initial_order(df, seq)
     for p, (k1, k2) in enumerate(combinations, start=1):
-        out = dedupe_pass(out, k1, k2, p, seq)
+        out = dedupe_pass(out, k1, k2, p, seq, solid)
     return out if keep_order else out.drop(ORD)
 
 

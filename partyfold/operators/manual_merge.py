@@ -1,7 +1,9 @@
 """Manual company merge on instruction (survivor <- absorbed).
 
 The instruction list is a headerless two-column CSV (A6). Codes are trimmed
-on both sides and rows are paired by code (not by position).
+(of all white space) on both sides and rows are paired by code (not by
+position). ``run_manual_merge`` is the whole job: it reads, checks, and either
+writes the next master or, when any code is bad, changes nothing.
 """
 
 from __future__ import annotations
@@ -10,30 +12,28 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..functions.fixed import MERGE_COLUMNS, STRIPPED, ZERO_IS_GAP
+from ..sources.tables import write_snapshot
 from .master import delete_keys, merge_update
 
 INSTRUCTION_SCHEMA = "survivor string, absorbed string"
+_ENDS = f"^[{STRIPPED}]+|[{STRIPPED}]+$"
 
-# columns a manual merge fills (fax_number and update_datetime are not carried)
-MERGE_COLUMNS = (
-    "company_name", "postal_code", "prefecture_code", "full_address", "employees_volume",
-    "annual_revenue", "main_phone_number", "main_email_address", "url", "industry",
-    "contact_permission", "president_person_id", "customer_flag", "supplier_flag",
-    "payment_flag", "invoice_company_number",
-)
-ZERO_IS_GAP = ("employees_volume", "annual_revenue")
+
+def stripped(c) -> Column:
+    return F.regexp_replace(c, _ENDS, "")
 
 
 def read_instructions(spark: SparkSession, path: str) -> DataFrame:
     """Headerless CSV, every value a string; exactly two columns."""
-    raw = spark.read.option("header", "false").csv(path)
+    raw = spark.read.options(header="false", escape='"').csv(path)
     if len(raw.columns) != 2:
         raise ValueError(f"{path}: a merge instruction file has exactly 2 columns")
     return raw.toDF("survivor", "absorbed")
 
 
 def _trimmed(instr: DataFrame) -> DataFrame:
-    return instr.select(F.trim("survivor").alias("survivor"), F.trim("absorbed").alias("absorbed"))
+    return instr.select(stripped("survivor").alias("survivor"), stripped("absorbed").alias("absorbed"))
 
 
 def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
@@ -43,7 +43,7 @@ def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
     the original check, ``self_merge`` (survivor = absorbed), ``chain`` (an
     absorbed code that is a survivor elsewhere) and ``repeated_survivor``."""
     ins = _trimmed(instr)
-    codes = m_company.select(F.trim("company_code").alias("code")).filter(F.col("code").isNotNull())
+    codes = m_company.select(stripped("company_code").alias("code")).filter(F.col("code").isNotNull())
     out = []
     for col in ("survivor", "absorbed"):
         bad = (ins.select(F.col(col).alias("code")).join(codes, "code", "left_anti")
@@ -64,7 +64,8 @@ def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
 
 
 def valid_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
-    """Trimmed instruction rows that none of the E13 problems touches."""
+    """Trimmed instruction rows that none of the E13 problems touches (for looking at a list;
+    the job takes a list as a whole or not at all)."""
     ins = _trimmed(instr)
     bad = check_instructions(instr, m_company)
     bad_s = bad.filter(F.col("field") == "survivor").select(F.col("code").alias("survivor"))
@@ -99,3 +100,25 @@ def orphan_persons(m_person: DataFrame, m_company: DataFrame) -> DataFrame:
     """Persons whose company_code no longer exists (E15 keeps them)."""
     codes = m_company.select("company_code")
     return m_person.filter(F.col("company_code").isNotNull()).join(codes, "company_code", "left_anti")
+
+
+class BadInstructions(ValueError):
+    """Some codes of a merge list are bad; ``problems`` (field, code, problem) says which."""
+
+    def __init__(self, problems: DataFrame):
+        super().__init__("the merge list has bad codes; nothing was merged")
+        self.problems = problems
+
+
+def run_manual_merge(spark: SparkSession, instructions: str, m_company_in: str, m_company_out: str) -> dict:
+    """The manual job: every instruction of the file is applied, or none. A missing file, a
+    file that has not two columns and a bad code all stop it before anything is written.
+    Returns the row counts of the step."""
+    instr = read_instructions(spark, instructions)
+    master = spark.read.parquet(m_company_in)
+    problems = check_instructions(instr, master)
+    if not problems.isEmpty():
+        raise BadInstructions(problems)
+    rows = _trimmed(instr)
+    written = write_snapshot(apply_merge(rows, master), m_company_out, "manual_merge")
+    return {"instructions": rows.count(), "company_rows": written}

@@ -1,26 +1,33 @@
 """Match a batch against a master, split, mint codes, attach codes.
 
-Every key-pair join only takes rows whose two keys are filled: besides being
-the rule, this keeps the one giant ``''`` key out of the shuffle.
+All key pairs go through one shuffle: each row is exploded once into
+``(combination, key a, key b)`` for its filled pairs, the master side is
+reduced to one code per such key by one partial aggregate, and one equi-join
+meets the two. Rows whose two keys are not both filled give no pair: besides
+being the rule, this keeps the one giant ``''`` key out of the shuffle. A pair
+that a large share of the batch holds has a single row on the other side, so
+AQE's skew join splits just that key.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CODE_WIDTH
 from .dedupe import filled, order_columns
 from .ordinal import with_global_ordinal
-from .skew import salted_join
 
 _RANK, _PK = "_combo_rank", "_cand_pk"
+_KEY = (_RANK, "_key_a", "_key_b")
 
 
-def _union(frames: list[DataFrame]) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b), frames)
+def key_pairs(df: DataFrame, combinations, value: str) -> DataFrame:
+    """(combination, key a, key b, value): one row per filled key pair of each row."""
+    pairs = [F.when(filled(k1, k2), F.struct(F.lit(rank).alias(_KEY[0]), F.col(k1).alias(_KEY[1]), F.col(k2).alias(_KEY[2])))
+             for rank, (k1, k2) in enumerate(combinations)]
+    return (df.select(F.col(value), F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("_pair"))
+            .select("_pair.*", value))
 
 
 def match_master(batch: DataFrame, master: DataFrame, combinations, pk: str,
@@ -31,13 +38,9 @@ def match_master(batch: DataFrame, master: DataFrame, combinations, pk: str,
     (largest pk) wins. The master is first reduced to one pk per key pair
     (a partial aggregate, so hot pairs are combined map-side), so each batch
     row meets at most one candidate per pair: no fan-out."""
-    cands = []
-    for rank, (k1, k2) in enumerate(combinations):
-        keys = master.filter(filled(k1, k2)).groupBy(k1, k2).agg(F.max(pk).alias(_PK))
-        rows = batch.filter(filled(k1, k2)).select(row_id, k1, k2)
-        cands.append(rows.join(keys, [k1, k2]).select(row_id, F.lit(rank).alias(_RANK), _PK))
-    return (_union(cands).groupBy(row_id)
-            .agg(F.max_by(F.col(_PK), F.struct(F.col(_RANK), F.col(_PK))).alias(pk)))
+    keys = key_pairs(master, combinations, pk).groupBy(*_KEY).agg(F.max(pk).alias(_PK))
+    cands = key_pairs(batch, combinations, row_id).join(keys, list(_KEY))
+    return cands.groupBy(row_id).agg(F.max_by(F.col(_PK), F.struct(F.col(_RANK), F.col(_PK))).alias(pk))
 
 
 def split_insert_update(batch: DataFrame, matches: DataFrame, pk: str, row_id: str = "seq"):
@@ -70,14 +73,8 @@ def attach_codes(source: DataFrame, coded: DataFrame, combinations, pk: str,
     """(row_id, pk) for every source row: the first key pair, in order,
     whose filled keys equal a coded row's (smallest code per pair); a row no
     pair reaches takes the code of the coded row with its own row_id."""
-    cands = []
-    for rank, (k1, k2) in enumerate(combinations):
-        keys = coded.filter(filled(k1, k2)).groupBy(k1, k2).agg(F.min(pk).alias(_PK))
-        rows = source.filter(filled(k1, k2)).select(row_id, k1, k2)
-        # the source rows are the batch before de-duplication: one key pair can
-        # hold a large share of them, so the join is salted
-        joined = salted_join(rows, keys, [k1, k2], salt_from=[row_id])
-        cands.append(joined.select(row_id, F.lit(rank).alias(_RANK), _PK))
-    cands.append(coded.select(row_id, F.lit(len(combinations)).alias(_RANK), F.col(pk).alias(_PK)))
-    best = _union(cands).groupBy(row_id).agg(F.min_by(F.col(_PK), F.col(_RANK)).alias(pk))
+    keys = key_pairs(coded, combinations, pk).groupBy(*_KEY).agg(F.min(pk).alias(_PK))
+    cands = key_pairs(source, combinations, row_id).join(keys, list(_KEY)).select(row_id, _RANK, _PK)
+    own = coded.select(row_id, F.lit(len(combinations)).alias(_RANK), F.col(pk).alias(_PK))
+    best = cands.unionByName(own).groupBy(row_id).agg(F.min_by(F.col(_PK), F.col(_RANK)).alias(pk))
     return source.select(row_id).join(best, row_id, "left")

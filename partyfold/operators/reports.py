@@ -25,6 +25,16 @@ def error_list(errors_by_feed: dict) -> DataFrame:
     return out
 
 
+def trend_of_counts(counts_by_feed: dict, now) -> DataFrame:
+    """F2 for a day's batch straight from the failing rows' counts (no error numbers needed)."""
+    frames = [df.select(F.to_date(now).alias("error_date"), F.lit(feed).alias("source"), "error_reason", "error_count")
+              for feed, df in counts_by_feed.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def error_trend(errors: DataFrame) -> DataFrame:
     """error count per day x source x reason."""
     return (errors.groupBy(F.to_date("insert_datetime").alias("error_date"), "source", "error_reason")
@@ -46,9 +56,9 @@ def _candidate_groups(m_company: DataFrame, key, reason: str, min_names: int = 1
 
 
 def candidates_name(m_company: DataFrame) -> DataFrame:
-    """names equal once the company-form word is removed."""
+    """different names that are equal once the company-form word is removed."""
     key = F.replace(F.col("company_name"), F.lit(COMPANY_NAME_FORM), F.lit(""))
-    return _candidate_groups(m_company, key, "similar_name")
+    return _candidate_groups(m_company, key, "similar_name", min_names=2)
 
 
 def candidates_address(m_company: DataFrame) -> DataFrame:
@@ -74,7 +84,18 @@ def company_list(m_company: DataFrame, prefecture_code: str | None = None,
     return out
 
 
-def person_list(m_person: DataFrame, m_company: DataFrame) -> DataFrame:
-    """person master list with the company's name."""
+def person_list(m_person: DataFrame, m_company: DataFrame, name_contains: str | None = None,
+                company_contains: str | None = None) -> DataFrame:
+    """person master list with the company's name and screen filters. Persons without a
+    company take no part in the join (they would all meet in one task); a company with very many
+    persons is one row on the other side, which AQE's skew join splits."""
+    persons = m_person
+    if name_contains is not None:
+        persons = persons.filter(F.col("name").contains(name_contains))
     comp = m_company.select("company_code", "company_name")
-    return m_person.join(comp, "company_code", "left")
+    joined = persons.filter(F.col("company_code").isNotNull()).join(comp, "company_code", "left")
+    alone = persons.filter(F.col("company_code").isNull()).withColumn("company_name", F.lit(None).cast("string"))
+    out = joined.unionByName(alone)
+    if company_contains is not None:
+        out = out.filter(F.col("company_name").contains(company_contains))
+    return out

@@ -59,17 +59,23 @@ def failing_rows(work: DataFrame, checks, conf: Conf) -> DataFrame:
                     F.col("_hit.reason").alias("error_reason")))
 
 
-def error_records(work: DataFrame, checks, conf: Conf, now: Column, max_existing_seq: int = 0) -> DataFrame:
+def error_records(work: DataFrame, checks, conf: Conf, now: Column, max_existing_seq=0) -> DataFrame:
     """A12 + C7-C11: error rows numbered max existing + 1.. in (rule, work row) order;
-    ``seq`` is dropped, ``insert_datetime`` stamped."""
+    ``seq`` is dropped, ``insert_datetime`` stamped. ``max_existing_seq`` is a number or a
+    Column (a scalar subquery over the existing table)."""
     failed = failing_rows(work, checks, conf)
     numbered = with_global_ordinal(failed, ["_rule", "seq"], "error_seq", start=max_existing_seq + 1)
     return numbered.drop("_rule", "seq").withColumn("insert_datetime", now)
 
 
-def max_error_seq(errors: DataFrame | None) -> int:
-    """Largest error_seq of an existing error table (0 when empty or absent)."""
+def error_counts(work: DataFrame, checks, conf: Conf) -> DataFrame:
+    """Failing (row, rule) pairs per reason, without numbering them."""
+    return failing_rows(work, checks, conf).groupBy("error_reason").agg(F.count(F.lit(1)).alias("error_count"))
+
+
+def max_error_seq(errors: DataFrame | None):
+    """Largest error_seq of an existing error table (0 when empty or absent), as a scalar
+    subquery: it stays inside the plan."""
     if errors is None:
         return 0
-    value = errors.agg(F.max("error_seq")).first()[0]
-    return int(value) if value is not None else 0
+    return errors.agg(F.coalesce(F.max("error_seq"), F.lit(0))).scalar()

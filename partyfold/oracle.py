@@ -607,7 +607,8 @@ def seed_person(ch: Chain) -> str:
 def instructions(ch: Chain) -> str:
     return ch.add("instr", """SELECT lpad(CAST(e+1 AS STRING),10,'0') AS survivor, lpad(CAST(e+7 AS STRING),10,'0') AS absorbed
 FROM (SELECT c_custkey AS e FROM customer WHERE c_custkey%60=0 AND c_custkey>0) b
-UNION ALL SELECT '9999999999', '0000000007' UNION ALL SELECT ' 0000000013 ', '8888888888'""")
+UNION ALL SELECT '9999999999', '0000000007' UNION ALL SELECT ' 0000000013 ', '8888888888'
+UNION ALL SELECT '0000000025' || chr(9), chr(12288) || '0000000031' UNION ALL SELECT chr(12288) || ' 7777777777', '0000000037' || chr(9)""")
 
 
 # ---- composed steps ----------------------------------------------------------------
@@ -645,10 +646,16 @@ MERGE_COLUMNS = ("company_name", "postal_code", "prefecture_code", "full_address
                  "payment_flag", "invoice_company_number")
 
 
+def strip(x: str) -> str:
+    """Outer white space of any kind away, line by line of the Unicode list."""
+    blanks = "".join(f"\\x{{{c:x}}}" for c in range(0x3001) if chr(c).isspace())
+    return f"regexp_replace({x}, '^[{blanks}]+|[{blanks}]+$', '', 'g')"
+
+
 def manual_check(ch: Chain, master: str) -> str:
     instructions(ch)
-    ch.add("ins", "SELECT trim(survivor) AS s, trim(absorbed) AS a FROM instr")
-    ch.add("codes", f"SELECT trim(company_code) AS code FROM {master} WHERE company_code IS NOT NULL")
+    ch.add("ins", f"SELECT {strip('survivor')} AS s, {strip('absorbed')} AS a FROM instr")
+    ch.add("codes", f"SELECT {strip('company_code')} AS code FROM {master} WHERE company_code IS NOT NULL")
     return ch.add("bad", """SELECT DISTINCT * FROM (
  SELECT 'survivor' AS field, s AS code, 'unknown_code' AS problem FROM ins WHERE NOT EXISTS (SELECT 1 FROM codes WHERE code = ins.s)
  UNION ALL SELECT 'absorbed', a, 'unknown_code' FROM ins WHERE NOT EXISTS (SELECT 1 FROM codes WHERE code = ins.a)
@@ -797,7 +804,7 @@ def oracle_queries() -> dict[str, str]:
     q["error_list"] = _q(lambda ch: f"SELECT * FROM {_errs(ch)}")
     q["error_trend"] = _q(lambda ch: f"""SELECT CAST(insert_datetime AS DATE) AS error_date, source, error_reason,
  count(*) AS error_count FROM {_errs(ch)} GROUP BY 1, 2, 3""")
-    q["candidates_name"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "replace(company_name, '株式会社', '')", "similar_name"))
+    q["candidates_name"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "replace(company_name, '株式会社', '')", "similar_name", 2))
     q["candidates_address"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "full_address", "same_address", 2))
     q["candidates_domain"] = _q(lambda ch: candidates(
         ch, crm_step(ch)[0], "CASE WHEN contains(main_email_address, '@') THEN split_part(main_email_address, '@', -1) END",

@@ -1,25 +1,24 @@
 """The daily batch end to end: land -> slice -> errors -> standardise -> fold.
 
 Paths are passed in by the caller (the scheduler decides where snapshots
-live); nothing here lists directories, so any cluster file system works.
-Only three kinds of writes happen: lake appends, error appends, and the two
-new master snapshots.
+live) and only Spark's readers and writers touch them, so any file system they
+know works. Lake and error rows of a day are a partition that a second run of
+the same day replaces; masters are new snapshots.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
+from ..functions.fixed import CSV_COLUMNS, DATE_COLUMNS
 from ..operators.slice import daily_slice
 from ..operators.validate import max_error_seq
 from ..sources.conf import Conf
-from ..sources.landing import CSV_COLUMNS, DATE_COLUMNS, land_feed
-from ..sources.tables import append
+from ..sources.landing import LANDED_ON, lake, land_feed, replace_day
+from ..sources.tables import counted, read_or_none, write_snapshot
 from . import pipeline as pl
 from .specs import FEED_ORDER
 
@@ -28,33 +27,38 @@ def work_columns(feed: str) -> list[str]:
     return [c for c in CSV_COLUMNS[feed] if c not in DATE_COLUMNS.get(feed, ())]
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
-
-
 def run_daily(spark: SparkSession, csv_dir: str, lake_root: str, error_root: str,
               m_company_in: str, m_person_in: str, m_company_out: str, m_person_out: str,
-              run_time: dt.datetime, conf: Conf | None = None, feeds=FEED_ORDER) -> dict:
-    """Run one day. Returns row counts per step (from observations, no extra jobs)."""
-    conf = conf or Conf.default()
+              run_time: dt.datetime, conf: Conf | None = None, feeds=FEED_ORDER,
+              conf_root: str | None = None) -> dict:
+    """Run one day. Returns row counts per step (from observations, no extra jobs). Conf comes
+    from ``conf``, else from the tables stored under ``conf_root``, else from the defaults."""
+    conf = conf or (Conf.stored(spark, conf_root) if conf_root else Conf.default())
     now = F.lit(run_time).cast("timestamp_ntz")
     counts: dict = {}
     std = {}
     for feed in feeds:
-        counts[f"landed_{feed}"] = land_feed(spark, feed, csv_dir, lake_root, now)
-        lake = spark.read.parquet(os.path.join(lake_root, feed))
+        landed = land_feed(spark, feed, csv_dir, lake_root, now)
+        counts[f"landed_{feed}"], counts[f"unreadable_{feed}"] = landed["landed"], landed["unreadable"]
+        rows = lake(spark, feed, lake_root)
+        if rows is None:                     # nothing has ever landed
+            counts[f"work_{feed}"] = counts[f"errors_{feed}"] = 0
+            continue
         cols = work_columns(feed)
-        work = daily_slice(lake, run_time.date(), [(c, c) for c in cols], tie_break=cols)
-        err_path = os.path.join(error_root, feed)
-        errs = pl.errors(feed, work, conf, now, max_error_seq(_read_or_none(spark, err_path)))
-        append(errs, err_path)
+        work = pl.snapshot(daily_slice(rows, run_time.date(), [(c, c) for c in cols], tie_break=cols))
+        counts[f"work_{feed}"] = work.count()
+        err_path = f"{error_root}/{feed}"
+        earlier = read_or_none(spark, err_path)
+        if earlier is not None:
+            earlier = earlier.filter(F.col(LANDED_ON) != F.lit(run_time.date()))
+        errs = pl.errors(feed, work, conf, now, max_error_seq(earlier)).withColumn(LANDED_ON, F.to_date(now))
+        observed, obs = counted(errs, f"errors_{feed}")
+        replace_day(observed, err_path)
+        counts[f"errors_{feed}"] = int(obs.get["rows"])
         std[feed] = pl.standardized(feed, work, conf)
     m_company = spark.read.parquet(m_company_in)
     m_person = spark.read.parquet(m_person_in)
     m_company, m_person = pl.fold(std, m_company, m_person, conf, now, feeds)
-    m_company.write.mode("errorifexists").parquet(m_company_out)
-    m_person.write.mode("errorifexists").parquet(m_person_out)
+    counts["company_rows"] = write_snapshot(m_company, m_company_out, "m_company")
+    counts["person_rows"] = write_snapshot(m_person, m_person_out, "m_person")
     return counts

@@ -17,21 +17,20 @@ from ..functions import fixed
 from ..operators import dedupe as dd
 from ..operators import master as ms
 from ..operators import match as mt
-from ..operators.parallel import spread
 from ..operators.standardize import standardize
 from ..operators.validate import clean_rows, error_records
-from ..session import ensure_checkpoint_dir
 from ..sources.conf import Conf
+from ..sources.tables import stored
 from .specs import (COMPANY_VIEW_COLUMNS, FEEDS, FEED_ORDER, PERSON_VIEW_COLUMNS, company_update_columns,
                     company_view_parts, person_view_parts, with_constants)
 
 
 def clean(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
-    return clean_rows(spread(work), FEEDS[feed].checks, conf)
+    return clean_rows(work, FEEDS[feed].checks, conf)
 
 
-def errors(feed: str, work: DataFrame, conf: Conf, now: Column, max_existing_seq: int = 0) -> DataFrame:
-    return error_records(spread(work), FEEDS[feed].checks, conf, now, max_existing_seq)
+def errors(feed: str, work: DataFrame, conf: Conf, now: Column, max_existing_seq=0) -> DataFrame:
+    return error_records(work, FEEDS[feed].checks, conf, now, max_existing_seq)
 
 
 def standardized(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
@@ -40,15 +39,15 @@ def standardized(feed: str, work: DataFrame, conf: Conf) -> DataFrame:
 
 
 def snapshot(df: DataFrame) -> DataFrame:
-    """Cut lineage: reliable checkpoint into the session's checkpoint folder.
-
-    Used for results read several times (the de-duplicated batch, attached
-    codes) and for master states between feeds: later plans start from a
-    small leaf, and a lost executor never forces a re-run of earlier steps.
-    (``persist`` would keep the whole lineage in every later plan, and
-    matching it against the cache on every step grows with the plan.)"""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut lineage: a parquet snapshot in the session's checkpoint folder.
+
+    Used for results read several times (the de-duplicated batch, matches) and
+    for master states between feeds: later plans start from a small leaf of
+    known size, read only the columns they need, and a lost executor never
+    forces a re-run of earlier steps. (``persist`` would keep the whole lineage
+    in every later plan, and matching it against the cache on every step grows
+    with the plan.)"""
+    return stored(df, "snapshot")
 
 
 def _layout(df: DataFrame, layout) -> DataFrame:

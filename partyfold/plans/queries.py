@@ -20,9 +20,11 @@ from ..operators.dedupe import ORD, dedupe
 from ..operators.join import join_tables
 from ..operators.slice import daily_slice
 from ..operators.standardize import normalized_only
+from ..operators.validate import error_counts, max_error_seq
 from ..sources import fixtures as fx
 from ..sources.conf import Conf
 from . import pipeline as pl
+from .specs import FEEDS as FEED_SPECS
 from .specs import (COMPANY_VIEW_COLUMNS, FEED_ORDER, PERSON_FEEDS, company_view, company_view_parts,
                     with_constants)
 
@@ -63,8 +65,7 @@ def q_error_append_seq(spark, d):
     """CRM errors appended after the name-card errors of the same table
     (numbering continues from the existing maximum)."""
     first = pl.errors("name_card", _work(spark, d, "name_card"), conf(), now())
-    existing = int(first.agg(F.coalesce(F.max("error_seq"), F.lit(0))).first()[0])
-    return pl.errors("crm", _work(spark, d, "crm"), conf(), now(), existing)
+    return pl.errors("crm", _work(spark, d, "crm"), conf(), now(), max_error_seq(first))
 
 
 # ---- B: slice, join, views ---------------------------------------------------
@@ -233,19 +234,25 @@ def q_error_list(spark, d):
 
 
 def q_error_trend(spark, d):
-    return rp.error_trend(rp.error_list(_all_errors(spark, d)))
+    return rp.trend_of_counts({f: error_counts(_work(spark, d, f), FEED_SPECS[f].checks, conf()) for f in FEEDS}, now())
+
+
+def _company_screen(spark, d):
+    """The company master the screens show; candidates read no person column, so the
+    person upsert is left out."""
+    return pl.snapshot(_crm_company(spark, d).master)
 
 
 def q_candidates_name(spark, d):
-    return rp.candidates_name(_crm_step(spark, d).m_company)
+    return rp.candidates_name(_company_screen(spark, d))
 
 
 def q_candidates_address(spark, d):
-    return rp.candidates_address(_crm_step(spark, d).m_company)
+    return rp.candidates_address(_company_screen(spark, d))
 
 
 def q_candidates_domain(spark, d):
-    return rp.candidates_domain(_crm_step(spark, d).m_company)
+    return rp.candidates_domain(_company_screen(spark, d))
 
 
 def q_company_list(spark, d):

@@ -85,25 +85,28 @@ def company_view_parts(feed: str, std: DataFrame, conf: Conf, now: Column):
     De-duplication only needs to carry the first part."""
     spec = FEEDS[feed]
     cols = set(std.columns)
+    # standardised text is never null; coalesce states that in the schema, which lets
+    # de-duplication carry these columns in one buffer
+    std_col = lambda c: F.coalesce(F.col(c), F.lit(""))
     if spec.raw_prefecture:
         pref = tx.prefecture_code("prefecture", conf)
     else:
         pref = tx.prefecture_code(tx.Sql(tx.s_extract_prefecture(tx.ident("normalized_full_address"))), conf)
-    postal = F.col("normalized_postal_code") if "normalized_postal_code" in cols else F.col("postal_code")
+    postal = std_col("normalized_postal_code") if "normalized_postal_code" in cols else F.col("postal_code")
     varying = {
-        "company_name": F.col("normalized_company_name"),
+        "company_name": std_col("normalized_company_name"),
         "postal_code": postal,
         "prefecture_code": pref,
-        "full_address": F.col("normalized_full_address"),
-        "main_phone_number": F.col("normalized_company_phone_number"),
-        "main_email_address": F.col("normalized_company_email"),
+        "full_address": std_col("normalized_full_address"),
+        "main_phone_number": std_col("normalized_company_phone_number"),
+        "main_email_address": std_col("normalized_company_email"),
     }
     for raw in ("employees_volume", "annual_revenue", "url", "industry", "invoice_company_number",
                 "contact_permission"):
         if raw in cols:
             varying[raw] = F.col(raw)
     if "normalized_company_fax_number" in cols:
-        varying["fax_number"] = F.col("normalized_company_fax_number")
+        varying["fax_number"] = std_col("normalized_company_fax_number")
     constants = {"insert_datetime": now, "update_datetime": now}
     if "contact_permission" not in varying:
         constants["contact_permission"] = F.lit(False)
@@ -147,7 +150,8 @@ def person_view_parts(std_with_code: DataFrame, now: Column):
         if c in ("insert_datetime", "update_datetime"):
             constants[c] = now
         elif src[c] in cols:
-            varying.append(F.col(src[c]).alias(c))
+            value = F.col(src[c])
+            varying.append((value if c == "company_code" else F.coalesce(value, F.lit(""))).alias(c))
         else:
             constants[c] = F.lit(None).cast("string")
     return std_with_code.select("seq", *varying), constants

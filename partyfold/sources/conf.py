@@ -1,9 +1,9 @@
 """Configuration tables: keywords, replace pairs, prefectures.
 
 The rows below are this project's own choice of contents (the tables are
-operational data). They are small dimension tables: they are read once,
-size-checked, and turned into Column expressions (literal lists, replace
-chains), never joined row by row.
+operational data). They are small dimension tables: they are read once and
+turned into Column expressions (literal lists, replace chains), never joined
+row by row.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .tables import read_columns
+
 # ---- FIXED VALUES: conf contents used by the tests and queries ------------
 KEYWORD_ROWS = (
     ("1", "090"), ("1", "080"), ("1", "070"),
@@ -38,9 +40,6 @@ PREFECTURE_NAMES = (
 )
 PREFECTURE_ROWS = tuple((f"{i:02d}", name) for i, name in enumerate(PREFECTURE_NAMES, start=1))
 
-# Conf tables are parameters, not data: refuse to pull a large one to the driver.
-MAX_CONF_ROWS = 10_000
-
 KEYWORD_SCHEMA = T.StructType([
     T.StructField("keyword_category", T.StringType()),
     T.StructField("keyword", T.StringType()),
@@ -65,13 +64,6 @@ def conf_frames(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
-def _bounded_rows(df: DataFrame, name: str) -> list:
-    rows = df.limit(MAX_CONF_ROWS + 1).collect()
-    if len(rows) > MAX_CONF_ROWS:
-        raise ValueError(f"conf table {name} has more than {MAX_CONF_ROWS} rows")
-    return rows
-
-
 def replace_order(pairs):
     """Application order of replace pairs: longest before_string first, then by text."""
     return sorted(pairs, key=lambda p: (-len(p[0]), p[0]))
@@ -118,12 +110,22 @@ class Conf:
     @classmethod
     def from_frames(cls, m_keyword: DataFrame, m_replace_string: DataFrame,
                     m_prefecture: DataFrame) -> "Conf":
-        kw = [(r[0], r[1]) for r in _bounded_rows(
-            m_keyword.select("keyword_category", "keyword"), "m_keyword")]
-        rp = [(r[0], r[1], r[2]) for r in _bounded_rows(
-            m_replace_string.select("category_code", "before_string", "after_string"),
-            "m_replace_string")]
-        pf = [(r[0], r[1]) for r in _bounded_rows(
-            m_prefecture.select("prefecture_code", "prefecture_name"), "m_prefecture")]
-        return cls.from_rows(kw, rp, pf)
+        """The conf tables as stored. They are parameters of the rules (their rows become
+        literals of the expressions), so they are read to the driver once per run."""
+        kw = m_keyword.select("keyword_category", "keyword").collect()
+        rp = m_replace_string.select("category_code", "before_string", "after_string").collect()
+        pf = m_prefecture.select("prefecture_code", "prefecture_name").collect()
+        return cls.from_rows([tuple(r) for r in kw], [tuple(r) for r in rp], [tuple(r) for r in pf])
+
+    @classmethod
+    def stored(cls, spark: SparkSession, root: str) -> "Conf":
+        """Conf tables kept as parquet under ``root`` (pruned scans)."""
+        scan = lambda name, schema: read_columns(spark, f"{root}/{name}", schema.fieldNames())
+        return cls.from_frames(scan("m_keyword", KEYWORD_SCHEMA), scan("m_replace_string", REPLACE_SCHEMA),
+                               scan("m_prefecture", PREFECTURE_SCHEMA))
+
 
+def store_conf(spark: SparkSession, root: str) -> None:
+    """Write the default conf tables under ``root``."""
+    for name, df in conf_frames(spark).items():
+        df.write.mode("overwrite").parquet(f"{root}/{name}")

@@ -12,9 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.fixed import M_COMPANY_COLUMNS, M_PERSON_COLUMNS
-from ..operators.parallel import spread
-from ..session import ensure_checkpoint_dir
-from .tables import read_table
+from .tables import read_table, stored
 
 # ---- FIXED VALUES: run time and slice day of the test batch --------------
 RUN_TIME = dt.datetime(1997, 1, 15, 13, 0, 0)
@@ -49,9 +47,7 @@ def _base(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
             F.col("o_orderdate").alias("_day"))
     else:
         raise KeyError(feed)
-    # the driver's tables are single row groups: spread the rows before the
-    # per-row text work (no-op for inputs that already come in many splits)
-    return spread(df).withColumn("es", _s(F.col("e")))
+    return df.withColumn("es", _s(F.col("e")))
 
 
 def _kes():
@@ -176,12 +172,11 @@ def feed_columns(feed: str) -> list[Column]:
 def work_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
     """A feed's work rows: ``seq`` (= source key) + the feed's columns.
 
-    The derived rows stand in for a landed lake table, so they are stored once
-    (reliable checkpoint). Left as expressions, every validation predicate
-    pushed below the projection would re-derive the columns it reads."""
-    ensure_checkpoint_dir(spark)
-    rows = _base(spark, sf_dir, feed).select(F.col("k").cast("bigint").alias("seq"), *feed_columns(feed))
-    return rows.checkpoint(eager=True)
+    The derived rows stand in for a landed lake table, so they are stored as one
+    (parquet, in as many files as there are cores to read them); a query then reads
+    just the columns it needs."""
+    rows = _base(spark, sf_dir, feed).repartition(spark.sparkContext.defaultParallelism)
+    return stored(rows.select(F.col("k").cast("bigint").alias("seq"), *feed_columns(feed)), f"feed-{feed}")
 
 
 def lake_feed(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
@@ -252,6 +247,7 @@ def merge_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = F.col("c_custkey")
     valid = (read_table(spark, sf_dir, "customer").filter((c % 60 == 0) & (c > 0))
              .select(_pad(c + 1, 10).alias("survivor"), _pad(c + 7, 10).alias("absorbed")))
-    bad = spark.createDataFrame([("9999999999", "0000000007"), (" 0000000013 ", "8888888888")],
+    bad = spark.createDataFrame([("9999999999", "0000000007"), (" 0000000013 ", "8888888888"),
+                                 ("0000000025\t", "\u30000000000031"), ("\u3000 7777777777", "0000000037\t")],
                                 "survivor string, absorbed string")
     return valid.unionByName(bad)

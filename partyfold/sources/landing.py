@@ -2,61 +2,45 @@
 
 The file is read with a header and every column as text, columns are taken
 by header name, and only the known number / boolean / date columns are
-converted (ANSI-safe ``try_`` conversions). Reading phones as text keeps
-their leading zeros, which schema inference would drop. A missing file
-lands no rows.
+converted. Reading phones as text keeps their leading zeros, which schema
+inference would drop. Quoted line ends and doubled quotes are part of a value
+(so one file is one task: have a large drop arrive as several files). Columns
+the feed does not know land as text too. An empty value is null; texts such as
+``NA`` or ``nan`` are kept as they are. A missing path lands no rows; any other
+failure to read is an error.
+
+A number may be written with a decimal point (``12.0`` is 12); a filled value
+that is no number lands as null and is counted (``unreadable``).
 """
 
 from __future__ import annotations
 
-import os
-
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .tables import append
-
-# CSV columns per feed (work columns plus the date columns the files carry)
-CSV_COLUMNS = {
-    "crm": ("company_name", "department", "name", "name_kana", "job_post", "email", "phone_number",
-            "url", "postal_code", "prefecture", "address", "industry", "employees_volume",
-            "annual_revenue", "contact_permission", "register_datetime", "last_contact_datetime"),
-    "name_card": ("family_name", "first_name", "family_name_kana", "first_name_kana", "company_name",
-                  "department_name", "position_name", "postal_code", "address", "building",
-                  "phone_number", "company_phone_number", "email", "company_email"),
-    "purchase": ("company_name", "opponent_staff_name", "phone_number", "email_address", "address",
-                 "invoice_company_number", "purchase_date"),
-    "sales": ("customer_company_name", "customer_person_name", "phone_number1", "phone_number2",
-              "email_address", "address", "sales_date", "scheduled_delivery_date",
-              "actual_delivery_date", "deadline_deposit_date", "actual_deposit_date"),
-    "invoice": ("invoice_issuer", "tel_number", "fax_number", "email", "address",
-                "invoice_company_number", "invoice_date", "payment_deadline"),
-}
-DATE_COLUMNS = {
-    "crm": ("register_datetime", "last_contact_datetime"),
-    "purchase": ("purchase_date",),
-    "sales": ("sales_date", "scheduled_delivery_date", "actual_delivery_date",
-              "deadline_deposit_date", "actual_deposit_date"),
-    "invoice": ("invoice_date", "payment_deadline"),
-}
-NUMBER_COLUMNS = {"crm": ("employees_volume", "annual_revenue")}
-BOOLEAN_COLUMNS = {"crm": ("contact_permission",)}
-CSV_FILE = {"crm": "crm.csv", "name_card": "namecard.csv", "purchase": "purchase_ledger.csv",
-            "sales": "sales_ledger.csv", "invoice": "invoice.csv"}
+from ..functions.fixed import BOOLEAN_COLUMNS, CSV_COLUMNS, CSV_FILE, DATE_COLUMNS, NUMBER_COLUMNS
+from .tables import counted, read_or_none
+
+LANDED_ON = "landed_on"
 
 
 def text_schema(feed: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType()) for c in CSV_COLUMNS[feed]])
 
 
+def _number(c: str) -> Column:
+    return F.col(c).try_cast("decimal(38,6)").try_cast("bigint")
+
+
 def typed_columns(feed: str) -> list[Column]:
     out = []
     for c in CSV_COLUMNS[feed]:
         if c in DATE_COLUMNS.get(feed, ()):
             out.append(F.try_to_timestamp(F.col(c)).cast("timestamp_ntz").alias(c))
         elif c in NUMBER_COLUMNS.get(feed, ()):
-            out.append(F.col(c).try_cast("bigint").alias(c))
+            out.append(_number(c).alias(c))
         elif c in BOOLEAN_COLUMNS.get(feed, ()):
             out.append(F.col(c).try_cast("boolean").alias(c))
         else:
@@ -64,21 +48,48 @@ def typed_columns(feed: str) -> list[Column]:
     return out
 
 
-def read_feed_csv(spark: SparkSession, feed: str, path: str, now: Column) -> DataFrame:
-    """The landed rows of one feed file, stamped insert/update = ``now``."""
-    if not os.path.exists(path):
-        empty = spark.createDataFrame([], text_schema(feed))
-        return empty.select(*typed_columns(feed), now.alias("insert_datetime"), now.alias("update_datetime"))
-    raw = spark.read.option("header", "true").option("inferSchema", "false").csv(path)
+def unreadable(feed: str) -> Column:
+    """How many filled number values of a row are no numbers."""
+    count = F.lit(0)
+    for c in NUMBER_COLUMNS.get(feed, ()):
+        count = count + (F.col(c).isNotNull() & _number(c).isNull()).cast("int")
+    return count
+
+
+def _raw(spark: SparkSession, feed: str, path: str) -> DataFrame:
+    try:
+        raw = spark.read.options(header="true", inferSchema="false", multiLine="true", escape='"').csv(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        raw = spark.createDataFrame([], text_schema(feed))
     missing = [c for c in CSV_COLUMNS[feed] if c not in raw.columns]
-    raw = raw.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
-    return raw.select(*typed_columns(feed), now.alias("insert_datetime"), now.alias("update_datetime"))
+    return raw.select("*", *[F.lit(None).cast("string").alias(c) for c in missing])
+
+
+def read_feed_csv(spark: SparkSession, feed: str, path: str, now: Column, extra: tuple = ()) -> DataFrame:
+    """The landed rows of one feed file, stamped insert/update = ``now``."""
+    raw = _raw(spark, feed, path)
+    unknown = [F.col(f"`{c}`") for c in raw.columns if c not in CSV_COLUMNS[feed]]
+    return raw.select(*typed_columns(feed), *unknown, now.alias("insert_datetime"), now.alias("update_datetime"), *extra)
+
+
+def land_feed(spark: SparkSession, feed: str, csv_dir: str, lake_root: str, now: Column) -> dict:
+    """Land today's file of ``feed`` in ``<lake_root>/<feed>``; returns the rows landed and the
+    unreadable numbers. The day is a partition that a second run of the same day replaces."""
+    rows = read_feed_csv(spark, feed, f"{csv_dir}/{CSV_FILE[feed]}", now,
+                         (F.to_date(now).alias(LANDED_ON), unreadable(feed).alias("_unreadable")))
+    observed, obs = counted(rows, f"land_{feed}", unreadable=F.coalesce(F.sum("_unreadable"), F.lit(0)))
+    replace_day(observed.drop("_unreadable"), f"{lake_root}/{feed}")
+    return {"landed": int(obs.get["rows"]), "unreadable": int(obs.get["unreadable"])}
+
+
+def replace_day(rows: DataFrame, path: str) -> None:
+    """Write the day's rows in place of what an earlier run of the same day wrote."""
+    (rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(LANDED_ON).parquet(path))
 
 
-def land_feed(spark: SparkSession, feed: str, csv_dir: str, lake_root: str, now: Column) -> int:
-    """Append today's file of ``feed`` to ``<lake_root>/<feed>``; returns rows landed."""
-    rows = read_feed_csv(spark, feed, os.path.join(csv_dir, CSV_FILE[feed]), now)
-    from .tables import counted
-    observed, obs = counted(rows, f"land_{feed}")
-    append(observed, os.path.join(lake_root, feed))
-    return int(obs.get["rows"])
+def lake(spark: SparkSession, feed: str, lake_root: str) -> DataFrame | None:
+    """All landed rows of a feed (columns of every day), or None before the first one."""
+    return read_or_none(spark, f"{lake_root}/{feed}", mergeSchema="true")

@@ -7,10 +7,14 @@ to the path being read: every master state is a new snapshot directory.
 from __future__ import annotations
 
 import os
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Whole-table scan of one of the driver's parquet tables."""
@@ -22,20 +26,39 @@ def read_columns(spark: SparkSession, path: str, columns) -> DataFrame:
     return spark.read.parquet(path).select(*columns)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` as parquet in the checkpoint folder and read it back: a durable cut of the
+    lineage whose columns can be pruned and whose size the planner knows."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def read_or_none(spark: SparkSession, path: str, **options) -> DataFrame | None:
+    """The table at ``path``, or None when there is none (an empty folder included); any
+    other failure is an error."""
+    try:
+        return spark.read.options(**options).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
 def append(df: DataFrame, path: str) -> None:
     """Append sink."""
     df.write.mode("append").parquet(path)
 
 
-def write_snapshot(df: DataFrame, root: str, name: str, version: int) -> str:
-    """Write a new snapshot ``<root>/<name>/v<version>`` and return its path."""
-    path = os.path.join(root, name, f"v{version:06d}")
-    df.write.mode("errorifexists").parquet(path)
-    return path
+def write_snapshot(df: DataFrame, path: str, label: str) -> int:
+    """Write a new snapshot at ``path`` (which must not exist) and return its row count."""
+    observed, obs = counted(df, label)
+    observed.write.mode("errorifexists").parquet(path)
+    return int(obs.get["rows"])
 
 
-def counted(df: DataFrame, label: str):
+def counted(df: DataFrame, label: str, **more):
     """Attach a row-count observation; read it after an action via ``.get``."""
     from pyspark.sql import Observation
     obs = Observation(label)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+    return df.observe(obs, F.count(F.lit(1)).alias("rows"), *[v.alias(k) for k, v in more.items()]), obs

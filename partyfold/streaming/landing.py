@@ -22,8 +22,10 @@ def land_new_files(spark: SparkSession, feed: str, drop_dir: str, lake_path: str
     parquet lake at ``lake_path``. Rows are stamped with the micro-batch time.
 
     Streaming file sources need a fixed schema: the files carry the feed's
-    columns in the documented order (``sources.landing.CSV_COLUMNS``)."""
-    reader = spark.readStream.schema(text_schema(feed)).option("header", "true")
+    columns in the documented order (``functions.fixed.CSV_COLUMNS``), and a file
+    whose header says otherwise fails instead of landing in the wrong columns."""
+    reader = spark.readStream.schema(text_schema(feed)).options(
+        header="true", enforceSchema="false", multiLine="true", escape='"')
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.csv(drop_dir)

@@ -5,7 +5,7 @@ import os
 import tempfile
 
 from partyfold.plans.daily import run_daily
-from partyfold.sources.landing import CSV_COLUMNS
+from partyfold.functions.fixed import CSV_COLUMNS
 
 
 def _csv(path, feed, rows):
@@ -58,3 +58,10 @@ def test_two_days(spark):
     assert spark.read.parquet(os.path.join(root, "mc2")).count() == 1
     errs = spark.read.parquet(os.path.join(root, "error", "crm")).collect()
     assert sorted(e.error_seq for e in errs) == list(range(1, 7))
+    # the second day once more (a retry): nothing lands twice, numbers stay
+    again = run_daily(spark, csv, os.path.join(root, "lake"), os.path.join(root, "error"), os.path.join(root, "mc1"),
+                      os.path.join(root, "mp1"), os.path.join(root, "mc3"), os.path.join(root, "mp3"), day2)
+    assert again["landed_crm"] == 3 and again["work_crm"] == 3 and again["errors_crm"] == 3 and again["company_rows"] == 1
+    assert spark.read.parquet(os.path.join(root, "lake", "crm")).count() == 6
+    errs = spark.read.parquet(os.path.join(root, "error", "crm")).collect()
+    assert sorted(e.error_seq for e in errs) == list(range(1, 7))

@@ -1,7 +1,6 @@
 """Driver contract and small plan properties."""
 
 import __spark_entry__ as E
-from partyfold.operators.parallel import spread
 
 
 def test_entry_runs_on_smoke_tables(spark):
@@ -13,13 +12,6 @@ def test_entry_runs_on_smoke_tables(spark):
     assert len(codes) == len(set(codes))          # codes stay unique after the upsert
 
 
-def test_spread_only_when_needed(spark):
-    one = spark.range(0, 100, numPartitions=1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(0, 100, numPartitions=6)
-    assert spread(many, 4).rdd.getNumPartitions() == 6
-
-
 def test_scan_is_pruned(spark):
     from conftest import SMALL
     from pyspark.sql import functions as F
@@ -29,6 +21,14 @@ def test_scan_is_pruned(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
 
 
+def test_standardised_feed_reads_its_columns_only(spark):
+    from conftest import SMALL
+    from partyfold.plans.queries import registry
+    plan = registry()["standardize_sales"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "FileScan parquet" in plan and "Exchange" not in plan
+    assert "customer_person_name" in plan.split("ReadSchema: ")[1].split("\n")[0]
+
+
 def test_daily_slice_filter_reaches_scan(spark):
     from conftest import SMALL
     from partyfold.operators.slice import day_filter

@@ -4,7 +4,8 @@ import os
 import tempfile
 
 from partyfold.sources.fixtures import run_time_lit
-from partyfold.sources.landing import read_feed_csv, CSV_COLUMNS
+from partyfold.functions.fixed import CSV_COLUMNS
+from partyfold.sources.landing import read_feed_csv
 from partyfold.operators.manual_merge import read_instructions
 
 
@@ -63,3 +64,95 @@ def test_streaming_landing_is_exactly_once(spark):
     land_new_files(spark, "invoice", drop, lake, ckpt)
     got = sorted(r.invoice_issuer for r in spark.read.parquet(lake).collect())
     assert got == ["A", "B"]
+
+
+def _land(spark, text, prefix=""):
+    import datetime as dt
+    import tempfile
+    from pyspark.sql import functions as F
+    path = os.path.join(tempfile.mkdtemp(prefix="land-"), "crm.csv")
+    with open(path, "w", encoding="utf-8", newline="") as fh:
+        fh.write(text)
+    return read_feed_csv(spark, "crm", prefix + path, F.lit(dt.datetime(2025, 1, 1)).cast("timestamp_ntz"))
+
+
+def test_quoted_values_stay_whole(spark):
+    head = "company_name,email,phone_number\n"
+    rows = _land(spark, head + '"A\nB",a@b,03\n"say ""hi"", ltd",c@d,04\n').collect()
+    assert [(r.company_name, r.email, r.phone_number) for r in rows] == [("A\nB", "a@b", "03"), ('say "hi", ltd', "c@d", "04")]
+
+
+def test_numbers_extra_columns_and_uris(spark):
+    text = "company_name,employees_volume,annual_revenue,note,phone_number\nA,12.0,abc,kept,0312345678\nNA,,1000,nan,\n"
+    rows = _land(spark, text, "file://").collect()
+    assert [(r.company_name, r.employees_volume, r.annual_revenue, r.note, r.phone_number) for r in rows] == [
+        ("A", 12, None, "kept", "0312345678"), ("NA", None, 1000, "nan", None)]
+
+
+def test_unreadable_numbers_are_counted(spark):
+    import tempfile
+    from pyspark.sql import functions as F
+    from partyfold.sources.landing import land_feed
+    root = tempfile.mkdtemp(prefix="land-")
+    with open(os.path.join(root, "crm.csv"), "w", encoding="utf-8") as fh:
+        fh.write("company_name,employees_volume,annual_revenue\nA,12.0,abc\nB,x,1\nC,,\n")
+    got = land_feed(spark, "crm", "file://" + root, os.path.join(root, "lake"), F.current_timestamp().cast("timestamp_ntz"))
+    assert got == {"landed": 3, "unreadable": 2}
+    assert land_feed(spark, "sales", root, os.path.join(root, "lake"), F.current_timestamp().cast("timestamp_ntz")) == {"landed": 0, "unreadable": 0}
+
+
+def test_only_a_missing_path_lands_nothing(spark):
+    import pytest
+    from partyfold.sources.tables import read_or_none
+    assert read_or_none(spark, "/tmp/no-such-folder-at-all") is None
+    with pytest.raises(Exception):
+        read_or_none(spark, "nosuchscheme://x/y")
+
+
+def test_conf_of_any_size_from_stored_tables(spark):
+    import tempfile
+    from pyspark.sql import functions as F
+    from partyfold.functions import text as tx
+    from partyfold.sources.conf import Conf, store_conf
+    root = tempfile.mkdtemp(prefix="conf-")
+    store_conf(spark, root)
+    got, want = Conf.stored(spark, root), Conf.default()
+    assert got.replaces == want.replaces and set(got.prefectures) == set(want.prefectures)
+    assert {k: set(v) for k, v in got.keywords.items()} == {k: set(v) for k, v in want.keywords.items()}
+    pairs = [(f"k{i:04}", f"v{i}") for i in range(5000)]
+    df = spark.createDataFrame([("k0000-k4999-k2500 x",), (None,), ("plain",)], "v string")
+    assert [r[0] for r in df.select(tx.replace_partial("v", pairs)).collect()] == ["v0-v4999-v2500 x", "", "plain"]
+    few = pairs[:tx.NESTED_REPLACES - 1]
+    text = spark.range(40).select(F.concat(F.lit("k00"), F.lpad("id", 2, "0")).alias("v"))
+    long = text.select(tx.replace_partial("v", pairs[:40]).alias("a"), tx.replace_partial("v", few).alias("b")).collect()
+    assert [r.a for r in long] == [f"v{i}" for i in range(40)] and [r.b for r in long][:len(few)] == [f"v{i}" for i in range(len(few))]
+
+
+def test_manual_merge_is_all_or_nothing(spark):
+    import tempfile
+    import pytest
+    from conftest import SMALL
+    from partyfold.operators.manual_merge import BadInstructions, run_manual_merge
+    from partyfold.sources.fixtures import seed_company_master
+    root = tempfile.mkdtemp(prefix="merge-")
+    master = os.path.join(root, "m0")
+    seed_company_master(spark, SMALL).write.parquet(master)
+    before = spark.read.parquet(master).count()
+
+    def put(text):
+        path = os.path.join(tempfile.mkdtemp(prefix="instr-"), "merge.csv")
+        with open(path, "w", encoding="utf-8") as fh:
+            fh.write(text)
+        return path
+    with pytest.raises(BadInstructions) as e:
+        run_manual_merge(spark, put("0000000001,0000000007\n0000000013,8888888888\n"), master, os.path.join(root, "m1"))
+    assert [tuple(r) for r in e.value.problems.collect()] == [("absorbed", "8888888888", "unknown_code")]
+    assert not os.path.exists(os.path.join(root, "m1"))
+    with pytest.raises(Exception):
+        run_manual_merge(spark, os.path.join(root, "none.csv"), master, os.path.join(root, "m1"))
+    with pytest.raises(ValueError):
+        run_manual_merge(spark, put("0000000001,0000000007,x\n"), master, os.path.join(root, "m1"))
+    done = run_manual_merge(spark, put("0000000001\t,\u30000000000007\n"), master, os.path.join(root, "m1"))
+    assert done == {"instructions": 1, "company_rows": before - 1}
+    left = {r[0] for r in spark.read.parquet(os.path.join(root, "m1")).select("company_code").collect()}
+    assert "0000000001" in left and "0000000007" not in left
