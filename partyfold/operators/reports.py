@@ -25,10 +25,11 @@ def error_list(errors_by_feed: dict) -> DataFrame:
     return out
 
 
-def trend_of_counts(counts_by_feed: dict, now) -> DataFrame:
-    """F2 for a day's batch straight from the failing rows' counts (no error numbers needed)."""
-    frames = [df.select(F.to_date(now).alias("error_date"), F.lit(feed).alias("source"), "error_reason", "error_count")
-              for feed, df in counts_by_feed.items()]
+def trend_of_counts(counts_by_feed: dict) -> DataFrame:
+    """F2 straight from the failing rows' counts of one day each, (counts, day) by feed: no error
+    numbers needed."""
+    frames = [df.select(day.alias("error_date"), F.lit(feed).alias("source"), "error_reason", "error_count")
+              for feed, (df, day) in counts_by_feed.items()]
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f)

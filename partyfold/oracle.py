@@ -145,8 +145,10 @@ STREET = ("'中央区'||CAST(e%9+1 AS STRING)||'丁目'||CAST(e%20+1 AS STRING)|
 CNAME = ("CASE k%3 WHEN 0 THEN '株式会社取引先'||es "
          "WHEN 1 THEN '（株）取引先'||translate(es,'0123456789','０１２３４５６７８９') "
          "ELSE '㈱ 取引先'||es END")
-EMAIL = ("CASE WHEN k%37=0 THEN 'bad.example' WHEN k%4=0 THEN 'INFO@e'||es||'.example' "
-         "WHEN k%41=0 THEN NULL ELSE 'taro'||CAST(k AS STRING)||'@e'||es||'.example' END")
+PNO = "CAST(CASE WHEN k%10=1 THEN k-1 ELSE k END AS STRING)"
+DOM = "CAST(e - e%12 AS STRING)"
+EMAIL = ("CASE WHEN k%37=0 THEN 'bad.example' WHEN k%4=0 THEN 'INFO@e'||" + DOM + "||'.example' "
+         "WHEN k%41=0 THEN NULL ELSE 'taro'||" + PNO + "||'@e'||es||'.example' END")
 PHONE = ("CASE WHEN k%31=0 THEN '0312' WHEN k%5=0 THEN '090-'||lpad(CAST(k%10000 AS STRING),4,'0')||'-0000' "
          "WHEN k%43=0 THEN NULL ELSE '03-'||lpad(CAST(e%10000 AS STRING),4,'0')||'-1111' END")
 POST = "'〒'||lpad(CAST(e%1000 AS STRING),3,'0')||'-'||lpad(CAST(e%10000 AS STRING),4,'0')"
@@ -156,35 +158,35 @@ JOB = "CASE k%6 WHEN 0 THEN '代表取締役' WHEN 1 THEN '-' WHEN 2 THEN NULL E
 BASES = {
     "crm": ("customer", "c_custkey", "c_custkey - c_custkey%3"),
     "name_card": ("customer", "c_custkey", "c_custkey - c_custkey%3"),
-    "purchase": ("supplier", "s_suppkey", "s_suppkey*3"),
-    "invoice": ("supplier", "s_suppkey", "s_suppkey*3"),
+    "purchase": ("supplier", "s_suppkey", "(s_suppkey - s_suppkey%2)*3"),
+    "invoice": ("supplier", "s_suppkey", "(s_suppkey - s_suppkey%2)*3"),
     "sales": ("orders", "o_orderkey", "o_custkey - o_custkey%3"),
 }
 
 FEED_SELECT = {
-    "crm": f"""{CNAME} AS company_name, '営業部' AS department, '山田 太郎'||CAST(k AS STRING) AS name,
+    "crm": f"""{CNAME} AS company_name, '営業部' AS department, '山田 太郎'||{PNO} AS name,
  'やまだ ﾀﾛｳ' AS name_kana, {JOB} AS job_post, {EMAIL} AS email, {PHONE} AS phone_number,
  'https://e'||es||'.example' AS url, CAST(NULL AS STRING) AS postal_code,
  CASE WHEN k%29=0 THEN '東京' ELSE {PREF} END AS prefecture, {STREET} AS address, 'ＩＴ' AS industry,
- CAST(e%500 AS BIGINT) AS employees_volume, CAST(e%1000*1000 AS BIGINT) AS annual_revenue,
+ CASE WHEN k%3<>0 THEN CAST(e%500 AS BIGINT) END AS employees_volume, CAST(e%1000*1000 AS BIGINT) AS annual_revenue,
  k%2=0 AS contact_permission""",
-    "name_card": f"""'山田' AS family_name, CASE WHEN k%11=0 THEN NULL ELSE '太郎'||CAST(k AS STRING) END AS first_name,
+    "name_card": f"""'山田' AS family_name, CASE WHEN k%11=0 THEN NULL ELSE '太郎'||{PNO} END AS first_name,
  'やまだ' AS family_name_kana, 'ﾀﾛｳ' AS first_name_kana, '営業１部' AS department_name,
  {JOB} AS position_name, lpad(es,7,'0') AS postal_code, {CNAME} AS company_name,
  {PREF}||{STREET} AS address,
  CASE WHEN k%2=0 THEN 'ＡＢＣビル'||CAST(k%9 AS STRING)||'Ｆ' END AS building, {PHONE} AS phone_number,
  '03-'||lpad(CAST(e%10000 AS STRING),4,'0')||'-1111' AS company_phone_number, {EMAIL} AS email,
- 'info@e'||es||'.example' AS company_email""",
-    "purchase": f"""{CNAME} AS company_name, '佐藤　次郎'||CAST(k AS STRING) AS opponent_staff_name,
+ 'info@e'||{DOM}||'.example' AS company_email""",
+    "purchase": f"""{CNAME} AS company_name, '佐藤　次郎'||{PNO} AS opponent_staff_name,
  {PHONE} AS phone_number, {EMAIL} AS email_address, {POST}||{PREF}||{STREET} AS address,
  {INVNO} AS invoice_company_number""",
-    "sales": f"""{CNAME} AS customer_company_name, '鈴木 花子'||CAST(k AS STRING) AS customer_person_name,
- {PHONE} AS phone_number1,
+    "sales": f"""{CNAME} AS customer_company_name, '鈴木 花子'||CASE WHEN k%7=0 THEN es ELSE CAST(k AS STRING) END AS customer_person_name,
+ CASE WHEN k%7=0 THEN '090-'||lpad(CAST(e%10000 AS STRING),4,'0')||'-0000' ELSE {PHONE} END AS phone_number1,
  CASE WHEN k%3=0 THEN '080-'||lpad(CAST(k%10000 AS STRING),4,'0')||'-2222' END AS phone_number2,
  {EMAIL} AS email_address, {POST}||' '||{PREF}||{STREET} AS address""",
     "invoice": f"""{CNAME} AS invoice_issuer, {PHONE} AS tel_number,
  CASE WHEN k%19=0 THEN '1' ELSE '03-'||lpad(CAST(e%10000 AS STRING),4,'0')||'-9999' END AS fax_number,
- 'info@e'||es||'.example' AS email, {POST}||{PREF}||{STREET} AS address,
+ 'info@e'||{DOM}||'.example' AS email, {POST}||{PREF}||{STREET} AS address,
  {INVNO} AS invoice_company_number""",
 }
 
@@ -578,15 +580,15 @@ def seed_company(ch: Chain) -> str:
         return "seed_company"
     vals = {
         "company_code": "lpad(CAST(e+1 AS STRING),10,'0')",
-        "company_name": "CASE WHEN e%4=0 THEN '取引先'||CAST(e AS STRING) ELSE '株式会社取引先'||CAST(e AS STRING) END",
-        "full_address": f"{PREF}||'中央区'||CAST(e%9+1 AS STRING)||'-'||CAST(e%20+1 AS STRING)||'-'||CAST(e%30+1 AS STRING)",
-        "main_phone_number": "CASE WHEN e%12=0 THEN '' ELSE '03'||lpad(CAST(e%10000 AS STRING),4,'0')||'1111' END",
-        "main_email_address": "CASE WHEN e%10=0 THEN 'info@e'||CAST(e AS STRING)||'.example' ELSE '' END",
+        "company_name": "CASE WHEN e%6<>0 THEN '休眠'||CAST(e AS STRING) WHEN e%4=0 THEN '取引先'||CAST(e AS STRING) ELSE '株式会社取引先'||CAST(e AS STRING) END",
+        "full_address": f"CASE WHEN e%6<>0 THEN '' ELSE {PREF}||'中央区'||CAST(e%9+1 AS STRING)||'-'||CAST(e%20+1 AS STRING)||'-'||CAST(e%30+1 AS STRING) END",
+        "main_phone_number": "CASE WHEN e%6<>0 OR e%12=0 THEN '' ELSE '03'||lpad(CAST(e%10000 AS STRING),4,'0')||'1111' END",
+        "main_email_address": f"CASE WHEN e%30=0 THEN 'info@e'||{DOM}||'.example' ELSE '' END",
         "employees_volume": "CAST(e%4*100 AS BIGINT)",
         "supplier_flag": "e%8=0",
     }
     cols = ", ".join(f"{vals[c]} AS {c}" if c in vals else _null(c) for c in fixed.M_COMPANY_COLUMNS)
-    return ch.add("seed_company", f"SELECT {cols} FROM (SELECT c_custkey AS e FROM customer WHERE c_custkey%6=0) b")
+    return ch.add("seed_company", f"SELECT {cols} FROM (SELECT c_custkey AS e FROM customer) b")
 
 
 def seed_person(ch: Chain) -> str:
@@ -594,14 +596,14 @@ def seed_person(ch: Chain) -> str:
         return "seed_person"
     vals = {
         "person_id": "lpad(CAST(k+1 AS STRING),10,'0')",
-        "name": "'山田太郎'||CAST(k AS STRING)",
+        "name": "CASE WHEN k%2<>0 THEN '休眠太郎' ELSE '山田太郎' END||CAST(k AS STRING)",
         "company_code": "lpad(CAST(k - k%6 + 1 AS STRING),10,'0')",
         "job_post": "CASE WHEN k%18=0 THEN '代表取締役社長' ELSE '課長' END",
-        "phone_number": "CASE WHEN k%5=0 THEN '090'||lpad(CAST(k%10000 AS STRING),4,'0')||'0000' ELSE '' END",
-        "email_address": "'taro'||CAST(k AS STRING)||'@e'||CAST(k - k%3 AS STRING)||'.example'",
+        "phone_number": "CASE WHEN k%10=0 THEN '090'||lpad(CAST(k%10000 AS STRING),4,'0')||'0000' ELSE '' END",
+        "email_address": "CASE WHEN k%2<>0 THEN '' ELSE 'taro'||CAST(k AS STRING)||'@e'||CAST(k - k%3 AS STRING)||'.example' END",
     }
     cols = ", ".join(f"{vals[c]} AS {c}" if c in vals else _null(c) for c in fixed.M_PERSON_COLUMNS)
-    return ch.add("seed_person", f"SELECT {cols} FROM (SELECT c_custkey AS k FROM customer WHERE c_custkey%2=0) b")
+    return ch.add("seed_person", f"SELECT {cols} FROM (SELECT c_custkey AS k FROM customer) b")
 
 
 def instructions(ch: Chain) -> str:
@@ -802,8 +804,10 @@ def oracle_queries() -> dict[str, str]:
         parts = [f"SELECT *, {lit(f)} AS source FROM {errors(ch, f)}" for f in FEEDS]
         return ch.new("elist", "\nUNION ALL BY NAME\n".join(parts))
     q["error_list"] = _q(lambda ch: f"SELECT * FROM {_errs(ch)}")
-    q["error_trend"] = _q(lambda ch: f"""SELECT CAST(insert_datetime AS DATE) AS error_date, source, error_reason,
- count(*) AS error_count FROM {_errs(ch)} GROUP BY 1, 2, 3""")
+    # each feed's errors of another day: crm of the run day, name cards of the day before, ...
+    days = " ".join(f"WHEN {lit(f)} THEN {i}" for i, f in enumerate(FEEDS))
+    q["error_trend"] = _q(lambda ch: f"""SELECT CAST(CAST(insert_datetime AS DATE) - CAST(CASE source {days} END AS INTEGER) AS DATE) AS error_date,
+ source, error_reason, count(*) AS error_count FROM {_errs(ch)} GROUP BY 1, 2, 3""")
     q["candidates_name"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "replace(company_name, '株式会社', '')", "similar_name", 2))
     q["candidates_address"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "full_address", "same_address", 2))
     q["candidates_domain"] = _q(lambda ch: candidates(

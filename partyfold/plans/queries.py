@@ -234,7 +234,9 @@ def q_error_list(spark, d):
 
 
 def q_error_trend(spark, d):
-    return rp.trend_of_counts({f: error_counts(_work(spark, d, f), FEED_SPECS[f].checks, conf()) for f in FEEDS}, now())
+    # each feed's errors of another day: crm of the run day, name cards of the day before, ...
+    return rp.trend_of_counts({f: (error_counts(_work(spark, d, f), FEED_SPECS[f].checks, conf()),
+                                   F.date_sub(F.to_date(now()), i)) for i, f in enumerate(FEEDS)})
 
 
 def _company_screen(spark, d):

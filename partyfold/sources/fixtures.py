@@ -39,7 +39,7 @@ def _base(spark: SparkSession, sf_dir: str, feed: str) -> DataFrame:
         df = read_table(spark, sf_dir, "customer").select(k.alias("k"), (k - k % 3).alias("e"))
     elif feed in ("purchase", "invoice"):
         k = F.col("s_suppkey")
-        df = read_table(spark, sf_dir, "supplier").select(k.alias("k"), (k * 3).alias("e"))
+        df = read_table(spark, sf_dir, "supplier").select(k.alias("k"), ((k - k % 2) * 3).alias("e"))
     elif feed == "sales":
         df = read_table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").alias("k"),
@@ -73,12 +73,24 @@ def CNAME() -> Column:
             .otherwise(F.concat(F.lit("㈱ 取引先"), es)))
 
 
+def PNO() -> Column:
+    """Number in a person's name and mail: some rows are the person of the row before."""
+    k, e, es = _kes()
+    return _s(F.when(k % 10 == 1, k - 1).otherwise(k))
+
+
+def DOM() -> Column:
+    """Number of the mail domain, which four companies share."""
+    k, e, es = _kes()
+    return _s(e - e % 12)
+
+
 def EMAIL() -> Column:
     k, e, es = _kes()
     return (F.when(k % 37 == 0, F.lit("bad.example"))
-            .when(k % 4 == 0, F.concat(F.lit("INFO@e"), es, F.lit(".example")))
+            .when(k % 4 == 0, F.concat(F.lit("INFO@e"), DOM(), F.lit(".example")))
             .when(k % 41 == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("taro"), _s(k), F.lit("@e"), es, F.lit(".example"))))
+            .otherwise(F.concat(F.lit("taro"), PNO(), F.lit("@e"), es, F.lit(".example"))))
 
 
 def PHONE() -> Column:
@@ -116,13 +128,13 @@ def feed_columns(feed: str) -> list[Column]:
     if feed == "crm":
         return [
             CNAME().alias("company_name"), F.lit("営業部").alias("department"),
-            F.concat(F.lit("山田 太郎"), _s(k)).alias("name"), F.lit("やまだ ﾀﾛｳ").alias("name_kana"),
+            F.concat(F.lit("山田 太郎"), PNO()).alias("name"), F.lit("やまだ ﾀﾛｳ").alias("name_kana"),
             JOB().alias("job_post"), EMAIL().alias("email"), PHONE().alias("phone_number"),
             F.concat(F.lit("https://e"), es, F.lit(".example")).alias("url"),
             F.lit(None).cast("string").alias("postal_code"),
             F.when(k % 29 == 0, F.lit("東京")).otherwise(PREF()).alias("prefecture"),
             STREET().alias("address"), F.lit("ＩＴ").alias("industry"),
-            (e % 500).cast("bigint").alias("employees_volume"),
+            F.when(k % 3 != 0, (e % 500).cast("bigint")).alias("employees_volume"),
             (e % 1000 * 1000).cast("bigint").alias("annual_revenue"),
             (k % 2 == 0).alias("contact_permission"),
         ]
@@ -130,7 +142,7 @@ def feed_columns(feed: str) -> list[Column]:
         return [
             F.lit("山田").alias("family_name"),
             F.when(k % 11 == 0, F.lit(None).cast("string"))
-             .otherwise(F.concat(F.lit("太郎"), _s(k))).alias("first_name"),
+             .otherwise(F.concat(F.lit("太郎"), PNO())).alias("first_name"),
             F.lit("やまだ").alias("family_name_kana"), F.lit("ﾀﾛｳ").alias("first_name_kana"),
             F.lit("営業１部").alias("department_name"), JOB().alias("position_name"),
             F.lpad(es, 7, "0").alias("postal_code"), CNAME().alias("company_name"),
@@ -138,12 +150,12 @@ def feed_columns(feed: str) -> list[Column]:
             F.when(k % 2 == 0, F.concat(F.lit("ＡＢＣビル"), _s(k % 9), F.lit("Ｆ"))).alias("building"),
             PHONE().alias("phone_number"), _company_phone("-1111").alias("company_phone_number"),
             EMAIL().alias("email"),
-            F.concat(F.lit("info@e"), es, F.lit(".example")).alias("company_email"),
+            F.concat(F.lit("info@e"), DOM(), F.lit(".example")).alias("company_email"),
         ]
     if feed == "purchase":
         return [
             CNAME().alias("company_name"),
-            F.concat(F.lit("佐藤　次郎"), _s(k)).alias("opponent_staff_name"),
+            F.concat(F.lit("佐藤　次郎"), PNO()).alias("opponent_staff_name"),
             PHONE().alias("phone_number"), EMAIL().alias("email_address"),
             F.concat(POST(), PREF(), STREET()).alias("address"),
             INVNO().alias("invoice_company_number"),
@@ -151,8 +163,9 @@ def feed_columns(feed: str) -> list[Column]:
     if feed == "sales":
         return [
             CNAME().alias("customer_company_name"),
-            F.concat(F.lit("鈴木 花子"), _s(k)).alias("customer_person_name"),
-            PHONE().alias("phone_number1"),
+            F.concat(F.lit("鈴木 花子"), F.when(k % 7 == 0, es).otherwise(_s(k))).alias("customer_person_name"),
+            F.when(k % 7 == 0, F.concat(F.lit("090-"), _pad(e % 10000, 4), F.lit("-0000")))
+             .otherwise(PHONE()).alias("phone_number1"),
             F.when(k % 3 == 0, F.concat(F.lit("080-"), _pad(k % 10000, 4), F.lit("-2222")))
              .alias("phone_number2"),
             EMAIL().alias("email_address"),
@@ -162,7 +175,7 @@ def feed_columns(feed: str) -> list[Column]:
         return [
             CNAME().alias("invoice_issuer"), PHONE().alias("tel_number"),
             F.when(k % 19 == 0, F.lit("1")).otherwise(_company_phone("-9999")).alias("fax_number"),
-            F.concat(F.lit("info@e"), es, F.lit(".example")).alias("email"),
+            F.concat(F.lit("info@e"), DOM(), F.lit(".example")).alias("email"),
             F.concat(POST(), PREF(), STREET()).alias("address"),
             INVNO().alias("invoice_company_number"),
         ]
@@ -209,16 +222,18 @@ PERSON_TYPES = {"insert_datetime": "timestamp_ntz", "update_datetime": "timestam
 def seed_company_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, e, es = _kes()
     c = F.col("c_custkey")
-    base = read_table(spark, sf_dir, "customer").filter(c % 6 == 0).select(c.alias("e"))
+    base = read_table(spark, sf_dir, "customer").select(c.alias("e"))
+    other = e % 6 != 0            # in the master, but matched by no feed
     df = base.select(
         _pad(e + 1, 10).alias("company_code"),
-        F.when(e % 4 == 0, F.concat(F.lit("取引先"), _s(e)))
+        F.when(other, F.concat(F.lit("休眠"), _s(e))).when(e % 4 == 0, F.concat(F.lit("取引先"), _s(e)))
          .otherwise(F.concat(F.lit("株式会社取引先"), _s(e))).alias("company_name"),
-        F.concat(PREF(), F.lit("中央区"), _s(e % 9 + 1), F.lit("-"), _s(e % 20 + 1), F.lit("-"),
-                 _s(e % 30 + 1)).alias("full_address"),
-        F.when(e % 12 == 0, F.lit(""))
+        F.when(other, F.lit("")).otherwise(
+            F.concat(PREF(), F.lit("中央区"), _s(e % 9 + 1), F.lit("-"), _s(e % 20 + 1), F.lit("-"),
+                     _s(e % 30 + 1))).alias("full_address"),
+        F.when(other | (e % 12 == 0), F.lit(""))
          .otherwise(F.concat(F.lit("03"), _pad(e % 10000, 4), F.lit("1111"))).alias("main_phone_number"),
-        F.when(e % 10 == 0, F.concat(F.lit("info@e"), _s(e), F.lit(".example")))
+        F.when(e % 30 == 0, F.concat(F.lit("info@e"), DOM(), F.lit(".example")))
          .otherwise(F.lit("")).alias("main_email_address"),
         (e % 4 * 100).cast("bigint").alias("employees_volume"),
         (e % 8 == 0).alias("supplier_flag"),
@@ -229,15 +244,17 @@ def seed_company_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 def seed_person_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, e, es = _kes()
     c = F.col("c_custkey")
-    base = read_table(spark, sf_dir, "customer").filter(c % 2 == 0).select(c.alias("k"))
+    base = read_table(spark, sf_dir, "customer").select(c.alias("k"))
+    other = k % 2 != 0            # in the master, but matched by no feed
     df = base.select(
         _pad(k + 1, 10).alias("person_id"),
-        F.concat(F.lit("山田太郎"), _s(k)).alias("name"),
+        F.concat(F.when(other, F.lit("休眠太郎")).otherwise(F.lit("山田太郎")), _s(k)).alias("name"),
         _pad(k - k % 6 + 1, 10).alias("company_code"),
         F.when(k % 18 == 0, F.lit("代表取締役社長")).otherwise(F.lit("課長")).alias("job_post"),
-        F.when(k % 5 == 0, F.concat(F.lit("090"), _pad(k % 10000, 4), F.lit("0000")))
+        F.when(k % 10 == 0, F.concat(F.lit("090"), _pad(k % 10000, 4), F.lit("0000")))
          .otherwise(F.lit("")).alias("phone_number"),
-        F.concat(F.lit("taro"), _s(k), F.lit("@e"), _s(k - k % 3), F.lit(".example")).alias("email_address"),
+        F.when(other, F.lit("")).otherwise(
+            F.concat(F.lit("taro"), _s(k), F.lit("@e"), _s(k - k % 3), F.lit(".example"))).alias("email_address"),
     )
     return _typed_master(df, M_PERSON_COLUMNS, PERSON_TYPES)
 
