@@ -15,8 +15,7 @@ words and shorter runs of sentences are never cut.
 Scale: one scan makes the units; the least id of a digest is an aggregate of two numbers that
 combines before the shuffle, and the join that tells each occurrence its digest's
 keeper has one row per repeated digest on one side, so AQE can split a digest that a third
-of all documents hold. Spans come back to texts by a join on id that is broadcast only
-when the counted spans are few.
+of all documents hold. Spans come back to texts by a shuffled join on id, at any size.
 
 Defined cases: null text stays null, without spans; empty texts stay empty; texts are read
 whole; rows with equal ids but different texts are one document to the order (neither is cut for
@@ -40,8 +39,6 @@ from .secrets import merged
 
 ODD_BLANK = re.compile("[\t\r\v\f]|  |^ | $").search
 WORD = re.compile("[^\x20\t-\r]+")
-#: Spans whose table is broadcast, at most.
-BROADCAST_SPANS = 2_000_000
 
 
 def _words(line: str) -> tuple[list[str], list[int], list[int]]:
@@ -156,10 +153,8 @@ def dedup(docs: DataFrame, min_words: int = 10, min_line_words: int = 5, id_col:
     text (what is left) of every row."""
     rows = picked(docs, doc_id=id_col, text=text_col)
     spans = stored(repeated_spans(rows, min_words, min_line_words), "repeats")
-    size = spans.agg(F.coalesce(F.sum(F.size("spans") + 4), F.lit(0))).first()[0]
-    spans = spans.select(F.col("doc_id").alias("_id"), "key", "spans")
-    if size <= BROADCAST_SPANS:
-        spans = F.broadcast(spans)
+    # texts are what is large here: merge, whatever the planner makes of the size of the spans
+    spans = spans.select(F.col("doc_id").alias("_id"), "key", "spans").hint("merge")
     keyed = arrow_rows(rows, ["doc_id", "text"], ["text"], "text_key long", lambda: lambda text: [
         pa.array([_texts_key(t) if t else 0 for t in text.to_pylist()], pa.int64())])
     joined = keyed.join(spans, keyed["doc_id"].eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("key")), "left")
