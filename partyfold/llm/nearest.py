@@ -209,10 +209,12 @@ def _scored(pairs: DataFrame, queries: DataFrame, nodes: DataFrame, dim: int) ->
     return with_both.select("q", "v", "x", "half").mapInArrow(run, "q long, v long, s float")
 
 
-def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, dim: int, beam: int, opened: int, steps: int) -> DataFrame:
+def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, dim: int, degree: int, beam: int, opened: int, steps: int) -> DataFrame:
     """(q, v, s): the ``beam`` best nodes found for each query (q, half; q is a node). The walk
     starts at the query's own node."""
-    links = graph.select(F.col("u").alias("_u"), "v")
+    # the walk goes along edges both ways, against their direction as often as `degree` at most
+    reverse = _best(graph, degree, "v", "u").select(F.col("v").alias("_u"), F.col("u").alias("v"))
+    links = stored(graph.select(F.col("u").alias("_u"), "v").union(reverse).distinct(), "links")
     entry = graph.join(queries.select(F.col("q").alias("u")), "u").select(F.col("u").alias("q"), "v", "s", F.lit(False).alias("open"))
     pool = stored(_best(entry, beam, "q"), "pool")
     for _ in range(steps):
@@ -230,8 +232,8 @@ def search(queries: DataFrame, nodes: DataFrame, graph: DataFrame, dim: int, bea
     return pool.select("q", "v", "s")
 
 
-def nearest(rows: DataFrame, is_query: Column, k: int = 5, degree: int = 20, n_trees: int = 4, rounds: int = 6,
-            settled: float = 0.02, per_member: int = 5, beam: int = 60, opened: int = 20, steps: int = 5,
+def nearest(rows: DataFrame, is_query: Column, k: int = 5, degree: int = 24, n_trees: int = 4, rounds: int = 6,
+            settled: float = 0.02, per_member: int = 6, beam: int = 150, opened: int = 40, steps: int = 6,
             seed: int = 8) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found of each row of ``rows`` (vec_id,
     embedding) where ``is_query`` holds, by cosine, ties to the smaller id."""
@@ -250,7 +252,7 @@ def nearest(rows: DataFrame, is_query: Column, k: int = 5, degree: int = 20, n_t
     asked = usable.filter(is_query).select(F.col("vec_id").alias("query_id"), F.col("node").alias("q"), "exact").dropDuplicates(["query_id", "q"])
     asked = stored(asked, "queries")
     starts = asked.select("q").distinct().join(nodes, F.col("q") == F.col("node")).select("q", "half")
-    found = search(stored(starts, "query-nodes"), nodes, graph, dim, beam, opened, steps)
+    found = search(stored(starts, "query-nodes"), nodes, graph, dim, degree, beam, opened, steps)
     short = _best(found, 3 * k, "q").select("q", "v").union(asked.select("q", F.col("q").alias("v")).distinct())
     pairs = (short.join(asked, "q").join(members.select(F.col("node").alias("v"), "vec_id", F.col("exact").alias("other")), "v")
              .filter("vec_id != query_id"))
