@@ -43,6 +43,16 @@ def small_side(df: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n <= BROADCAST_ROWS else df
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores before it until no column of ``df`` has it."""
+    out = []
+    for n in names:
+        while n in df.columns:
+            n = f"_{n}"
+        out.append(n)
+    return out
+
+
 def picked(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names (so that any other
     column of the input can have any name)."""

@@ -9,21 +9,24 @@ Light sets (size <= boundary) list every subset they can keep after as many dele
 threshold allows; equal subsets of two sets are the overlap itself. Heavy sets, and light
 ones within reach of a heavy partner, are found through inverted lists of their first
 ``|x| - ceil(num / den |x|) + 1`` n-grams in one global order (n-grams that blocks of texts
-report as frequent come last), where linked sets must meet, with bounds from sizes and
-places in the order. The boundary is the size at which listing subsets, summed over the size
-histogram, costs as much as posting and scanning lists.
-
-No list is expanded into all pairs. Round one pairs each member of a list with one
-hub, the member whose shared n-gram comes earliest; the pairs are verified on full sets and give
+report as frequent come last, by the power of two of their count), where linked sets must meet. Bounds from sizes, places in
+the order and the number of shared n-grams drop pairs that cannot link before any set is
+fetched. The boundary is the size at which listing subsets, summed over the size histogram,
+costs as much as posting and scanning lists.
+
+No list is expanded into all pairs. Round one pairs each member of a list with one hub, the
+member with the fewest rare n-grams in its prefix (the same for all lists of a family of
+copies, and the one nearest to all of them); the pairs are verified on full sets and give
 components. Round two takes the lists that still hold several components and pairs only
 members of different components, so what copies have in common is compared once. Every pair
 that can link is in one component already or is verified, so no link is lost.
 
-Scale: texts are hashed in tasks (three scans, the last one only for candidates); what is
-shuffled is the prefix postings, the pairs and the candidates' sets. Lists of frequent n-grams (a
-bounded table) get their hub by an aggregate that combines before the shuffle and a broadcast
-of at most that table; members that are copies are listed once per task. Joins can be split
-by AQE. Nothing that grows with the corpus reaches the driver.
+Scale: texts are hashed in tasks (three scans, the last one only for candidates); prefixes
+are stored once, and what is shuffled is the prefix postings, the pairs and the candidates'
+sets. Lists of frequent n-grams (a bounded table) get their hub by an aggregate that
+combines before the shuffle and a broadcast of at most that table; members that are copies
+are listed once per task. Joins can be split by AQE. Nothing that grows with the corpus
+reaches the driver.
 
 Defined cases: null, empty and word-free texts have size 0 and link with nothing (their
 component is their own id); fewer words than n are one n-gram; rows with equal ids are separate
@@ -44,12 +47,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, picked, small_side, stored, table, utf8
+from .common import arrow_rows, free_names, picked, small_side, stored, table, utf8
 from .components import components
 
 #: Words whose hash a task remembers, n-grams in a block that counts them, how often a block
 #: must hold one to report it, and how many reported ones are ordered last.
-REMEMBERED, BLOCK, FREQUENT, LAST = 500_000, 4_000_000, 3, 200_000
+REMEMBERED, BLOCK, FREQUENT, LAST = 200_000, 2_000_000, 2, 200_000
 #: Largest size whose subsets may be listed, and what scanning a posting costs against
 #: writing one key.
 MOST_LIGHT, SCAN_COST = 24, 4
@@ -91,18 +94,17 @@ class Shingler:
         return np.unique(_mixed(total))
 
 
-def class_of(grams: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set, as two signed numbers."""
-    d = xxhash.xxh3_128_intdigest(grams.tobytes())
-    return (d >> 64) - (1 << 63), (d & (1 << 64) - 1) - (1 << 63)
+def class_of(grams: np.ndarray) -> bytes:
+    """128 bits of a set."""
+    return xxhash.xxh3_128_digest(grams.tobytes())
 
 
 def _digests(rows: DataFrame, n: int) -> DataFrame:
-    """For every row (gram 0): doc_id, its class h1, h2 and size n; for every n-gram frequent
-    in a block (gram 1): the n-gram in h1 and its count in n."""
+    """For every row: doc_id, its class (node) and size n; for every n-gram frequent in a
+    block: gram and its count n, without a node."""
     id_type = rows.schema["doc_id"].dataType
-    schema = T.StructType([T.StructField("gram", T.IntegerType()), T.StructField("doc_id", id_type),
-                           T.StructField("h1", T.LongType()), T.StructField("h2", T.LongType()), T.StructField("n", T.LongType())])
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("node", T.BinaryType()),
+                           T.StructField("gram", T.LongType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(n)
@@ -113,28 +115,26 @@ def _digests(rows: DataFrame, n: int) -> DataFrame:
             grams, counts = np.unique(np.concatenate(block), return_counts=True)
             often = counts >= FREQUENT
             grams, counts = grams[often].view(np.int64), counts[often]
-            zeros = np.zeros(len(grams), np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(zeros + 1, pa.int32()), pa.nulls(len(grams), ids_type), pa.array(grams),
-                                               pa.array(zeros), pa.array(counts)], names=schema.names)
+            return pa.RecordBatch.from_arrays([pa.nulls(len(grams), ids_type), pa.nulls(len(grams), pa.binary()),
+                                               pa.array(grams), pa.array(counts)], names=schema.names)
 
         for b in batches:
             ids_type = b.column(0).type
-            h1, h2, sizes = [], [], []
+            nodes, sizes = [], []
             for text in utf8(b.column(1)):
                 grams = shingle(text)
-                a, c = class_of(grams)
-                h1.append(a)
-                h2.append(c)
+                node = class_of(grams)
+                nodes.append(node)
                 sizes.append(len(grams))
-                if len(grams) and (a, c) not in seen:
-                    seen.add((a, c))
+                if len(grams) and node not in seen:
+                    seen.add(node)
                     block.append(grams)
                     size += len(grams)
                     if size >= BLOCK:
                         yield frequent()
                         block, size, seen = [], 0, set()
-            yield pa.RecordBatch.from_arrays([pa.array(np.zeros(len(h1)), pa.int32()), b.column(0), pa.array(h1, pa.int64()),
-                                              pa.array(h2, pa.int64()), pa.array(sizes, pa.int64())], names=schema.names)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(nodes, pa.binary()), pa.nulls(len(nodes), pa.int64()),
+                                              pa.array(sizes, pa.int64())], names=schema.names)
         if block:
             yield frequent()
 
@@ -158,15 +158,16 @@ def boundary(histogram: dict[int, int], num: int, den: int) -> int:
     return best
 
 
-def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, last: np.ndarray) -> DataFrame:
-    """(gram, h1, h2, n, place, often): n-grams of prefixes with their place, and subsets
-    with place = -their size."""
-    sent = rows.sparkSession.sparkContext.broadcast(last)
+def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[DataFrame, DataFrame]:
+    """Prefixes (node, n, grams, places, rare), and the same as postings (gram, node, n, place,
+    central, often): n-grams of prefixes with their place, and subsets with place = -their size.
+    central counts the rare n-grams of a heavy set's prefix."""
+    sent = rows.sparkSession.sparkContext.broadcast(frequent)
     reach = -(-num * (light + 1) // den)
 
     def make():
-        shingle, often = Shingler(n), sent.value
-        listed: set[tuple[int, int]] = set()
+        shingle, (often, level) = Shingler(n), sent.value
+        listed: set[bytes] = set()
 
         def keys(grams: np.ndarray):
             s = len(grams)
@@ -177,7 +178,9 @@ def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, last: np.
                 first = deletions(s, num, den) + 1
                 rare = grams[~common][:first]
                 n_rare = len(rare)
-                ordered = np.concatenate([rare, grams[common][:first - n_rare]])
+                rest = np.nonzero(common)[0]
+                rest = rest[np.lexsort((grams[rest], level[at[rest]]))][:first - n_rare] if len(rest) else rest
+                ordered = np.concatenate([rare, grams[rest]])
                 out.append(ordered)
                 places.append(np.arange(len(ordered)))
             if s <= light:
@@ -190,46 +193,72 @@ def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, last: np.
             return np.concatenate(out).view(np.int64), np.concatenate(places), n_rare
 
         def run(text):
-            h1, h2, sizes, grams_of, places_of, rare_of = [], [], [], [], [], []
+            nodes, sizes, grams_of, places_of, rare_of = [], [], [], [], []
             for t in utf8(text):
                 grams = shingle(t)
-                c = class_of(grams)
-                new = len(grams) > 0 and c not in listed
+                node = class_of(grams)
+                new = len(grams) > 0 and node not in listed
                 if new:
                     if len(listed) > REMEMBERED:
                         listed.clear()
-                    listed.add(c)
+                    listed.add(node)
                 g, p, r = keys(grams) if new else (np.zeros(0, np.int64), np.zeros(0, np.int64), 0)
-                for to, x in ((h1, c[0]), (h2, c[1]), (sizes, len(grams)), (grams_of, g), (places_of, p), (rare_of, r)):
+                for to, x in ((nodes, node), (sizes, len(grams)), (grams_of, g), (places_of, p), (rare_of, r)):
                     to.append(x)
 
             def lists(parts, kind):
                 offsets = np.cumsum([0, *map(len, parts)])
                 return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *parts]).astype(kind)))
-            return [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(sizes, pa.int32()),
+            return [pa.array(nodes, pa.binary()), pa.array(sizes, pa.int32()),
                     lists(grams_of, np.int64), lists(places_of, np.int32), pa.array(rare_of, pa.int32())]
         return run
 
-    found = arrow_rows(rows, [], ["text"], "h1 long, h2 long, n int, grams array<long>, places array<int>, rare int", make)
-    return (found.select("h1", "h2", "n", "rare", F.explode(F.arrays_zip("grams", "places")).alias("g"))
-            .select(F.col("g.grams").alias("gram"), "h1", "h2", "n", F.col("g.places").alias("place"),
+    found = arrow_rows(rows, [], ["text"], "node binary, n int, grams array<long>, places array<int>, rare int", make)
+    found = stored(found.filter(F.size("grams") > 0), "prefixes")
+    return found, (found.select("node", "n", "rare", F.explode(F.arrays_zip("grams", "places")).alias("g"))
+            .select(F.col("g.grams").alias("gram"), "node", "n", F.col("g.places").alias("place"),
+                    F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)).alias("central"),
                     (F.col("g.places") >= F.col("rare")).alias("often")))
 
 
-def _can_link(num: int, den: int, a: str, b: str) -> Column:
-    """Size and place bounds at a shared n-gram (exact at the first one two sets share)."""
-    na, nb, pa_, pb = (F.col(f"{x}.{c}") for c in ("n", "place") for x in (a, b))
-    tau = F.ceil(num * (na + nb) / float(num + den))
-    return F.when(pa_ < 0, -pa_ >= tau).otherwise(F.least(na - pa_, nb - pb) >= tau)
+def _tau(na: Column, nb: Column, num: int, den: int) -> Column:
+    return F.ceil(num * (na + nb) / float(num + den)).cast("int")
 
 
-def _node(h1: str, h2: str) -> Column:
-    return F.concat(F.lpad(F.hex(F.col(h1)), 16, "0"), F.lpad(F.hex(F.col(h2)), 16, "0"))
+def _meetings(rows: DataFrame, num: int, den: int, a: str, b: str) -> DataFrame:
+    """(a, b, proved) of joined postings that may link by size and by their places in the order:
+    the bound is exact at the first n-gram two sets share. A shared subset proves the link."""
+    na, nb, pa_, pb = (F.col(f"{x}.{c}") for c in ("n", "place") for x in (a, b))
+    tau = _tau(na, nb, num, den)
+    near = F.when(pa_ < 0, -pa_ >= tau).otherwise(F.least(na - pa_, nb - pb) >= tau)
+    fits = F.least(na, nb) * den >= F.greatest(na, nb) * num
+    left, right = F.col(f"{a}.node"), F.col(f"{b}.node")
+    met = rows.filter(fits & near).select(F.least(left, right).alias("a"), F.greatest(left, right).alias("b"), (pa_ < 0).alias("proved"))
+    return met.groupBy("a", "b").agg(F.max("proved").alias("proved"))
+
+
+def _plausible(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose prefixes share enough: sets with an overlap of tau or more share at least
+    c of their first |x| - tau + c and |y| - tau + c n-grams, here for the largest c that both
+    prefixes allow. Prefixes are a small part of the sets, which only these pairs fetch."""
+    pairs = stored(pairs, "pairs")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    own = (prefixes.join(small_side(wanted), "node", "left_semi").groupBy("node")
+           .agg(F.first("n").alias("n"), F.first("grams").alias("grams")))
+    both = (pairs.join(own.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("grams").alias("x")), "a")
+            .join(own.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("grams").alias("y")), "b"))
+    na, nb = F.col("na"), F.col("nb")
+    tau = _tau(na, nb, num, den)
+    spare = lambda n: tau - F.ceil(num * n / float(den)).cast("int") + 1
+    c = F.greatest(F.least(spare(na), spare(nb)), F.lit(1))
+    shared = F.size(F.array_intersect(F.slice("x", F.lit(1), F.greatest(na - tau + c, F.lit(0))),
+                                      F.slice("y", F.lit(1), F.greatest(nb - tau + c, F.lit(0)))))
+    return both.filter(F.col("proved") | (shared >= c)).select("a", "b")
 
 
 def _with_hub(postings: DataFrame) -> DataFrame:
     """Postings of lists with two classes or more, with the hub of their list."""
-    member = F.struct("place", "n", "node")
+    member = F.struct("central", "n", "node", "place")
     w = Window.partitionBy("gram")
     rare = (postings.filter("not often")
             .withColumns({"hub": F.min(member).over(w), "least": F.min("node").over(w), "most": F.max("node").over(w)})
@@ -245,7 +274,6 @@ def _with_hub(postings: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of classes that link, by their full sets."""
-    pairs = stored(pairs.distinct(), "pairs")
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     wanted = stored(wanted.join(classes, "node").select("node", "least_id"), "candidates")
     ids = wanted.select(F.col("least_id").alias("_id")).distinct()
@@ -257,14 +285,11 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num
 
         def run(text):
             sets = [shingle(t) for t in utf8(text)]
-            h = [class_of(s) for s in sets]
-            return [pa.array([x for x, _ in h], pa.int64()), pa.array([x for _, x in h], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())]
+            return [pa.array([class_of(s) for s in sets], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())]
         return run
 
-    sets = arrow_rows(texts, [], ["text"], "h1 long, h2 long, grams binary", make)
-    sets = (sets.select(_node("h1", "h2").alias("node"), "grams").join(wanted.select("node"), "node", "left_semi")
-            .groupBy("node").agg(F.first("grams").alias("grams")))
+    sets = arrow_rows(texts, [], ["text"], "node binary, grams binary", make)
+    sets = sets.join(wanted.select("node"), "node", "left_semi").groupBy("node").agg(F.first("grams").alias("grams"))
     both = (pairs.join(sets.select(F.col("node").alias("a"), F.col("grams").alias("x")), "a")
             .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"))
 
@@ -278,7 +303,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num
             kept = b.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a string, b string")
+    return both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary")
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",
@@ -287,35 +312,38 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     its class), class_id (equal sets) and group_id (the component's first class) of every row."""
     rows = picked(docs, doc_id=id_col, text=text_col)
     digests = stored(_digests(rows, n), "jaccard-digests")
-    own = digests.filter("gram = 0").select("doc_id", "n", _node("h1", "h2").alias("node"))
+    own = digests.filter("node is not null").select("doc_id", "n", "node")
     sized = own.filter("n > 0")
     histogram = {r.n: r["count"] for r in sized.filter(F.col("n") <= MOST_LIGHT).groupBy("n").count().collect()}
     light = boundary(histogram, num, den)
-    last = (digests.filter("gram = 1").groupBy("h1").agg(F.sum("n").alias("n"))
-            .orderBy(F.desc("n"), "h1").limit(LAST).select("h1").toArrow())
-    last = np.sort(last["h1"].to_numpy().view(np.uint64))
+    last = (digests.filter("gram is not null").groupBy("gram").agg(F.sum("n").alias("n"))
+            .orderBy(F.desc("n"), "gram").limit(LAST).toArrow())
+    grams, counts = last["gram"].to_numpy().view(np.uint64), last["n"].to_numpy()
+    by_gram = np.argsort(grams)
+    frequent = grams[by_gram], np.log2(np.maximum(counts, 1)).astype(np.int8)[by_gram]
     classes = sized.groupBy("node").agg(F.min("doc_id").alias("least_id"))
 
-    postings = _postings(rows, n, num, den, light, last)
-    postings = postings.select("gram", _node("h1", "h2").alias("node"), "n", "place", "often")
+    prefixes, postings = _postings(rows, n, num, den, light, frequent)
     lists = stored(_with_hub(postings), "lists")
 
-    stars = (lists.alias("x").filter("node != hub.node")
-             .filter(_can_link(num, den, "x", "hub"))
-             .select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")))
-    links = stored(_verified(stars, rows, classes, n, num, den), "links-1")
+    with_hubs = lists.filter("node != hub.node").select(F.struct("n", "place", "node").alias("x"), "hub")
+    stars = stored(_meetings(with_hubs, num, den, "x", "hub"), "stars")
+    plausible = stored(_plausible(stars, prefixes, num, den), "pairs-1")
+    links = stored(_verified(plausible, rows, classes, n, num, den), "links-1")
     roots = components(links)
 
     labelled = (lists.filter("place >= 0").drop("hub").join(roots, "node", "left")
                 .withColumn("root", F.coalesce("root", "node")))
     hub_root = (labelled.groupBy(F.col("gram").alias("_gram"))
-                .agg(F.min(F.struct("place", "n", "node", "root")).alias("h"), F.min("root").alias("least"), F.max("root").alias("most"))
+                .agg(F.min(F.struct("central", "n", "node", "root")).alias("h"), F.min("root").alias("least"), F.max("root").alias("most"))
                 .filter("least != most").select("_gram", F.col("h.root").alias("hub_root")))
     mixed = stored(labelled.join(hub_root, F.col("gram") == F.col("_gram")).drop("_gram"), "mixed-lists")
     x, y = mixed.filter("root != hub_root").alias("x"), mixed.alias("y")
-    crossing = (x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root"))
-                       & _can_link(num, den, "x", "y"))
-                .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")))
+    # two rows of different components that both differ from the hub's meet from both sides: once is enough
+    both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root"))
+                  & ((F.col("y.root") == F.col("y.hub_root")) | (F.col("x.node") < F.col("y.node"))))
+    crossing = _meetings(both, num, den, "x", "y").join(stars.select("a", "b"), ["a", "b"], "left_anti")
+    crossing = stored(_plausible(crossing, prefixes, num, den), "pairs-2")
     more = stored(_verified(crossing, rows, classes, n, num, den), "links-2")
     if not more.isEmpty():
         links = links.union(more)
@@ -342,32 +370,32 @@ def one_of_each(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_c
     """``docs`` with one row of each component: the row of its least id. Rows without words
     stay. Of rows that share an id (or have none) one of each component's stays, so equal rows become one."""
     joined = stored(join(docs, n, num, den, id_col, text_col), "components")
-    odd = joined.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias("_odd"))
+    odd_id, lost_id, class_id, own_id, node, empty = free_names(
+        docs, "jj_odd", "jj_lost", "jj_class", "jj_id", "jj_node", "jj_empty")
+    odd = joined.groupBy("doc_id").count().filter("doc_id is null or count > 1").select(F.col("doc_id").alias(odd_id))
     odd = stored(odd, "odd-ids")
-    lost = (joined.filter("n_shingles > 0 and doc_id != component_id").select(F.col("doc_id").alias("_lost")).distinct())
-    lost = stored(lost.join(odd, F.col("_lost") == F.col("_odd"), "left_anti"), "lost-ids")
+    lost = joined.filter("n_shingles > 0 and doc_id != component_id").select(F.col("doc_id").alias(lost_id)).distinct()
+    lost = stored(lost.join(odd, F.col(lost_id) == F.col(odd_id), "left_anti"), "lost-ids")
     some_odd = not odd.isEmpty()
-    plain = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col("_odd")), "left_anti") if some_odd else docs
-    kept = plain.join(small_side(lost), plain[id_col] == F.col("_lost"), "left_anti")
+    plain = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col(odd_id)), "left_anti") if some_odd else docs
+    kept = plain.join(small_side(lost), plain[id_col] == F.col(lost_id), "left_anti")
     if not some_odd:
         return kept
     chosen = (joined.filter("n_shingles > 0 and doc_id <=> component_id").groupBy("group_id", "doc_id")
-              .agg(F.min("class_id").alias("_class")).select(F.col("doc_id").alias("_id"), "_class"))
+              .agg(F.min("class_id").alias(class_id)).select(F.col("doc_id").alias(own_id), class_id))
 
     def make():
         shingle = Shingler(n)
 
         def run(text):
             sets = [shingle(t) for t in utf8(text)]
-            h = [class_of(s) for s in sets]
-            return [pa.array([x for x, _ in h], pa.int64()), pa.array([x for _, x in h], pa.int64()), pa.array([len(s) == 0 for s in sets], pa.bool_())]
+            return [pa.array([class_of(s) for s in sets], pa.binary()), pa.array([len(s) == 0 for s in sets], pa.bool_())]
         return run
-    extra = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col("_odd")), "left_semi")
-    keyed = arrow_rows(extra, docs.columns, [text_col], "_h1 long, _h2 long, _empty boolean", make).withColumn("_node", _node("_h1", "_h2"))
-    empty = keyed.filter("_empty").select(*docs.columns)
-    first = (keyed.filter("not _empty").join(chosen, keyed[id_col].eqNullSafe(F.col("_id")) & (F.col("_node") == F.col("_class")), "left_semi")
-             .dropDuplicates([id_col, "_node"]).select(*docs.columns))
-    return kept.unionByName(empty).unionByName(first)
+    extra = docs.join(small_side(odd), docs[id_col].eqNullSafe(F.col(odd_id)), "left_semi")
+    keyed = arrow_rows(extra, docs.columns, [text_col], f"{node} binary, {empty} boolean", make)
+    same = keyed[id_col].eqNullSafe(F.col(own_id)) & (F.col(node) == F.col(class_id))
+    first = keyed.filter(~F.col(empty)).join(chosen, same, "left_semi").dropDuplicates([id_col, node])
+    return kept.unionByName(keyed.filter(empty).select(*docs.columns)).unionByName(first.select(*docs.columns))
 
 
 def query(spark, sf_dir: str) -> DataFrame:
