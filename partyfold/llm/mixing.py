@@ -7,9 +7,9 @@ A source then repeats each of its documents ``floor(target / size)`` times, and
 fraction that is left is one more copy of documents in a seeded order, up to the target.
 
 Scale: the texts are read once (a count of words, JVM only). The seeded order is a hash;
-the cut in it is found from sums per (source, leading bits of the hash), which combine
-before the shuffle, and only documents of the one bucket that holds the cut of a source are
-put in order. A source with a third of all rows is thus spread over all tasks.
+the cut in it is found from sums per (source, leading bits of the hash), eight more bits at
+a time and only within the bucket that holds the cut; the sums combine before the shuffle, and
+only documents of the last such bucket are put in order. A source with a third of all rows is thus spread over all tasks.
 
 Defined cases: null text has size 0 and is taken 0 times; null source is a source of its
 own, last in order; rows with equal ids are separate rows; sources without words get target
@@ -24,10 +24,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.ordinal import with_global_ordinal
-from .common import WORD_PATTERN, picked, small_side, stored
+from .common import WORD_PATTERN, free_names, picked, small_side, stored
 
-#: Leading bits of the 60-bit order hash that name a bucket.
-BUCKET_BITS = 16
+#: The cut of a source is found by so many more leading bits of the 60-bit order hash at each level.
+BITS, LEVELS = 8, 3
 
 
 def word_count(text):
@@ -40,6 +40,10 @@ def order_hash(doc_id, seed: str):
                                              F.lit(seed))), 1, 15), 16, 10).cast("long")
 
 
+def _bucket(level: int):
+    return F.shiftright("_h", 60 - BITS * level)
+
+
 def water_fill(sources: DataFrame, total: float) -> DataFrame:
     """Targets of ``sources`` (source, weight, cap): adds ``target``. Clamping only ever
     adds sources, so the loop ends; each round is one aggregate over one row per source."""
@@ -81,22 +85,25 @@ def _mixed(docs: DataFrame, weights: Sequence[int], total_share: float, max_epoc
     plan = (filled.withColumn("_whole", rate.cast("long"))
             .withColumn("_rest", F.round(F.col("target") - F.col("_whole") * F.col("source_size")).cast("long")))
 
-    # where in the hash order each source's last, fractional copy ends
-    bucket = F.shiftright(F.col("_h"), 60 - BUCKET_BITS)
-    sized = rows.filter("size > 0").withColumn("_b", bucket)
-    filling = sized.groupBy("source", "_b").agg(F.sum("size").alias("_s"))
-    before = Window.partitionBy("source").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    filling = filling.withColumn("_before", F.coalesce(F.sum("_s").over(before), F.lit(0)))
-    cuts = (filling.join(plan.select(F.col("source").alias("_src"), "_rest"),
-                         F.col("source").eqNullSafe(F.col("_src")))
-            .filter("_before < _rest and _rest <= _before + _s")
-            .select(F.col("source").alias("_src"), F.col("_b").alias("_cut"), "_before"))
-    plan = stored(plan.join(cuts, F.col("source").eqNullSafe(F.col("_src")), "left")
-                  .select(F.col("source").alias("_src"), "source_size", "target", "_whole", "_rest",
-                          F.coalesce("_cut", F.lit(-1)).alias("_cut"),
-                          F.coalesce("_before", F.lit(0)).alias("_before")), "mix-plan")
+    # where in the hash order each source's last, fractional copy ends: bits by bits, from sums
+    # that combine before the shuffle
+    plan = plan.select(F.col("source").alias("_src"), "source_size", "target", "_whole", "_rest",
+                       F.lit(0).cast("long").alias("_cut"), F.lit(0).cast("long").alias("_before"))
+    for level in range(1, LEVELS + 1):
+        plan = stored(plan, "mix-plan")
+        here = (rows.filter("size > 0").join(small_side(plan.select("_src", "_rest", "_cut", F.col("_before").alias("_base"))),
+                                             F.col("source").eqNullSafe(F.col("_src")))
+                .withColumn("_b", _bucket(level)).filter(F.shiftright("_b", BITS) == F.col("_cut")))
+        sums = here.groupBy("_src", "_rest", "_base", "_b").agg(F.sum("size").alias("_s"))
+        before = Window.partitionBy("_src").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+        sums = sums.withColumn("_before", F.col("_base") + F.coalesce(F.sum("_s").over(before), F.lit(0)))
+        cuts = (sums.filter("_before < _rest and _rest <= _before + _s")
+                .select(F.col("_src").alias("_at"), F.col("_b").alias("_cut"), "_before"))
+        plan = (plan.drop("_cut", "_before").join(cuts, F.col("_src").eqNullSafe(F.col("_at")), "left").drop("_at")
+                .withColumn("_cut", F.coalesce("_cut", F.lit(-1))).withColumn("_before", F.coalesce("_before", F.lit(0))))
+    plan = stored(plan, "mix-plan")
     joined = (rows.join(small_side(plan), F.col("source").eqNullSafe(F.col("_src"))).drop("_src")
-              .withColumn("_b", bucket))
+              .withColumn("_b", _bucket(LEVELS)))
     at_cut = (F.col("_b") == F.col("_cut")) & (F.col("size") > 0)
     running = (Window.partitionBy("source").orderBy("_h", "doc_id", "size")
                .rowsBetween(Window.unboundedPreceding, -1))
@@ -133,14 +140,15 @@ def repeated(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), total_share: f
     source alike); rows without words are taken 0 times. Each source's last copy ends at one place of the
     hash order, so rows are decided where they are, by a table with one row per source."""
     mixed = _mixed(docs, weights, total_share, max_epochs, seed, True, id_col, text_col, source_col)
-    plan = mixed.groupBy(F.col("source").alias("_src")).agg(
-        F.max("whole").alias("_whole"), F.max(F.when(F.col("part") > 0, F.col("_h"))).alias("_last"))
+    src, whole, last, count, copy = free_names(docs, "mix_source", "mix_whole", "mix_last", "mix_copies", "mix_copy")
+    plan = mixed.groupBy(F.col("source").alias(src)).agg(
+        F.max("whole").alias(whole), F.max(F.when(F.col("part") > 0, F.col("_h"))).alias(last))
     plan = stored(plan, "mix-copies")
-    joined = docs.join(small_side(plan), docs[source_col].eqNullSafe(F.col("_src")))
-    one_more = order_hash(docs[id_col], seed) <= F.coalesce(F.col("_last"), F.lit(-1))
-    copies = F.when(word_count(docs[text_col]) > 0, F.col("_whole") + one_more.cast("long")).otherwise(F.lit(0))
-    return (joined.select(*[docs[c] for c in docs.columns], copies.alias("_copies")).filter("_copies > 0")
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies"))))
+    joined = docs.join(small_side(plan), docs[source_col].eqNullSafe(F.col(src)))
+    one_more = order_hash(docs[id_col], seed) <= F.coalesce(F.col(last), F.lit(-1))
+    copies = F.when(word_count(docs[text_col]) > 0, F.col(whole) + one_more.cast("long")).otherwise(F.lit(0))
+    return (joined.select(*[docs[c] for c in docs.columns], copies.alias(count)).filter(F.col(count) > 0)
+            .withColumn(copy, F.explode(F.sequence(F.lit(1).cast("long"), F.col(count))))
             .select(*docs.columns))
 
 
