@@ -5,12 +5,19 @@ too, the sentences of each line: a sentence starts at the start of a line, after
 ends with . ! or ? and at a capitalised word. A sentence of fewer than ``min_words`` words is
 widened to whole neighbour sentences of its line, once forwards and once backwards, so a
 repeated passage is covered to its first and last word however short its sentences are.
-Units are normalised (lower case, single spaces) and hashed to 96 bits.
+Pieces of ``min_words`` words, chosen by their hash alone over the whole text (winnowing: the least hash
+of every ``WINDOW`` neighbouring pieces), are units as well, so a repeat needs no line or
+sentence of its own: any run of ``min_words + WINDOW - 1`` equal words is found, and at most
+``WINDOW - 1`` words at each of its ends stay. A line break between two lines as long as that is part
+of a piece; other breaks count as blanks, so text wrapped anew is found. Where a line has few blanks (Chinese, Thai,
+encoded data) its characters are the words, and a minimum of one word stands for
+``CHARS_A_WORD`` characters. Units are normalised (lower case, single spaces) and hashed to 96 bits.
 
 Digests are grouped over the corpus. The occurrence in the document of least id is kept, and
 in it the first; every other occurrence is cut out, with its span in the original
 text (code points, end exclusive) kept in the result. Lines of fewer than ``min_line_words``
-words and shorter runs of sentences are never cut.
+words and shorter runs of words are never cut. Every word that goes stands in an earlier
+occurrence, so of a text that repeats itself one period stays.
 
 Scale: one scan makes the units; the least id of a digest is an aggregate of two numbers that
 combines before the shuffle, and the join that tells each occurrence its digest's
@@ -26,9 +33,11 @@ are not cut for each other's sake; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, pairwise
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -39,6 +48,19 @@ from .secrets import merged
 
 ODD_BLANK = re.compile("[\t\r\v\f]|  |^ | $").search
 WORD = re.compile("[^\x20\t-\r]+")
+#: Pieces of which one at least is a unit.
+WINDOW = 6
+#: Words whose hash a task remembers.
+REMEMBERED = 500_000
+# Scripts written without blanks (Thai to Tibetan, Burmese, Khmer, kana and Han), their
+# ends of sentences, the mean length of a word from which a line counts as one of few blanks, and the
+# characters that stand for a word in these scripts and in others.
+UNSPACED = re.compile("[\u0e00-\u0fff\u1000-\u109f\u1780-\u17ff\u3005-\u3007\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+FULL_STOPS = "\u3002\uff01\uff1f\uff0e.!?"
+MEAN_CHARS = 20
+CHARS_A_WORD = (2, 6)
+
+_FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
 def _words(line: str) -> tuple[list[str], list[int], list[int]]:
@@ -51,35 +73,114 @@ def _words(line: str) -> tuple[list[str], list[int], list[int]]:
     return words, [e - len(w) for e, w in zip(ends, words, strict=True)], ends
 
 
+def _dense(line: str, words: list[str]) -> int:
+    """Characters that stand for a word in a line with few blanks; 0: its words are words."""
+    chars = sum(map(len, words))
+    if not line.isascii() and 2 * len(UNSPACED.findall(line)) > chars:
+        return CHARS_A_WORD[0]
+    return CHARS_A_WORD[1] if chars > MEAN_CHARS * len(words) else 0
+
+
+def _sentences(cuts: list[int], min_words: int) -> Iterator[tuple[int, int]]:
+    """Sentences between neighbouring cuts, short ones widened forwards and backwards."""
+    last = len(cuts) - 1
+    for k in range(last):
+        a, b = cuts[k], cuts[k + 1]
+        if b - a >= min_words:
+            yield a, b
+            continue
+        j = k + 1
+        while j < last and cuts[j] - a < min_words:
+            j += 1
+        if cuts[j] - a >= min_words:
+            yield a, cuts[j]
+        j = k
+        while j > 0 and b - cuts[j] < min_words:
+            j -= 1
+        if b - cuts[j] >= min_words:
+            yield cuts[j], b
+
+
+class _Hashes(dict):
+    """Hash of a word in lower case."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) > REMEMBERED:
+            self.clear()
+        h = self[word] = xxhash.xxh3_64_intdigest(word.lower().encode("utf-8", "surrogatepass"))
+        return h
+
+
+_hashes = _Hashes()
+
+
+def pieces(words: list[str], size: int, window: int, breaks: list[int]) -> list[int]:
+    """Where the chosen pieces of ``size`` words start: the least hash of each ``window``
+    neighbours, or of all when there are fewer. A word at ``breaks`` differs from the same
+    word elsewhere, except as the first of its piece."""
+    n = len(words) - size + 1
+    if n < 1:
+        return []
+    of = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    h = of[:n].copy()
+    of[breaks] ^= _FACTOR
+    for i in range(1, size):
+        h = h * _FACTOR + of[i:i + n]
+    h = (h ^ (h >> np.uint64(32))) * _FACTOR
+    h ^= h >> np.uint64(29)
+    if n <= window:
+        return [int(h.argmin())]
+    least = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(n - window + 1)
+    return least[np.diff(least, prepend=-1) > 0].tolist()
+
+
 def units(text: str, min_words: int, min_line_words: int) -> Iterator[tuple[int, int, str]]:
     """(start, end, normalised text) of every unit, in order of start."""
     at = 0
+    found: set[tuple[int, int]] = set()  # in words of the text
+    words, starts, ends = [], [], []
+    parts: list[tuple[int, int]] = []  # (first word, characters a word) of neighbouring lines of one kind
+    breaks: list[int] = []  # words that follow a line break between two long lines
+    was_long = False
     for line in text.split("\n"):
         if line.strip(BLANKS):
-            words, starts, ends = _words(line)
-            n = len(words)
-            spans = {(0, n)} if n >= min_line_words else set()
-            if n >= min_words:
-                cuts = [0, *(i for i in range(1, n) if words[i - 1][-1] in ".!?" or (words[i][0].isupper() and not words[i][1:2].isupper())), n]
-                last = len(cuts) - 1
-                for k in range(last):
-                    a, b = cuts[k], cuts[k + 1]
-                    if b - a >= min_words:
-                        spans.add((a, b))
-                        continue
-                    j = k + 1
-                    while j < last and cuts[j] - a < min_words:
-                        j += 1
-                    if cuts[j] - a >= min_words:
-                        spans.add((a, cuts[j]))
-                    j = k
-                    while j > 0 and b - cuts[j] < min_words:
-                        j -= 1
-                    if b - cuts[j] >= min_words:
-                        spans.add((cuts[j], b))
-            for a, b in sorted(spans):
-                yield at + starts[a], at + ends[b - 1], " ".join(words[a:b]).lower()
+            own, own_starts, own_ends = _words(line)
+            dense = _dense(line, own)
+            if dense:
+                own_starts = [i for s, e in zip(own_starts, own_ends, strict=True) for i in range(s, e)]
+                own_ends = [i + 1 for i in own_starts]
+                own = [line[i] for i in own_starts]
+            n, scale, first = len(own), dense or 1, len(words)
+            is_long = n >= (min_words + WINDOW - 1) * scale
+            if not parts or parts[-1][1] != dense:
+                parts.append((first, dense))
+            elif was_long and is_long:
+                breaks.append(first)
+            was_long = is_long
+            if n >= min_line_words * scale:
+                found.add((first, first + n))
+            if n >= min_words * scale:
+                if dense:
+                    cuts = [0, *(i for i in range(1, n) if own[i - 1] in FULL_STOPS and own[i] not in FULL_STOPS), n]
+                else:
+                    cuts = [0, *(i for i in range(1, n) if own[i - 1][-1] in ".!?" or (own[i][0].isupper() and not own[i][1:2].isupper())), n]
+                found.update((first + a, first + b) for a, b in _sentences(cuts, min_words * scale))
+            words += own
+            starts += [at + s for s in own_starts]
+            ends += [at + e for e in own_ends]
         at += len(line) + 1
+    dense_at = []
+    parts.append((len(words), 0))
+    for (a, dense), (b, _) in pairwise(parts):
+        size, scale = min_words * (dense or 1), dense or 1
+        own_breaks = [x - a for x in breaks[bisect(breaks, a):bisect(breaks, b - 1)]]
+        found.update((a + i, a + i + size) for i in pieces(words[a:b], size, WINDOW * scale, own_breaks))
+        if dense:
+            dense_at.append((a, b))
+    for a, b in sorted(found):
+        blank = "" if any(x <= a < y for x, y in dense_at) else " "
+        cuts = [a, *breaks[bisect(breaks, a):bisect(breaks, b - 1)], b]
+        yield starts[a], ends[b - 1], "\n".join(blank.join(words[x:y]) for x, y in pairwise(cuts)).lower()
 
 
 def _texts_key(text: str) -> int:

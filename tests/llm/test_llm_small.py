@@ -449,6 +449,23 @@ def test_line_dedup_equals_brute_force(small):
     assert got == want and any(want.values())
 
 
+def test_line_dedup_finds_repeats_inside_sentences(spark):
+    words = [f"word{i * 7919 % 1000}" for i in range(60)]
+    run = " ".join(words)
+    han = "".join(chr(0x4E00 + i * 7919 % 20000) for i in range(80))
+    rows = [(1, f"An old text has {run} and one end"), (2, f"quite another start, then {run} but not that other end"),
+            (3, f"first half on\nits own line {' '.join(words[:30])}\n{' '.join(words[30:])} last"),
+            (4, f"\u7532\u4e59{han}\u3002"), (5, f"\u4e19{han}\u4e01\u620a"), (6, "\u4f60\u597d"), (7, "\u4f60\u597d"),
+            (8, "it has " + " ".join(words[5:14]) + " only")]
+    got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].n_removed == got[4].n_removed == got[6].n_removed == got[7].n_removed == got[8].n_removed == 0
+    for k in (2, 3):
+        left = got[k].text.split()
+        assert sum(w in words for w in left) <= 2 * (line_dedup.WINDOW - 1)
+        assert [w for w in left if w not in words] == [w for w in rows[k - 1][1].split() if w not in words]
+    assert len(got[5].text) <= 3 + 2 * (2 * line_dedup.WINDOW - 1) and got[5].text[0] == "\u4e19" and got[5].text.endswith("\u4e01\u620a")
+
+
 def test_line_dedup_edges(edge):
     out = line_dedup.dedup(edge).collect()
     assert len(out) == len(EDGE)
