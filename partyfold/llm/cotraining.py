@@ -4,25 +4,28 @@ The text view is a naive Bayes classifier of hashed words, word shapes and repet
 word before, read over the whole text; its score is the mean log-odds per word. The metadata
 view is a naive Bayes classifier of source, language, size and layout (characters, lines, line
 length, bytes per character). Both start from the labelled rows. In each round each view
-labels the pool documents it is most sure of, for the other view to learn from; sure means
+labels the unlabelled documents it is most sure of, out of all of them, for the other view to learn from; sure means
 a calibrated probability of at least ``sure`` (Platt scaling on labelled rows kept out of
 training), so a view without information hands nothing on. At the end a logistic
 combination of the two calibrated views, fitted on the same kept-out rows, scores every
 document of the table.
 
-Fitting uses at most about ``per_class`` labelled rows of each class and ``pool`` unlabelled
-ones, drawn evenly by a hash of the id; these bounds are parameters and all other steps cover
-all rows. Counts are summed by Spark, and what reaches the driver is one number per bucket and
-class, and the scores of the sample.
+Fitting uses at most about ``per_class`` labelled rows of each class, drawn evenly by a hash of
+the id; all other steps cover all rows. A round is one scan: every task scores its documents and
+keeps the ``per_round`` surest of each view and class that the other view has not learned yet,
+and the surest of these are taken. Counts are summed by Spark, and what reaches the driver is one
+number per bucket and class, the scores of the kept-out rows and the keys of the chosen ones.
 
 Defined cases: null and empty texts have text score 0 (no evidence); null metadata is a value
 of its own; several labels of one id count by majority, a tie as good; when one class has no
 labelled row there is nothing to learn: scores are null and every row is kept; rows with
-equal ids are separate rows; an empty table gives an empty result.
+equal ids are separate rows, but rows equal in all columns are chosen once; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
 
+import heapq
 import math
 import re
 from collections.abc import Iterator
@@ -33,9 +36,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, picked, stored, table
+from .common import arrow_rows, picked, small_side, stored, table
 
 BUCKETS = 1 << 16
+VIEWS = ("text", "meta")
+FEATURES = "buckets array<int>, counts array<int>, meta array<int>"
 #: Words whose weight a task remembers.
 REMEMBERED = 500_000
 
@@ -126,17 +131,15 @@ def probability(w: np.ndarray, x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -30, 30)))
 
 
-def _sample(rows: DataFrame, labels: DataFrame, per_class: int, pool: int, seed: int) -> DataFrame:
-    """(row, y, kept_out, buckets, counts, meta) of the labelled sample and the pool (y null)."""
+def _sample(rows: DataFrame, labels: DataFrame, per_class: int, seed: int) -> DataFrame:
+    """(y, kept_out, buckets, counts, meta) of the labelled sample."""
     draw = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     by_class = {r.y: r["count"] for r in labels.groupBy("y").count().collect()}
     share = F.when(F.col("y") == 1, F.lit(min(1.0, per_class / max(1, by_class.get(1, 0))))).otherwise(
         F.lit(min(1.0, per_class / max(1, by_class.get(0, 0)))))
     known = labels.filter(draw < share).select(F.col("doc_id").alias("_id"), "y")  # about per_class rows each
-    count = rows.count()
-    drawn = rows.join(F.broadcast(known), F.col("doc_id") == F.col("_id"), "left").filter(
-        F.col("y").isNotNull() | (F.pmod(F.xxhash64("doc_id", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30) < min(1.0, pool / max(1, count))))
-    drawn = drawn.withColumn("kept_out", F.col("y").isNotNull() & (F.pmod(F.xxhash64("doc_id", F.lit(seed + 2)), F.lit(4)) == 0))
+    drawn = rows.join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
+    drawn = drawn.withColumn("kept_out", F.pmod(F.xxhash64("doc_id", F.lit(seed + 2)), F.lit(4)) == 0)
 
     def make():
         def run(text, source, lang, n_chars):
@@ -146,13 +149,12 @@ def _sample(rows: DataFrame, labels: DataFrame, per_class: int, pool: int, seed:
             ints = pa.list_(pa.int32())
             return [pa.array([b for b, _ in counted], ints), pa.array([c for _, c in counted], ints), pa.array(meta, ints)]
         return run
-    found = arrow_rows(drawn, ["y", "kept_out"], ["text", "source", "lang", "n_chars"], "buckets array<int>, counts array<int>, meta array<int>", make)
-    return stored(found.withColumn("row", F.monotonically_increasing_id()), "co-training")
+    return stored(arrow_rows(drawn, ["y", "kept_out"], ["text", "source", "lang", "n_chars"], FEATURES, make), "co-training")
 
 
-def _odds(sample: DataFrame, labels: DataFrame, pairs) -> np.ndarray:
-    """Log-odds of every bucket from rows labelled in ``labels`` (row, label)."""
-    sums = (sample.join(F.broadcast(labels), "row").select("label", F.explode(pairs).alias("f"))
+def _odds(learned: DataFrame, pairs) -> np.ndarray:
+    """Log-odds of every bucket from rows with a label."""
+    sums = (learned.select("label", F.explode(pairs).alias("f"))
             .groupBy("label", F.col("f.b").alias("b")).agg(F.sum("f.c").cast("long").alias("n")).toArrow())
     counts = np.ones((2, BUCKETS))
     counts[sums["label"].to_numpy(), sums["b"].to_numpy()] += sums["n"].to_numpy()
@@ -161,7 +163,7 @@ def _odds(sample: DataFrame, labels: DataFrame, pairs) -> np.ndarray:
 
 
 def _scores(sample: DataFrame, text_odds: np.ndarray, meta_odds: np.ndarray):
-    """Row, y, kept_out and both scores of the sample (bounded) as numpy arrays."""
+    """y and both scores of the sample (bounded) as numpy arrays."""
     sent = sample.sparkSession.sparkContext.broadcast((text_odds, meta_odds))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,46 +173,84 @@ def _scores(sample: DataFrame, text_odds: np.ndarray, meta_odds: np.ndarray):
             for x, c, m in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
                 text.append(float(of_text[x] @ np.array(c)) / (sum(c) / 3) if x else 0.0)
                 meta.append(float(of_meta[m].sum()))
-            yield pa.RecordBatch.from_arrays([b.column(3), b.column(4), b.column(5), pa.array(text, pa.float64()), pa.array(meta, pa.float64())],
-                                             names=["row", "y", "kept_out", "text", "meta"])
-    t = sample.select("buckets", "counts", "meta", "row", "y", "kept_out").mapInArrow(
-        run, "row long, y int, kept_out boolean, text double, meta double").toArrow()
-    return [t[c].to_numpy() for c in ("row", "y", "kept_out", "text", "meta")]
+            yield pa.RecordBatch.from_arrays([b.column(3), pa.array(text, pa.float64()), pa.array(meta, pa.float64())], names=["y", "text", "meta"])
+    t = sample.select("buckets", "counts", "meta", "y").mapInArrow(run, "y int, text double, meta double").toArrow()
+    return [t[c].to_numpy() for c in ("y", "text", "meta")]
 
 
-def learn(rows: DataFrame, labels: DataFrame, per_class: int, pool: int, rounds: int, per_round: int, sure: float, seed: int):
+def surest(free: DataFrame, odds: dict[str, np.ndarray], platt: dict[str, np.ndarray], learned: dict[str, set[int]],
+           per_round: int, sure: float) -> DataFrame:
+    """(teacher, label, key, buckets, counts, meta): for each view and class the ``per_round`` rows of
+    ``free`` that the view is surest of and the other view has not ``learned`` (keys)."""
+    spark = free.sparkSession
+    sent = spark.sparkContext.broadcast((odds, platt, learned))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, fits, known = sent.value
+        views = Views(of["text"], of["meta"])
+        best: dict[tuple[str, int], dict] = {(v, label): {} for v in VIEWS for label in (0, 1)}
+        for b in batches:
+            rows = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
+            scores = {"text": [views.text_score(r[1]) for r in rows], "meta": [views.meta_score(*r[2:], r[1]) for r in rows]}
+            for view, other in (VIEWS, VIEWS[::-1]):
+                p = probability(fits[view], np.array(scores[view], float)[:, None])
+                for label, confidence in ((1, p), (0, 1 - p)):
+                    top = best[view, label]
+                    for i in np.flatnonzero(confidence >= sure).tolist():
+                        if rows[i][0] not in known[other]:
+                            top[rows[i][0]] = (-float(confidence[i]), rows[i][0], rows[i])
+                    if len(top) > per_round:
+                        best[view, label] = {t[1]: t for t in heapq.nsmallest(per_round, top.values(), key=lambda t: t[:2])}
+        for (view, label), top in best.items():
+            for less, key, (_, text, *meta) in top.values():
+                buckets, counts = text_buckets(text)
+                ints = pa.list_(pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([view]), pa.array([label], pa.int32()), pa.array([-less]), pa.array([key], pa.int64()), pa.array([buckets], ints),
+                     pa.array([counts], ints), pa.array([meta_buckets(*meta, text)], ints)],
+                    names=["teacher", "label", "confidence", "key", "buckets", "counts", "meta"])
+
+    found = stored(free.select("key", "text", "source", "lang", "n_chars").mapInArrow(
+        run, f"teacher string, label int, confidence double, key long, {FEATURES}"), "co-training-surest")
+    chosen = []
+    for view in VIEWS:
+        for label in (0, 1):
+            one = found.filter((F.col("teacher") == view) & (F.col("label") == label)).groupBy("key").agg(F.max("confidence").alias("confidence"))
+            chosen += [(view, label, r.key) for r in one.orderBy(F.desc("confidence"), "key").limit(per_round).collect()]
+    taken = spark.createDataFrame(chosen, "teacher string, label int, key long")  # at most 4 x per_round
+    return stored(found.join(F.broadcast(taken), ["teacher", "label", "key"]).drop("confidence").dropDuplicates(["teacher", "label", "key"]), "co-training-chosen")
+
+
+def learn(rows: DataFrame, labels: DataFrame, per_class: int, rounds: int, per_round: int, sure: float, seed: int):
     """Text and metadata log-odds, their calibrations and the combination; None without two classes."""
-    sample = _sample(rows, labels, per_class, pool, seed)
-    spark = rows.sparkSession
-    first = {(r.y, r.kept_out): r["count"] for r in sample.filter("y is not null").groupBy("y", "kept_out").count().collect()}
+    sample = _sample(rows, labels, per_class, seed)
+    first = {(r.y, r.kept_out): r["count"] for r in sample.groupBy("y", "kept_out").count().collect()}
     if min(first.get((y, k), 0) for y in (0, 1) for k in (False, True)) == 0:
         return None
-    known = [(r.row, r.y) for r in sample.filter("y is not null and not kept_out").select("row", "y").collect()]  # bounded sample
-    learned = {"text": dict(known), "meta": dict(known)}
-    table_of = lambda view: spark.createDataFrame(list(learned[view].items()), "row long, label int")
+    free = rows.join(small_side(labels.select(F.col("doc_id").alias("_id"))), F.col("doc_id") == F.col("_id"), "left_anti").withColumn(
+        "key", F.xxhash64("doc_id", "text", "source", "lang", "n_chars"))
+    known = sample.filter("not kept_out").select(F.col("y").alias("label"), "buckets", "counts", "meta")
+    learned = {view: known for view in VIEWS}
+    keys: dict[str, set[int]] = {view: set() for view in VIEWS}
     pairs = {"text": F.transform(F.arrays_zip("buckets", "counts"), lambda z: F.struct(z["buckets"].alias("b"), z["counts"].alias("c"))),
              "meta": F.transform("meta", lambda b: F.struct(b.alias("b"), F.lit(1).alias("c")))}
     for turn in range(rounds + 1):
-        odds = {view: _odds(sample, table_of(view), pairs[view]) for view in pairs}
-        row, y, out, text, meta = _scores(sample, odds["text"], odds["meta"])
-        held = out.astype(bool)
-        scores = {"text": text, "meta": meta}
-        truth = y[held].astype(float)
-        platt = {view: fit_logistic(s[held, None], truth) for view, s in scores.items()}
+        odds = {view: _odds(learned[view], pairs[view]) for view in VIEWS}
+        y, *both = _scores(sample.filter("kept_out"), odds["text"], odds["meta"])
+        truth, scores = y.astype(float), dict(zip(VIEWS, both, strict=True))
+        platt = {view: fit_logistic(s[:, None], truth) for view, s in scores.items()}
         if turn == rounds:
             break
-        for view, other in (("text", "meta"), ("meta", "text")):
-            p = probability(platt[view], scores[view][:, None])
-            free = np.array([np.isnan(v) for v in y.astype(float)]) & np.array([r not in learned[other] for r in row.tolist()])
-            for label, confidence in ((1, p), (0, 1 - p)):
-                best = np.lexsort((row, -confidence))
-                chosen = [i for i in best[:per_round * 4] if free[i] and confidence[i] >= sure][:per_round]
-                learned[other].update((int(row[i]), label) for i in chosen)
-    logits = np.column_stack([scores[v][held] * platt[v][0] + platt[v][1] for v in ("text", "meta")])
+        more = surest(free, odds, platt, keys, per_round, sure)
+        for view, other in (VIEWS, VIEWS[::-1]):
+            learned[other] = learned[other].unionByName(more.filter(F.col("teacher") == view).select(known.columns))
+        for r in more.select("teacher", "key").collect():  # at most 4 x per_round
+            keys[VIEWS[r.teacher == VIEWS[0]]].add(r.key)
+    logits = np.column_stack([scores[v] * platt[v][0] + platt[v][1] for v in VIEWS])
     return odds["text"], odds["meta"], platt["text"], platt["meta"], fit_logistic(logits, truth)
 
 
-def classify(docs: DataFrame, labels: DataFrame, per_class: int = 3000, pool: int = 3000, rounds: int = 3,
+def classify(docs: DataFrame, labels: DataFrame, per_class: int = 3000, rounds: int = 3,
              per_round: int = 300, sure: float = 0.97, threshold: float = 0.5, seed: int = 1, id_col: str = "doc_id",
              text_col: str = "text", source_col: str = "source", lang_col: str = "lang", chars_col: str = "n_chars",
              label_col: str = "quality") -> DataFrame:
@@ -219,7 +259,7 @@ def classify(docs: DataFrame, labels: DataFrame, per_class: int = 3000, pool: in
     rows = picked(docs, doc_id=id_col, text=text_col, source=source_col, lang=lang_col, n_chars=chars_col)
     known = (picked(labels, doc_id=id_col, y=label_col).filter("doc_id is not null and y in (0, 1)")
              .groupBy("doc_id").agg((F.avg("y") >= 0.5).cast("int").alias("y")))
-    model = learn(rows, known, per_class, pool, rounds, per_round, sure, seed)
+    model = learn(rows, known, per_class, rounds, per_round, sure, seed)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():

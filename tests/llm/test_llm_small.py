@@ -488,3 +488,21 @@ def test_cotraining(spark, edge):
     some = spark.createDataFrame([(4, 1), (5, 0), (5, 1), (6, 0), (7, 0), (8, 1), (9, 1), (10, 0), (2, 0)], "doc_id long, quality int")
     assert cotraining.classify(edge, some).count() == len(EDGE)
     assert cotraining.classify(empty_like(edge), some).count() == 0
+
+
+def test_cotraining_hands_on_from_all_documents(spark):
+    odds = np.zeros(cotraining.BUCKETS)
+    for word, w in (("good", 3.0), ("bad", -3.0)):
+        odds[cotraining.bucket("word", word)] = w
+    rows = [(i, " ".join(["good" if i % 2 else "bad"] * (1 + i % 7)), "a", "en", i) for i in range(4000)]
+    free = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").repartition(7)
+    free = free.withColumn("key", F.col("doc_id")).unionByName(free.withColumn("key", F.col("doc_id")).limit(50))
+    fits = {"text": np.array([4.0, 0.0]), "meta": np.array([0.0, 0.0])}
+    keys = {"text": set(), "meta": set()}
+    for _ in range(4):  # every round finds as many new ones, beyond any window
+        got = cotraining.surest(free, {"text": odds, "meta": odds * 0}, fits, keys, 400, 0.97).collect()
+        assert {r.teacher for r in got} == {"text"} and all(r.key % 2 == r.label for r in got)
+        assert [sum(r.label == y for r in got) for y in (0, 1)] == [400, 400]
+        new = {r.key for r in got}
+        assert len(new) == 800 and not new & keys["meta"]
+        keys["meta"] |= new
