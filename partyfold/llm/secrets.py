@@ -1,7 +1,7 @@
 """Secret scans with a randomness test battery.
 
 Three patterns give the base spans. Beyond them, every run of 20 or more characters of
-``[A-Za-z0-9+/_=-]`` is a candidate: the smallest alphabet that holds its characters
+``[A-Za-z0-9+/_=-]``, or every such piece that base spans leave of one, is a candidate: the smallest alphabet that holds its characters
 is taken as its encoding, and three tests ask whether it can be uniform over that alphabet:
 chi-squared of the symbol counts, Wald-Wolfowitz runs about the middle of the alphabet, and
 lag-one serial correlation. A candidate that none of them rejects looks random. How
@@ -42,6 +42,7 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SIGNS = "+/_=-"
 
 # Usual frequency of the letters a to z in English text, per mille.
 LETTERS = (82, 15, 28, 43, 127, 22, 20, 61, 70, 2, 8, 40, 24, 67, 75, 19, 1, 60, 63, 91, 28, 10, 24, 2, 20, 1)
@@ -130,14 +131,29 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
+def outside(start: int, end: int, base: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, bool, bool]]:
+    """What is left of a run without the base spans, and whether one was cut off before and after it."""
+    at = start
+    for s, e in merged((s, e) for s, _, e in base if s < end and start < e):
+        if s > at:
+            yield at, s, at > start, True
+        at = e
+    if at < end:
+        yield at, end, at > start, False
+
+
 def candidates(text: str, base: list[tuple[int, int, int]], alpha: float) -> Iterator[tuple[int, int, int, int, bool]]:
-    """(start, end, family, steps, random) of runs that touch no base span."""
+    """(start, end, family, steps, random) of runs, and of what base spans leave of them. The
+    sign that parts a piece from its base span is not of the piece."""
     for m in CANDIDATE.finditer(text):
-        a, b = m.span()
-        if any(s < b and a < e for s, _, e in base):
-            continue
-        random, steps = examine(m[0], alpha)
-        yield a, b, sum(b - a >= x for x in FAMILIES) - 1, steps, random
+        for a, b, before, after in outside(*m.span(), base):
+            inner = a + (before and text[a] in SIGNS), b - (after and text[b - 1] in SIGNS)
+            if inner[1] - inner[0] >= FAMILIES[0]:
+                a, b = inner
+            elif b - a < FAMILIES[0]:
+                continue
+            random, steps = examine(text[a:b], alpha)
+            yield a, b, sum(b - a >= x for x in FAMILIES) - 1, steps, random
 
 
 def scan(docs: DataFrame, keep: list[str], text_col: str, alpha: float) -> DataFrame:

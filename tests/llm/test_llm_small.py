@@ -183,6 +183,24 @@ def test_battery_finds_random_tokens_only(spark, edge):
     assert secrets.find_secrets(empty_like(edge)).count() == 0
 
 
+def test_battery_tests_what_base_spans_leave_of_a_run(spark):
+    rng = random.Random(11)
+    pick = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    b64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, hidden = [], {}
+    for i in range(30):
+        key, tail, whole = "AKIA" + pick(b64[:26], 16), pick(b64, 48), pick("0123456789abcdef", 32)
+        text = f"see {key}/{tail} end" if i % 3 == 0 else f"see {whole}_{tail} end" if i % 3 == 1 else f"see {tail}/{key} end"
+        rows.append((i, text))
+        hidden[i] = tail
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: [rows[r.doc_id][1][s.start:s.end] for s in r.found] for r in secrets.find_secrets(df).collect()}
+    assert sum(found[i] == [t] for i, t in hidden.items()) >= 27
+    left = {r.doc_id: r.text for r in secrets.redacted(df).collect()}
+    assert sum(hidden[i] not in left[i] for i in hidden) >= 27
+    assert list(secrets.candidates("AKIA" + "A" * 16 + "/short", secrets.base_spans("AKIA" + "A" * 16 + "/short"), 0.001)) == []
+
+
 def test_battery_p_values():
     random.seed(2)
     passed = sum(min(secrets.battery([random.randrange(16) for _ in range(40)], 16)) * 3 >= 0.01 for _ in range(400))
