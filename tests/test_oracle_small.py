@@ -39,5 +39,8 @@ def test_matches_oracle(spark, duck, name):
     assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(ocols, cur.fetchall())
 
 
-def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+def test_every_query_of_the_masters_has_an_oracle():
+    from partyfold.oracle import oracle_queries
+    from partyfold.plans.queries import registry
+    assert set(registry()) == set(oracle_queries())
+    assert set(registry()) <= set(E.queries()) and set(oracle_queries()) <= set(E.oracle_sql())
