@@ -9,7 +9,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -59,9 +61,25 @@ def picked(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[df[c].alias(to) for to, c in columns.items()])
 
 
+#: Text that a task holds as Python objects at a time: batches of rows are cut at so many bytes.
+SLICE_BYTES = 2_000_000
+
+
+def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """``batch`` in pieces of about ``limit`` bytes of text each (a row is never cut)."""
+    sizes = np.zeros(batch.num_rows, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+            sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    number = np.cumsum(sizes) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
 def arrow_rows(df: DataFrame, keep: list[str], inputs: list[str], out: str,
                make: Callable[[], Callable[..., list]]) -> DataFrame:
-    """Map rows in Arrow batches: ``make()`` runs once per task and returns a function
+    """Map rows in Arrow batches (cut by ``slices``): ``make()`` runs once per task and returns a function
     from the input columns (Arrow arrays) to the output arrays of schema ``out``.
     Only ``keep`` and ``inputs`` go to Python; the result has ``keep`` and ``out``."""
     added = T.StructType.fromDDL(out)
@@ -70,7 +88,7 @@ def arrow_rows(df: DataFrame, keep: list[str], inputs: list[str], out: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
-        for b in batches:
+        for b in (piece for batch in batches for piece in slices(batch)):
             f = f or make()
             made = f(*[b.column(wanted.index(c)) for c in inputs])
             yield pa.RecordBatch.from_arrays(

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, cotraining, html_text, jaccard_join, language, line_dedup, mixing, nearest, quality_rules, secrets
+from . import (bpe, cotraining, html_text, jaccard_join, language, line_dedup, mixing, nearest, periodic_runs,
+               quality_rules, secrets, url_filter, whitening)
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,8 +22,12 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_nearest_neighbours": nearest.query,
         "op9_language_id": language.query,
         "op10_line_dedup": line_dedup.query,
+        "op11_periodic_runs": periodic_runs.query,
+        "op12_whitening": whitening.query,
+        "op13_url_filter": url_filter.query,
     }
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op3_source_mix": mixing.SQL, "op7_jaccard_join": jaccard_join.SQL}
+    return {"op3_source_mix": mixing.SQL, "op7_jaccard_join": jaccard_join.SQL,
+            "op13_url_filter": url_filter.SQL}
