@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,14 +69,16 @@ def merge_update(target: DataFrame, source: DataFrame, key: str, columns, *,
     return joined.select(*out)
 
 
+def is_president(job_post: Column, conf: Conf) -> Column:
+    """The title contains a president keyword (no keywords: nobody's does)."""
+    words = list(dict.fromkeys(conf.keywords_of(fixed.KEYWORD_PRESIDENT)))
+    return reduce(lambda a, b: a | b, [job_post.contains(w) for w in words], F.lit(False))
+
+
 def president_rows(m_person: DataFrame, conf: Conf) -> DataFrame:
     """E11 source: (company_code, president_person_id), smallest person per company."""
-    words = list(dict.fromkeys(conf.keywords_of(fixed.KEYWORD_PRESIDENT)))
-    if not words:
-        return m_person.sparkSession.createDataFrame(
-            [], "company_code string, president_person_id string")
-    is_pres = reduce(lambda a, b: a | b, [F.col("job_post").contains(w) for w in words])
-    return (m_person.filter(F.coalesce(is_pres, F.lit(False)) & F.col("company_code").isNotNull())
+    held = F.coalesce(is_president(F.col("job_post"), conf), F.lit(False))
+    return (m_person.filter(held & F.col("company_code").isNotNull())
             .groupBy("company_code").agg(F.min("person_id").alias("president_person_id")))
 
 

@@ -16,18 +16,25 @@ from pyspark.sql import functions as F
 
 from ..functions.fixed import CODE_WIDTH
 from .dedupe import filled, order_columns
+from .keyindex import KeptIndex
 from .ordinal import with_global_ordinal
 
-_RANK, _PK = "_combo_rank", "_cand_pk"
-_KEY = (_RANK, "_key_a", "_key_b")
+_RANK, _PK = "combo", "_cand_pk"
+#: A key pair: the place of its combination and the two values.
+KEY = (_RANK, "key_a", "key_b")
+
+
+def pair_array(combinations, prefix: str = "") -> Column:
+    """The filled key pairs of a row as an array of structs (columns named with ``prefix``)."""
+    pairs = [F.when(filled(prefix + k1, prefix + k2), F.struct(F.lit(rank).alias(KEY[0]), F.col(prefix + k1).alias(KEY[1]),
+                                                               F.col(prefix + k2).alias(KEY[2])))
+             for rank, (k1, k2) in enumerate(combinations)]
+    return F.filter(F.array(*pairs), lambda p: p.isNotNull())
 
 
 def key_pairs(df: DataFrame, combinations, value: str) -> DataFrame:
     """(combination, key a, key b, value): one row per filled key pair of each row."""
-    pairs = [F.when(filled(k1, k2), F.struct(F.lit(rank).alias(_KEY[0]), F.col(k1).alias(_KEY[1]), F.col(k2).alias(_KEY[2])))
-             for rank, (k1, k2) in enumerate(combinations)]
-    return (df.select(F.col(value), F.explode(F.filter(F.array(*pairs), lambda p: p.isNotNull())).alias("_pair"))
-            .select("_pair.*", value))
+    return df.select(F.col(value), F.explode(pair_array(combinations)).alias("_pair")).select("_pair.*", value)
 
 
 def match_master(batch: DataFrame, master: DataFrame, combinations, pk: str,
@@ -38,8 +45,19 @@ def match_master(batch: DataFrame, master: DataFrame, combinations, pk: str,
     (largest pk) wins. The master is first reduced to one pk per key pair
     (a partial aggregate, so hot pairs are combined map-side), so each batch
     row meets at most one candidate per pair: no fan-out."""
-    keys = key_pairs(master, combinations, pk).groupBy(*_KEY).agg(F.max(pk).alias(_PK))
-    cands = key_pairs(batch, combinations, row_id).join(keys, list(_KEY))
+    keys = key_pairs(master, combinations, pk).groupBy(*KEY).agg(F.max(pk).alias(pk))
+    return _best_match(key_pairs(batch, combinations, row_id), keys, pk, row_id)
+
+
+def match_index(batch: DataFrame, index: KeptIndex, combinations, row_id: str = "seq") -> DataFrame:
+    """E3 against a kept index instead of the master: the batch's key pairs go to the index's
+    buckets, the index stays where it is."""
+    pairs = key_pairs(batch, combinations, row_id)
+    return _best_match(pairs, index.best(pairs.select(*KEY).distinct()), index.pk, row_id)
+
+
+def _best_match(pairs: DataFrame, keys: DataFrame, pk: str, row_id: str) -> DataFrame:
+    cands = pairs.join(keys.withColumnRenamed(pk, _PK), list(KEY))
     return cands.groupBy(row_id).agg(F.max_by(F.col(_PK), F.struct(F.col(_RANK), F.col(_PK))).alias(pk))
 
 
@@ -61,9 +79,10 @@ def code_text(n: Column) -> Column:
     return F.when(F.length(s) >= CODE_WIDTH, s).otherwise(F.lpad(s, CODE_WIDTH, "0"))
 
 
-def mint_codes(inserts: DataFrame, master: DataFrame, pk: str, order=None) -> DataFrame:
-    """E5: new codes max+1.. in the batch's de-duplicated order."""
-    start = next_code(master, pk)
+def mint_codes(inserts: DataFrame, master: DataFrame | int, pk: str, order=None) -> DataFrame:
+    """E5: new codes max+1.. in the batch's de-duplicated order. ``master`` is the table, or its
+    largest code as a number."""
+    start = master + 1 if isinstance(master, int) else next_code(master, pk)
     numbered = with_global_ordinal(inserts, order or order_columns(), "_code_n", start=start)
     return numbered.withColumn(pk, code_text(F.col("_code_n"))).drop("_code_n")
 
@@ -73,8 +92,8 @@ def attach_codes(source: DataFrame, coded: DataFrame, combinations, pk: str,
     """(row_id, pk) for every source row: the first key pair, in order,
     whose filled keys equal a coded row's (smallest code per pair); a row no
     pair reaches takes the code of the coded row with its own row_id."""
-    keys = key_pairs(coded, combinations, pk).groupBy(*_KEY).agg(F.min(pk).alias(_PK))
-    cands = key_pairs(source, combinations, row_id).join(keys, list(_KEY)).select(row_id, _RANK, _PK)
+    keys = key_pairs(coded, combinations, pk).groupBy(*KEY).agg(F.min(pk).alias(_PK))
+    cands = key_pairs(source, combinations, row_id).join(keys, list(KEY)).select(row_id, _RANK, _PK)
     own = coded.select(row_id, F.lit(len(combinations)).alias(_RANK), F.col(pk).alias(_PK))
     best = cands.unionByName(own).groupBy(row_id).agg(F.min_by(F.col(_PK), F.col(_RANK)).alias(pk))
     return source.select(row_id).join(best, row_id, "left")

@@ -1,26 +1,29 @@
 """Composed plans: per-feed batch, company / person upsert, the five-feed fold.
 
 The per-feed part (slice -> validate -> standardise) is one lazy plan with
-no shuffle. Upserts shuffle on the key pairs (E1, E3, E6) and on the master
-key (E7). Between feeds of the fold, both masters are reliably checkpointed
-so the plan of feed n does not carry the plans of feeds 1..n-1.
+no shuffle. Upserts shuffle the batch on the key pairs (E1, E3, E6); the masters and their
+indexes are bucketed tables that are read where they lie (``masters``). Each feed leaves
+stored change rows and index deltas, so the plan of feed n does not carry the plans of
+feeds 1..n-1, and the masters are rewritten once, after the last feed.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed
+from ..operators import changelog as cl
 from ..operators import dedupe as dd
-from ..operators import master as ms
 from ..operators import match as mt
+from ..operators.keyindex import delta
 from ..operators.standardize import standardize
 from ..operators.validate import clean_rows, error_records
 from ..sources.conf import Conf
-from ..sources.tables import stored
+from ..sources.tables import counted, stored
+from .masters import KeptMaster, Masters, president_entry
 from .specs import (COMPANY_VIEW_COLUMNS, FEEDS, FEED_ORDER, PERSON_VIEW_COLUMNS, company_update_columns,
                     company_view_parts, person_view_parts, with_constants)
 
@@ -50,8 +53,32 @@ def snapshot(df: DataFrame) -> DataFrame:
     return stored(df, "snapshot")
 
 
-def _layout(df: DataFrame, layout) -> DataFrame:
-    return df.select(*layout)
+def _logged(changes: DataFrame, label: str) -> tuple[DataFrame, int]:
+    """The change rows of one step, stored; and how many of them are inserts (counted while they are
+    written)."""
+    observed, obs = counted(changes, label, inserted=F.count_if(F.col(cl.INSERT)))
+    kept = stored(observed, label)
+    return kept, int(obs.get["inserted"])
+
+
+def _before_and_after(kept: KeptMaster, log: DataFrame, columns) -> DataFrame:
+    """(pk, _was_<column>, column) of every row a step touched: as it stood in ``kept`` before (null
+    for a new row) and as the step's change rows leave it."""
+    pk = kept.pk
+    updates = log.filter(~F.col(cl.INSERT))
+    was = kept.current(updates.select(pk), columns)
+    was = was.select(pk, *[F.col(c).alias(f"_was_{c}") for c in columns], *columns)
+    touched = cl.applied(was, cl.folded(updates, pk, columns, kept.flags), pk, kept.flags)
+    fresh = log.filter(cl.INSERT).select(pk, *[F.lit(None).cast(kept.layout[c].dataType).alias(f"_was_{c}") for c in columns], *columns)
+    return touched.unionByName(fresh)
+
+
+def _pair_delta(touched: DataFrame, kept: KeptMaster, version: int) -> DataFrame:
+    return delta(mt.pair_array(kept.combinations, "_was_"), mt.pair_array(kept.combinations), touched, kept.pk, version)
+
+
+def _key_columns(combinations) -> list[str]:
+    return sorted({c for pair in combinations for c in pair})
 
 
 @dataclass
@@ -62,33 +89,44 @@ class CompanyUpsert:
     inserts: DataFrame     # E4 unmatched rows with minted codes (E5)
     updates: DataFrame     # E4 matched rows with company_code
     attached: DataFrame    # E6 (seq, company_code) for every source row
-    updated: DataFrame     # E7/E8 master before inserts are added
-    master: DataFrame      # next m_company state
-
-
-def upsert_company(feed: str, std: DataFrame, m_company: DataFrame, conf: Conf,
-                   now: Column) -> CompanyUpsert:
-    """E1 -> E3 -> E4 -> E5 -> E6 -> insert -> E8 -> E7."""
-    combos = fixed.COMPANY_COMBINATIONS
+    changes: DataFrame     # change rows of the step (E7, E8 and the new rows)
+    kept: KeptMaster       # state with the step's changes
+
+    @property
+    def updated(self) -> DataFrame:
+        """The master before inserts are added."""
+        return self.kept.rows(inserts=False)
+
+    @property
+    def master(self) -> DataFrame:
+        """The next m_company state."""
+        return self.kept.rows()
+
+
+def upsert_company(feed: str, std: DataFrame, kept: KeptMaster, conf: Conf, now: Column, version: int = 1,
+                   index: bool = True) -> CompanyUpsert:
+    """E1 -> E3 -> E4 -> E5 -> E6 -> change rows for E7/E8 and the inserts. With ``index`` the key
+    index gets the step's changes (only a state that no further batch is matched against can do
+    without)."""
+    combos = kept.combinations
     var_view, constants = company_view_parts(feed, std, conf, now)
     view = with_constants(var_view, constants, ("seq",) + COMPANY_VIEW_COLUMNS)
     # E1 carries only the varying columns (constants are equal in every row);
     # the de-duplicated batch feeds E3, E4, E5 and E6: materialise it once
     deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
                                       ("seq",) + COMPANY_VIEW_COLUMNS))
-    # (seq, code) pairs from six joins, read by E4, E5, E6 and E7: keep them
-    matches = snapshot(mt.match_master(deduped, m_company, combos, "company_code"))
+    # (seq, code) pairs, read by E4, E5, E6 and E7: keep them
+    matches = snapshot(mt.match_index(deduped, kept.index, combos))
     ins, upd = mt.split_insert_update(deduped, matches, "company_code")
-    ins = mt.mint_codes(ins, m_company, "company_code")
-    key_cols = ["seq", "company_code"] + sorted({c for pair in combos for c in pair})
+    ins = mt.mint_codes(ins, kept.top, "company_code")
+    key_cols = ["seq", "company_code"] + _key_columns(combos)
     coded = ins.select(*key_cols).unionByName(upd.select(*key_cols))
     attached = mt.attach_codes(view, coded, combos, "company_code")
-    updated = ms.merge_update(m_company, upd, "company_code", company_update_columns(feed),
-                              or_columns=fixed.COMPANY_FLAGS)
-    inserted = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(m_company.schema[c].dataType).alias(c)
-                            for c in fixed.M_COMPANY_COLUMNS])
-    master = _layout(updated, fixed.M_COMPANY_COLUMNS).unionByName(inserted)
-    return CompanyUpsert(view, deduped, matches, ins, upd, attached, updated, master)
+    changes = cl.insert_rows(ins, kept.layout, version).unionByName(
+        cl.update_rows(upd, "company_code", company_update_columns(feed), kept.layout, version, flags=kept.flags))
+    log, inserted = _logged(changes, f"company-changes-{feed}")
+    pairs = snapshot(_pair_delta(_before_and_after(kept, log, _key_columns(combos)), kept, version)) if index else None
+    return CompanyUpsert(view, deduped, matches, ins, upd, attached, log, kept.changed(log, inserted, pairs))
 
 
 @dataclass
@@ -98,62 +136,92 @@ class PersonUpsert:
     matches: DataFrame
     inserts: DataFrame
     updates: DataFrame
-    master: DataFrame
+    changes: DataFrame
+    kept: KeptMaster
+    touched: DataFrame | None    # persons of the step before and after (keys, company, title)
+
+    @property
+    def master(self) -> DataFrame:
+        return self.kept.rows()
 
 
-def upsert_person(std_with_code: DataFrame, m_person: DataFrame, now: Column) -> PersonUpsert:
-    """E1 -> E3 -> E4 -> E5 -> insert -> E7 (fixed eight-column update list)."""
-    combos = fixed.PERSON_COMBINATIONS
+def upsert_person(std_with_code: DataFrame, kept: KeptMaster, now: Column, version: int = 1,
+                  index: bool = True) -> PersonUpsert:
+    """E1 -> E3 -> E4 -> E5 -> change rows for the inserts and E7 (fixed eight-column update list)."""
+    combos = kept.combinations
     var_view, constants = person_view_parts(std_with_code, now)
     view = with_constants(var_view, constants, ("seq",) + PERSON_VIEW_COLUMNS)
     deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
                                       ("seq",) + PERSON_VIEW_COLUMNS))
-    matches = snapshot(mt.match_master(deduped, m_person, combos, "person_id"))
+    matches = snapshot(mt.match_index(deduped, kept.index, combos))
     ins, upd = mt.split_insert_update(deduped, matches, "person_id")
-    ins = mt.mint_codes(ins, m_person, "person_id")
-    updated = ms.merge_update(m_person, upd, "person_id", fixed.PERSON_UPDATE_COLUMNS)
-    inserted = ins.select(*fixed.M_PERSON_COLUMNS)
-    master = _layout(updated, fixed.M_PERSON_COLUMNS).unionByName(inserted)
-    return PersonUpsert(view, deduped, matches, ins, upd, master)
+    ins = mt.mint_codes(ins, kept.top, "person_id")
+    changes = cl.insert_rows(ins, kept.layout, version).unionByName(
+        cl.update_rows(upd, "person_id", fixed.PERSON_UPDATE_COLUMNS, kept.layout, version))
+    log, inserted = _logged(changes, "person-changes")
+    touched = pairs = None
+    if index:
+        touched = snapshot(_before_and_after(kept, log, [*_key_columns(combos), "company_code", "job_post"]))
+        pairs = snapshot(_pair_delta(touched, kept, version))
+    return PersonUpsert(view, deduped, matches, ins, upd, log, kept.changed(log, inserted, pairs), touched)
 
 
 def with_company_code(std: DataFrame, attached: DataFrame) -> DataFrame:
     return std.join(attached, "seq", "left")
 
 
+def link_presidents(masters: Masters, company: CompanyUpsert, person: PersonUpsert, conf: Conf, version: int) -> Masters:
+    """E11, incrementally: the index of presidents gets the step's persons, and only companies that won
+    or lost a president in it (or are new) are looked up again; one that lost its last keeps what it
+    has. A state whose links do not follow the index yet is linked as a whole, once."""
+    entry = lambda p: president_entry(F.col(f"{p}job_post"), F.col(f"{p}company_code"), conf)
+    changed = snapshot(delta(entry("_was_"), entry(""), person.touched, "person_id", version))
+    presidents = masters.presidents.extended(changed)
+    wanted = None
+    if masters.linked:
+        fresh = company.changes.filter(cl.INSERT).select("company_code")
+        wanted = changed.select("company_code").unionByName(fresh).distinct()
+    best = presidents.best(wanted, F.min).withColumnRenamed("person_id", "president_person_id")
+    links = cl.update_rows(best, "company_code", ["president_person_id"], company.kept.layout, version,
+                           order_col=None, on_multi="unique")
+    log, _ = _logged(links, "president-links")
+    return replace(masters, company=company.kept.changed(log, 0), person=person.kept, presidents=presidents, linked=True)
+
+
 @dataclass
 class FeedResult:
     company: CompanyUpsert
     person: PersonUpsert | None
-    m_company: DataFrame   # after company upsert (+ president link when persons ran)
-    m_person: DataFrame
+    masters: Masters             # state after company upsert (+ persons and president link)
+
+    @property
+    def m_company(self) -> DataFrame:
+        return self.masters.company.rows()
+
+    @property
+    def m_person(self) -> DataFrame:
+        return self.masters.person.rows()
 
 
-def feed_step(feed: str, std: DataFrame, m_company: DataFrame, m_person: DataFrame,
-              conf: Conf, now: Column) -> FeedResult:
+def feed_step(feed: str, std: DataFrame, masters: Masters, conf: Conf, now: Column) -> FeedResult:
     """One feed against the masters: company upsert, then (if the feed carries
     persons) person upsert and the president link."""
     # the standardised batch is read by E1, E6 and the person view: text work once
     std = snapshot(std)
-    comp = upsert_company(feed, std, m_company, conf, now)
+    version = 2 * masters.step + 1
+    masters = replace(masters, step=masters.step + 1)
+    comp = upsert_company(feed, std, masters.company, conf, now, version)
     if not FEEDS[feed].has_person:
-        return FeedResult(comp, None, comp.master, m_person)
-    pers = upsert_person(with_company_code(std, comp.attached), m_person, now)
-    # the person master is read by the president link and is the next state
-    person_master = snapshot(pers.master)
-    linked = ms.president_link(comp.master, person_master, conf)
-    return FeedResult(comp, pers, linked, person_master)
+        return FeedResult(comp, None, replace(masters, company=comp.kept))
+    pers = upsert_person(with_company_code(std, comp.attached), masters.person, now, version)
+    return FeedResult(comp, pers, link_presidents(masters, comp, pers, conf, version + 1))
 
 
-def fold(std_by_feed: dict, m_company: DataFrame, m_person: DataFrame, conf: Conf,
-         now: Column, feeds=FEED_ORDER) -> tuple[DataFrame, DataFrame]:
+def fold(std_by_feed: dict, masters: Masters, conf: Conf, now: Column, feeds=FEED_ORDER) -> Masters:
     """Apply the feeds in priority order (weakest first), so the
-    strongest feed's non-empty values win. Masters are checkpointed after
-    every feed."""
+    strongest feed's non-empty values win. No master is rewritten on the way: every feed leaves
+    change rows, and the next state is taken from them once (``rows`` or ``saved`` of the result)."""
     for feed in feeds:
-        if feed not in std_by_feed:
-            continue
-        res = feed_step(feed, std_by_feed[feed], m_company, m_person, conf, now)
-        m_company = snapshot(res.m_company)
-        m_person = res.m_person if res.person is not None else m_person
-    return m_company, m_person
+        if feed in std_by_feed:
+            masters = feed_step(feed, std_by_feed[feed], masters, conf, now).masters
+    return masters

@@ -24,6 +24,7 @@ from ..operators.validate import error_counts, max_error_seq
 from ..sources import fixtures as fx
 from ..sources.conf import Conf
 from . import pipeline as pl
+from .masters import Masters
 from .specs import FEEDS as FEED_SPECS
 from .specs import (COMPANY_VIEW_COLUMNS, FEED_ORDER, PERSON_FEEDS, company_view, company_view_parts,
                     with_constants)
@@ -56,6 +57,17 @@ def _seed_p(spark, d):
     return fx.seed_person_master(spark, d)
 
 
+@lru_cache(maxsize=4)
+def _kept(app_id, spark, d) -> Masters:
+    """The seed masters as a kept state (bucketed, indexed), made once a session and data folder: a daily
+    run finds its masters like that."""
+    return Masters.build(_seed_c(spark, d), _seed_p(spark, d), conf())
+
+
+def _masters(spark, d) -> Masters:
+    return _kept(spark.sparkContext.applicationId, spark, d)
+
+
 # ---- A: sources -------------------------------------------------------------
 def q_feed(feed):
     return lambda spark, d: fx.lake_feed(spark, d, feed)
@@ -96,7 +108,7 @@ def q_company_view(feed):
 def q_person_view(feed):
     def run(spark, d):
         std = _std(spark, d, feed)
-        comp = pl.upsert_company(feed, std, _seed_c(spark, d), conf(), now())
+        comp = pl.upsert_company(feed, std, _masters(spark, d).company, conf(), now(), index=False)
         from .specs import person_view
         return person_view(pl.with_company_code(std, comp.attached), now())
     return run
@@ -133,13 +145,13 @@ def q_dedupe_company(feed):
 
 
 def _crm_company(spark, d):
-    return pl.upsert_company("crm", _std(spark, d, "crm"), _seed_c(spark, d), conf(), now())
+    return pl.upsert_company("crm", _std(spark, d, "crm"), _masters(spark, d).company, conf(), now(), index=False)
 
 
 def _person_upsert(spark, d, feed):
     std = _std(spark, d, feed)
-    comp = pl.upsert_company(feed, std, _seed_c(spark, d), conf(), now())
-    return pl.upsert_person(pl.with_company_code(std, comp.attached), _seed_p(spark, d), now())
+    comp = pl.upsert_company(feed, std, _masters(spark, d).company, conf(), now(), index=False)
+    return pl.upsert_person(pl.with_company_code(std, comp.attached), _masters(spark, d).person, now(), index=False)
 
 
 def q_dedupe_person(feed):
@@ -177,8 +189,8 @@ def q_merge_update_company(spark, d):
 
 
 def q_upsert_company(feed):
-    return lambda spark, d: pl.upsert_company(feed, _std(spark, d, feed), _seed_c(spark, d),
-                                              conf(), now()).master
+    return lambda spark, d: pl.upsert_company(feed, _std(spark, d, feed), _masters(spark, d).company,
+                                              conf(), now(), index=False).master
 
 
 def q_upsert_person(feed):
@@ -186,7 +198,7 @@ def q_upsert_person(feed):
 
 
 def _crm_step(spark, d):
-    return pl.feed_step("crm", _std(spark, d, "crm"), _seed_c(spark, d), _seed_p(spark, d), conf(), now())
+    return pl.feed_step("crm", _std(spark, d, "crm"), _masters(spark, d), conf(), now())
 
 
 def q_president_link(spark, d):
@@ -195,15 +207,15 @@ def q_president_link(spark, d):
 
 def _fold(spark, d):
     std = {f: _std(spark, d, f) for f in FEEDS}
-    return pl.fold(std, _seed_c(spark, d), _seed_p(spark, d), conf(), now())
+    return pl.fold(std, _masters(spark, d), conf(), now())
 
 
 def q_fold_company(spark, d):
-    return _fold(spark, d)[0]
+    return _fold(spark, d).company.rows()
 
 
 def q_fold_person(spark, d):
-    return _fold(spark, d)[1]
+    return _fold(spark, d).person.rows()
 
 
 def q_manual_merge_check(spark, d):
@@ -211,7 +223,7 @@ def q_manual_merge_check(spark, d):
 
 
 def _manual_merge(spark, d):
-    master = _seed_c(spark, d)
+    master = _masters(spark, d).company.base
     instr = mm.valid_instructions(fx.merge_instructions(spark, d), master)
     return mm.apply_merge(instr, master)
 
