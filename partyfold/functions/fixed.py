@@ -22,6 +22,7 @@ INVALID_FAX = "INVALID_FAX_NUMBER"
 INVALID_PREFECTURE = "INVALID_PREFECTURE"
 NAME_ONLY = "PERSONAL_INFORMATION_NAME_ONLY"
 INVALID_INVOICE_NO = "INVALID_INVOICE_COMPANY_NUMBER_FORMAT"
+ERROR_REASONS = (INVALID_MAIL, INVALID_PHONE, INVALID_FAX, INVALID_PREFECTURE, NAME_ONLY, INVALID_INVOICE_NO)
 
 # ---- FIXED VALUES: patterns ----------------------------------------------
 # 2-3 kanji followed by one of the four prefecture suffixes (leftmost match).

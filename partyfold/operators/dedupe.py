@@ -20,6 +20,13 @@ Each pass is one ``groupBy`` on ``(k1, k2, solo)``, where ``solo`` is null
 for rows with both keys filled and the row's ``seq`` otherwise (so those rows
 stay alone). The aggregates are partial (map-side), so a key pair held by a
 third of all rows is combined before the shuffle and does not load one task.
+
+Most rows of a feed of new parties can never merge: to do so, a row must share the values of
+two key columns with other rows, and every value a merged row holds comes from a row that
+merged. So each key value is counted once (as a hash, in narrow rows), and a row with fewer
+than two shared values skips all passes. The counting pays only where it leaves many rows
+out; estimates of the distinct values (one pass without a shuffle) decide that, and both ways
+give the same rows.
 """
 
 from __future__ import annotations
@@ -28,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import ident
+from ..sources.tables import stored
 
 ORD = "_ord"
 _N, _SOLO, _FIRST = "_grp_n", "_solo", "_ord_first"
@@ -64,13 +72,45 @@ def dedupe_pass(df: DataFrame, k1: str, k2: str, pass_no: int, seq: str = "seq",
                             for c in df.columns if c != ORD], new_ord)
 
 
-def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True) -> DataFrame:
+def key_columns(combinations) -> list[str]:
+    return list(dict.fromkeys(c for pair in combinations for c in pair))
+
+
+def sharing_rows(df: DataFrame, columns, seq: str = "seq") -> DataFrame:
+    """(seq) of the rows that share two or more filled values of ``columns`` with other rows.
+    Values are compared by 64-bit hashes: a collision could only let one more row in."""
+    hashes = [F.when(filled(c), F.xxhash64(F.lit(i), F.col(c))) for i, c in enumerate(columns)]
+    values = df.select(F.col(seq), F.explode(F.filter(F.array(*hashes), lambda h: h.isNotNull())).alias("_value"))
+    shared = values.groupBy("_value").agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > 1).select("_value")
+    # a value that very many rows hold is one row on the other side, which AQE's skew join splits
+    return values.join(shared, "_value").groupBy(seq).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > 1).select(seq)
+
+
+def filter_pays(df: DataFrame, columns) -> bool:
+    """Whether half of the rows or fewer share two key values, by estimate: at most twice as many rows
+    as there are values beyond the distinct ones share a column's values."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(columns) for x in (
+        F.count(F.when(filled(c), F.lit(1))).alias(f"n{i}"),
+        F.approx_count_distinct(F.when(filled(c), F.col(c)), 0.03).alias(f"d{i}"))]).first()
+    sharing = sorted((min(row[f"n{i}"], 2 * max(0, row[f"n{i}"] - row[f"d{i}"])) for i in range(len(columns))), reverse=True)
+    return len(sharing) > 1 and 2 * sharing[1] <= row.n
+
+
+def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True, single_keys: bool | None = None) -> DataFrame:
     """E1 over all key pairs in order. Input rows need a unique ``seq`` (their
-    initial order); the output keeps ``_ord`` unless ``keep_order`` is False."""
+    initial order); the output keeps ``_ord`` unless ``keep_order`` is False. ``single_keys`` says
+    whether rows that cannot merge are taken out first (None: where that pays)."""
     solid = [f.name for f in df.schema.fields if not f.nullable and f.name != ORD]
     out = df if ORD in df.columns else with_initial_order(df, seq)
+    columns = key_columns(combinations)
+    alone = None
+    if filter_pays(df, columns) if single_keys is None else single_keys:
+        sharing = stored(sharing_rows(df, columns, seq), "sharing")
+        out, alone = out.join(sharing, seq, "left_semi"), out.join(sharing, seq, "left_anti")
     for p, (k1, k2) in enumerate(combinations, start=1):
         out = dedupe_pass(out, k1, k2, p, seq, solid)
+    if alone is not None:
+        out = out.unionByName(alone)
     return out if keep_order else out.drop(ORD)
 
 

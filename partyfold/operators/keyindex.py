@@ -1,6 +1,7 @@
 """A kept index of a master: which codes stand under which key.
 
-The base is a table bucketed on the key, one row per (key, code). Every batch adds a delta
+The base is a table bucketed on the key, one row per (key, code), written in the form of the
+deltas (version 0, alive) so that the two can be read as one. Every batch adds a delta
 with just its changes: entries that came to life and entries that died, under a version
 number that grows from batch to batch. A look-up takes the wanted keys to the buckets (the
 base is never shuffled or sorted out anew), resolves each (key, code) to its latest version and
@@ -26,7 +27,8 @@ VERSION, LIVE = "_version", "_live"
 
 def index_schema(keys, pk: str, types: dict | None = None) -> T.StructType:
     types = types or {}
-    return T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in (*keys, pk)])
+    return T.StructType([*[T.StructField(c, types.get(c, T.StringType())) for c in (*keys, pk)],
+                         T.StructField(VERSION, T.IntegerType()), T.StructField(LIVE, T.BooleanType())])
 
 
 def delta(before: Column | None, after: Column, rows: DataFrame, pk: str, version: int) -> DataFrame:
@@ -41,18 +43,22 @@ def delta(before: Column | None, after: Column, rows: DataFrame, pk: str, versio
             .select("_entry.key.*", F.col(pk), F.lit(version).alias(VERSION), F.col("_entry.live").alias(LIVE)))
 
 
+def _as_base(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({VERSION: F.lit(0), LIVE: F.lit(True)})
+
+
 @dataclass(frozen=True)
 class KeptIndex:
-    base: DataFrame                      # keys + pk, bucketed on the keys
+    base: DataFrame                      # keys + pk + version + live, bucketed on the keys
     keys: tuple
     pk: str
-    deltas: tuple = ()                   # keys + pk + version + live, of the batches since
+    deltas: tuple = ()                   # the same columns, of the batches since
 
     @classmethod
     def build(cls, entries: DataFrame, keys, pk: str, path: str, buckets: int) -> "KeptIndex":
         """The index of (keys, pk) rows, written at ``path``."""
         rows = entries.select(*keys, pk).repartition(buckets, *keys).distinct()
-        return cls(write_bucketed(rows, path, keys, buckets, aligned=True), tuple(keys), pk)
+        return cls(write_bucketed(_as_base(rows), path, keys, buckets, aligned=True), tuple(keys), pk)
 
     @classmethod
     def load(cls, spark, path: str, schema: T.StructType, keys, pk: str, buckets: int) -> "KeptIndex":
@@ -63,7 +69,7 @@ class KeptIndex:
 
     def _resolved(self, frames) -> DataFrame:
         """Live (keys, pk) of the base and the deltas, the latest version of each deciding."""
-        out = frames[0].withColumns({VERSION: F.lit(0), LIVE: F.lit(True)})
+        out = frames[0]
         for d in frames[1:]:
             out = out.unionByName(d)
         return (out.groupBy(*self.keys, self.pk).agg(F.max_by(LIVE, VERSION).alias(LIVE))
@@ -72,7 +78,7 @@ class KeptIndex:
     def entries(self, buckets: int | None = None) -> DataFrame:
         """All live entries. With ``buckets`` (those of the base) only the deltas move."""
         if not self.deltas:
-            return self.base
+            return self.base.select(*self.keys, self.pk)
         moved = [d.repartition(buckets, *self.keys) if buckets else d for d in self.deltas]
         return self._resolved([self.base, *moved])
 
@@ -89,4 +95,4 @@ class KeptIndex:
         """The index as one base again, at ``path``: buckets are read, changed and written in place
         of each other without moving the base."""
         rows = self.entries(buckets).select(*self.keys, self.pk)
-        return replace(self, base=write_bucketed(rows, path, self.keys, buckets, aligned=True), deltas=())
+        return replace(self, base=write_bucketed(_as_base(rows), path, self.keys, buckets, aligned=True), deltas=())

@@ -8,9 +8,10 @@ provider, say) holds a third of the master.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import fixed
 from .skew import salted_join
 
 COMPANY_NAME_FORM = "株式会社"
@@ -25,21 +26,38 @@ def error_list(errors_by_feed: dict) -> DataFrame:
     return out
 
 
-def trend_of_counts(counts_by_feed: dict) -> DataFrame:
-    """F2 straight from the failing rows' counts of one day each, (counts, day) by feed: no error
-    numbers needed."""
-    frames = [df.select(day.alias("error_date"), F.lit(feed).alias("source"), "error_reason", "error_count")
-              for feed, (df, day) in counts_by_feed.items()]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f)
-    return out
+#: The kept count table: one row per day, source and reason (zeros too, so that a second run of a
+#: day always replaces the first), with the largest error number the source had that day.
+COUNT_SCHEMA = "error_date date, source string, error_reason string, error_count bigint, last_error_seq bigint"
+
+
+def daily_counts(failed: DataFrame, day, source: str) -> DataFrame:
+    """Count rows of failing (row, rule) pairs whose day is the column ``day``; reasons that did not
+    occur on a day that has rows are there with 0."""
+    grouped = (failed.groupBy(day.alias("error_date")).agg(*[F.count_if(F.col("error_reason") == r).alias(f"r{i}")
+                                                             for i, r in enumerate(fixed.ERROR_REASONS)]))
+    each = F.explode(F.array(*[F.struct(F.lit(r).alias("error_reason"), F.col(f"r{i}").alias("error_count"))
+                               for i, r in enumerate(fixed.ERROR_REASONS)]))
+    return (grouped.select("error_date", each.alias("_c"))
+            .select("error_date", F.lit(source).alias("source"), "_c.error_reason", "_c.error_count",
+                    F.lit(None).cast("bigint").alias("last_error_seq")))
+
+
+def replace_counts(counts: DataFrame, path: str) -> None:
+    """Put count rows into the table at ``path`` in the place of those of the same days and sources."""
+    (counts.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("error_date", "source").parquet(path))
 
 
-def error_trend(errors: DataFrame) -> DataFrame:
-    """error count per day x source x reason."""
-    return (errors.groupBy(F.to_date("insert_datetime").alias("error_date"), "source", "error_reason")
-            .agg(F.count(F.lit(1)).alias("error_count")))
+def error_trend(spark: SparkSession, path: str, first_day=None, last_day=None) -> DataFrame:
+    """error count per day x source x reason, from the count table; no error row is read, and days
+    outside the asked-for ones are not opened."""
+    counts = spark.read.schema(COUNT_SCHEMA).parquet(path)
+    if first_day is not None:
+        counts = counts.filter(F.col("error_date") >= F.lit(first_day))
+    if last_day is not None:
+        counts = counts.filter(F.col("error_date") <= F.lit(last_day))
+    return counts.filter("error_count > 0").select("error_date", "source", "error_reason", "error_count")
 
 
 def _candidate_groups(m_company: DataFrame, key, reason: str, min_names: int = 1) -> DataFrame:

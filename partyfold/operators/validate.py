@@ -68,11 +68,6 @@ def error_records(work: DataFrame, checks, conf: Conf, now: Column, max_existing
     return numbered.drop("_rule", "seq").withColumn("insert_datetime", now)
 
 
-def error_counts(work: DataFrame, checks, conf: Conf) -> DataFrame:
-    """Failing (row, rule) pairs per reason, without numbering them."""
-    return failing_rows(work, checks, conf).groupBy("error_reason").agg(F.count(F.lit(1)).alias("error_count"))
-
-
 def max_error_seq(errors: DataFrame | None):
     """Largest error_seq of an existing error table (0 when empty or absent), as a scalar
     subquery: it stays inside the plan."""

@@ -265,12 +265,18 @@ def clean(ch: Chain, feed: str) -> str:
     return ch.add(name, f"SELECT * FROM {w} WHERE NOT ({bad})")
 
 
-def errors(ch: Chain, feed: str, offset: str = "0") -> str:
+def failing(ch: Chain, feed: str) -> str:
+    """One row per (work row, failing rule)."""
     w = work(ch, feed)
     cols = ", ".join(WORK_COLS[feed])
     parts = [f"SELECT {cols}, seq, {i} AS rule_no, {lit(REASON[r[0]])} AS error_reason FROM {w} WHERE {rule_sql(r)}"
              for i, r in enumerate(RULES[feed])]
-    hits = ch.new(f"hits_{feed}", "\nUNION ALL\n".join(parts))
+    return ch.new(f"hits_{feed}", "\nUNION ALL\n".join(parts))
+
+
+def errors(ch: Chain, feed: str, offset: str = "0") -> str:
+    cols = ", ".join(WORK_COLS[feed])
+    hits = failing(ch, feed)
     return ch.new(f"err_{feed}", f"""SELECT {cols}, error_reason,
  CAST(row_number() OVER (ORDER BY rule_no, seq) + ({offset}) AS BIGINT) AS error_seq,
  {RUN_TS} AS insert_datetime FROM {hits}""")
@@ -633,10 +639,6 @@ def feed_step(ch: Chain, feed: str, m_company: str, m_person: str, tag: str):
     return linked, pers["master"]
 
 
-def crm_step(ch: Chain):
-    return feed_step(ch, "crm", seed_company(ch), seed_person(ch), "cs")
-
-
 def drop_cols(cte: str, cols) -> str:
     return f"SELECT * EXCLUDE ({', '.join(cols)}) FROM {cte}"
 
@@ -726,7 +728,8 @@ def oracle_queries() -> dict[str, str]:
     def _slice(ch):
         ch.add("lake", f"SELECT k AS source_key, {FEED_SELECT['sales']}, day AS update_datetime FROM ({base_sql('sales', ', day')}) b")
         cols = ", ".join(WORK_COLS["sales"])
-        return f"""SELECT row_number() OVER (ORDER BY update_datetime, source_key) AS seq, {cols} FROM lake
+        return f"""SELECT row_number() OVER (ORDER BY update_datetime, source_key) AS seq, {cols},
+ concat_ws('/', phone_number1, phone_number2) AS phones, CAST(length(address) AS INTEGER) AS address_length FROM lake
  WHERE update_datetime >= TIMESTAMP '1997-01-15 00:00:00' AND update_datetime < TIMESTAMP '1997-01-16 00:00:00'"""
     q["daily_slice"] = _q(_slice)
 
@@ -735,7 +738,8 @@ def oracle_queries() -> dict[str, str]:
         return f"""SELECT t1.seq, t2.normalized_company_name, t1.postal_code, t1.prefecture,
  t2.normalized_full_address AS full_address, t1.employees_volume,
  t2.normalized_company_phone_number AS main_phone_number, t2.normalized_company_email AS main_email_address,
- t2.normalized_personal_name, t2.normalized_job_post FROM {c} t1 INNER JOIN {s} t2 ON t1.seq = t2.seq"""
+ t2.normalized_personal_name, t2.normalized_job_post, upper(t2.normalized_personal_email) AS upper_email,
+ CAST(t1.annual_revenue AS DOUBLE) / 1000 AS revenue_thousands FROM {c} t1 INNER JOIN {s} t2 ON t1.seq = t2.seq"""
     q["work_normalized_join"] = _q(_join)
     for f in FEEDS:
         q[f"company_view_{f}"] = _q(lambda ch, f=f: f"SELECT * FROM {company_view(ch, f)}")
@@ -781,15 +785,14 @@ def oracle_queries() -> dict[str, str]:
         q[f"upsert_company_{f}"] = _q(lambda ch, f=f: f"SELECT * FROM {company_step(ch, f, seed_company(ch), 'u')['master']}")
     for f in PERSON_FEEDS:
         q[f"upsert_person_{f}"] = _q(lambda ch, f=f: f"SELECT * FROM {_pers(ch, f)[1]['master']}")
-    q["president_link"] = _q(lambda ch: f"SELECT * FROM {crm_step(ch)[0]}")
-
-    def _fold(ch, which):
+    def _fold(ch):
         mc, mp = seed_company(ch), seed_person(ch)
         for i, f in enumerate(FEEDS):
             mc, mp = feed_step(ch, f, mc, mp, f"f{i}")
-        return f"SELECT * FROM {mc if which == 0 else mp}"
-    q["fold_company_master"] = _q(lambda ch: _fold(ch, 0))
-    q["fold_person_master"] = _q(lambda ch: _fold(ch, 1))
+        return mc, mp
+    q["president_link"] = _q(lambda ch: f"SELECT * FROM {_fold(ch)[0]}")
+    q["fold_company_master"] = _q(lambda ch: f"SELECT * FROM {_fold(ch)[0]}")
+    q["fold_person_master"] = _q(lambda ch: f"SELECT * FROM {_fold(ch)[1]}")
     q["manual_merge_check"] = _q(lambda ch: f"SELECT * FROM {manual_check(ch, seed_company(ch))}")
     q["manual_merge_apply"] = _q(lambda ch: f"SELECT * FROM {manual_apply(ch, seed_company(ch))}")
 
@@ -804,19 +807,22 @@ def oracle_queries() -> dict[str, str]:
         parts = [f"SELECT *, {lit(f)} AS source FROM {errors(ch, f)}" for f in FEEDS]
         return ch.new("elist", "\nUNION ALL BY NAME\n".join(parts))
     q["error_list"] = _q(lambda ch: f"SELECT * FROM {_errs(ch)}")
-    # each feed's errors of another day: crm of the run day, name cards of the day before, ...
-    days = " ".join(f"WHEN {lit(f)} THEN {i}" for i, f in enumerate(FEEDS))
-    q["error_trend"] = _q(lambda ch: f"""SELECT CAST(CAST(insert_datetime AS DATE) - CAST(CASE source {days} END AS INTEGER) AS DATE) AS error_date,
- source, error_reason, count(*) AS error_count FROM {_errs(ch)} GROUP BY 1, 2, 3""")
-    q["candidates_name"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "replace(company_name, '株式会社', '')", "similar_name", 2))
-    q["candidates_address"] = _q(lambda ch: candidates(ch, crm_step(ch)[0], "full_address", "same_address", 2))
+    # a row of source number k came in k % 7 days before the run day
+    def _trend(ch):
+        parts = [f"""SELECT {lit(f)} AS source, error_reason, CAST(CAST({RUN_TS} AS DATE) - CAST(seq % 7 AS INTEGER) AS DATE) AS error_date
+ FROM {failing(ch, f)}""" for f in FEEDS]
+        rows = ch.new("trow", "\nUNION ALL\n".join(parts))
+        return f"SELECT error_date, source, error_reason, count(*) AS error_count FROM {rows} GROUP BY 1, 2, 3"
+    q["error_trend"] = _q(_trend)
+    q["candidates_name"] = _q(lambda ch: candidates(ch, _fold(ch)[0], "replace(company_name, '株式会社', '')", "similar_name", 2))
+    q["candidates_address"] = _q(lambda ch: candidates(ch, _fold(ch)[0], "full_address", "same_address", 2))
     q["candidates_domain"] = _q(lambda ch: candidates(
-        ch, crm_step(ch)[0], "CASE WHEN contains(main_email_address, '@') THEN split_part(main_email_address, '@', -1) END",
+        ch, _fold(ch)[0], "CASE WHEN contains(main_email_address, '@') THEN split_part(main_email_address, '@', -1) END",
         "same_mail_domain"))
-    q["company_list"] = _q(lambda ch: f"SELECT * FROM {crm_step(ch)[0]} WHERE prefecture_code = '13'")
+    q["company_list"] = _q(lambda ch: f"SELECT * FROM {_fold(ch)[0]} WHERE prefecture_code = '13'")
 
     def _plist(ch):
-        mc, mp = crm_step(ch)
+        mc, mp = _fold(ch)
         return f"SELECT p.*, c.company_name FROM {mp} p LEFT JOIN (SELECT company_code, company_name FROM {mc}) c ON p.company_code = c.company_code"
     q["person_list"] = _q(_plist)
     return q

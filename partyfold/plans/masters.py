@@ -90,8 +90,8 @@ class KeptMaster:
         new = cl.applied(log.filter(cl.INSERT).select(*names), updates, self.pk, self.flags)
         return old.unionByName(new)
 
-    def saved(self, path: str, index_path: str) -> tuple["KeptMaster", dict]:
-        """Write the next state and its index; returns it and the rows inserted, updated, untouched
+    def saved(self, path: str, index_path: str | None) -> tuple["KeptMaster", dict]:
+        """Write the next state and its index (None: without it); returns it and the rows inserted, updated, untouched
         and in all, counted while they are written."""
         log = self._log()
         names = self.layout.fieldNames()
@@ -106,7 +106,7 @@ class KeptMaster:
             rows = old.unionByName(new)
         observed, obs = counted(rows, f"save-{self.pk}", **{t: F.count_if(tag == t) for t in ("inserted", "updated", "untouched")})
         base = write_bucketed(observed.drop("_tag"), path, [self.pk], self.buckets, aligned=True)
-        index = self.index.saved(index_path, self.buckets)
+        index = self.index.saved(index_path, self.buckets) if index_path else self.index
         return replace(self, base=base, index=index, log=()), {k: int(v) for k, v in obs.get.items()}
 
 
@@ -155,10 +155,12 @@ class Masters:
                                     ("company_code",), "person_id", buckets)
         return cls(company, person, presidents, linked=True)
 
-    def saved(self, m_company: str, m_person: str, index_root: str) -> tuple["Masters", dict]:
-        """Write the next state; returns it and its row counts."""
-        company, of_company = self.company.saved(m_company, f"{index_root}/company_pairs")
-        person, of_person = self.person.saved(m_person, f"{index_root}/person_pairs")
-        presidents = self.presidents.saved(f"{index_root}/presidents", self.company.buckets)
+    def saved(self, m_company: str, m_person: str, index_root: str | None = None) -> tuple["Masters", dict]:
+        """Write the next state, with its indexes under ``index_root`` where one is given; returns it and its
+        row counts (rows, inserted, updated, untouched of both masters)."""
+        place = lambda name: f"{index_root}/{name}" if index_root else None
+        company, of_company = self.company.saved(m_company, place("company_pairs"))
+        person, of_person = self.person.saved(m_person, place("person_pairs"))
+        presidents = self.presidents.saved(place("presidents"), self.company.buckets) if index_root else self.presidents
         counts = {**{f"company_{k}": v for k, v in of_company.items()}, **{f"person_{k}": v for k, v in of_person.items()}}
         return Masters(company, person, presidents, self.linked), counts

@@ -20,7 +20,8 @@ from ..operators.dedupe import ORD, dedupe
 from ..operators.join import join_tables
 from ..operators.slice import daily_slice
 from ..operators.standardize import normalized_only
-from ..operators.validate import error_counts, max_error_seq
+from ..operators.validate import failing_rows, max_error_seq
+from ..sources.bucketed import scratch_path
 from ..sources import fixtures as fx
 from ..sources.conf import Conf
 from . import pipeline as pl
@@ -86,7 +87,9 @@ def q_daily_slice(spark, d):
     mapping = [("customer_company_name", "customer_company_name"),
                ("customer_person_name", "customer_person_name"),
                ("phone_number1", "phone_number1"), ("phone_number2", "phone_number2"),
-               ("email_address", "email_address"), ("address", "address")]
+               ("email_address", "email_address"), ("address", "address"),
+               (None, "concat_ws('/', phone_number1, phone_number2) AS phones"),
+               (None, "length(address) AS address_length")]
     return daily_slice(lake, fx.SLICE_DAY, mapping, tie_break=["source_key"])
 
 
@@ -98,7 +101,9 @@ def q_work_normalized_join(spark, d):
         ("t1.prefecture", None), ("t2.normalized_full_address", "full_address"),
         ("t1.employees_volume", None), ("t2.normalized_company_phone_number", "main_phone_number"),
         ("t2.normalized_company_email", "main_email_address"), ("t2.normalized_personal_name", None),
-        ("t2.normalized_job_post", None)])
+        ("t2.normalized_job_post", None),
+        (None, "upper(t2.normalized_personal_email) AS upper_email"),
+        (None, "t1.annual_revenue / 1000 AS revenue_thousands")])
 
 
 def q_company_view(feed):
@@ -197,14 +202,6 @@ def q_upsert_person(feed):
     return lambda spark, d: _person_upsert(spark, d, feed).master
 
 
-def _crm_step(spark, d):
-    return pl.feed_step("crm", _std(spark, d, "crm"), _masters(spark, d), conf(), now())
-
-
-def q_president_link(spark, d):
-    return _crm_step(spark, d).m_company
-
-
 def _fold(spark, d):
     std = {f: _std(spark, d, f) for f in FEEDS}
     return pl.fold(std, _masters(spark, d), conf(), now())
@@ -246,36 +243,61 @@ def q_error_list(spark, d):
 
 
 def q_error_trend(spark, d):
-    # each feed's errors of another day: crm of the run day, name cards of the day before, ...
-    return rp.trend_of_counts({f: (error_counts(_work(spark, d, f), FEED_SPECS[f].checks, conf()),
-                                   F.date_sub(F.to_date(now()), i)) for i, f in enumerate(FEEDS)})
+    """F2 through the kept count table: the rows of a feed came in over the week up to the run day (their
+    source number says on which day), each day's errors were counted that day, and the run day was
+    run twice."""
+    path = scratch_path(spark, "error-counts")
+    day = F.date_sub(F.to_date(now()), F.pmod(F.col("seq"), F.lit(7)).cast("int"))
+    counts = None
+    for f in FEEDS:
+        failed = failing_rows(_work(spark, d, f), FEED_SPECS[f].checks, conf())
+        some = rp.daily_counts(failed, day, f)
+        counts = some if counts is None else counts.unionByName(some)
+    counts = pl.snapshot(counts)
+    rp.replace_counts(counts, path)
+    rp.replace_counts(counts.filter(F.col("error_date") == F.to_date(now())), path)
+    return rp.error_trend(spark, path)
+
+
+@lru_cache(maxsize=4)
+def _screen(app_id, spark, d) -> Masters:
+    """The masters the screens show: those that the fold of all five feeds leaves, written once a session
+    and data folder (a daily run writes them once a day)."""
+    place = scratch_path(spark, "screen")
+    return _fold(spark, d).saved(f"{place}/company", f"{place}/person")[0]
+
+
+def _screen_company(spark, d):
+    return _screen(spark.sparkContext.applicationId, spark, d).company.base
 
 
-def _company_screen(spark, d):
-    """The company master the screens show; candidates read no person column, so the
-    person upsert is left out."""
-    return pl.snapshot(_crm_company(spark, d).master)
+def _screen_person(spark, d):
+    return _screen(spark.sparkContext.applicationId, spark, d).person.base
+
+
+def q_president_link(spark, d):
+    """E11 after every feed with persons: the company master at the end of the fold."""
+    return _screen_company(spark, d)
 
 
 def q_candidates_name(spark, d):
-    return rp.candidates_name(_company_screen(spark, d))
+    return rp.candidates_name(_screen_company(spark, d))
 
 
 def q_candidates_address(spark, d):
-    return rp.candidates_address(_company_screen(spark, d))
+    return rp.candidates_address(_screen_company(spark, d))
 
 
 def q_candidates_domain(spark, d):
-    return rp.candidates_domain(_company_screen(spark, d))
+    return rp.candidates_domain(_screen_company(spark, d))
 
 
 def q_company_list(spark, d):
-    return rp.company_list(_crm_step(spark, d).m_company, prefecture_code="13")
+    return rp.company_list(_screen_company(spark, d), prefecture_code="13")
 
 
 def q_person_list(spark, d):
-    step = _crm_step(spark, d)
-    return rp.person_list(step.m_person, step.m_company)
+    return rp.person_list(_screen_person(spark, d), _screen_company(spark, d))
 
 
 def registry() -> dict:

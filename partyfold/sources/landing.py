@@ -15,6 +15,8 @@ that is no number lands as null and is counted (``unreadable``).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,6 +92,13 @@ def replace_day(rows: DataFrame, path: str) -> None:
      .partitionBy(LANDED_ON).parquet(path))
 
 
+def lake_day(spark: SparkSession, feed: str, lake_root: str, day: dt.date) -> DataFrame | None:
+    """The rows of a feed that landed on ``day``, or None where nothing did. Only that day's folder is
+    listed and only its files are opened, however many days the lake holds."""
+    root = f"{lake_root}/{feed}"
+    return read_or_none(spark, f"{root}/{LANDED_ON}={day.isoformat()}", basePath=root)
+
+
 def lake(spark: SparkSession, feed: str, lake_root: str) -> DataFrame | None:
     """All landed rows of a feed (columns of every day), or None before the first one."""
     return read_or_none(spark, f"{lake_root}/{feed}", mergeSchema="true")
