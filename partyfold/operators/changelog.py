@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import ident
 from .dedupe import ORD
 from .keyindex import VERSION
 from .master import one_row_per_key
@@ -27,9 +28,9 @@ def log_schema(layout: T.StructType) -> T.StructType:
 def _in_layout(rows: DataFrame, layout: T.StructType, columns, version: int, insert: bool, flags=()) -> DataFrame:
     out = []
     for f in layout.fields:
-        c = F.col(f.name).cast(f.dataType) if f.name in columns else F.lit(None).cast(f.dataType)
-        out.append((F.coalesce(c, F.lit(False)) if f.name in flags else c).alias(f.name))
-    return rows.select(*out, F.lit(version).alias(VERSION), F.lit(insert).alias(INSERT))
+        c = f"CAST({ident(f.name) if f.name in columns else 'NULL'} AS {f.dataType.simpleString()})"
+        out.append(f"{f'coalesce({c}, false)' if f.name in flags else c} AS {ident(f.name)}")
+    return rows.selectExpr(*out, f"{version} AS {VERSION}", f"{str(insert).lower()} AS {INSERT}")
 
 
 def insert_rows(rows: DataFrame, layout: T.StructType, version: int) -> DataFrame:
@@ -52,25 +53,25 @@ def folded(updates: DataFrame, key: str, columns, flags=()) -> DataFrame:
         if c == key:
             continue
         if c in flags:
-            aggs.append(F.max(c).alias(c))
+            aggs.append(f"max({ident(c)}) AS {ident(c)}")
             continue
-        value = F.nullif(F.col(c), F.lit("")) if isinstance(updates.schema[c].dataType, T.StringType) else F.col(c)
-        aggs.append(F.max_by(value, F.when(value.isNotNull(), F.col(VERSION))).alias(c))
-    return updates.groupBy(key).agg(*aggs)
+        value = f"nullif({ident(c)}, '')" if isinstance(updates.schema[c].dataType, T.StringType) else ident(c)
+        aggs.append(f"max_by({value}, CASE WHEN {value} IS NOT NULL THEN {VERSION} END) AS {ident(c)}")
+    return updates.groupBy(key).agg(*[F.expr(a) for a in aggs])
 
 
 def applied(rows: DataFrame, changes: DataFrame, key: str, flags=(), extra=()) -> DataFrame:
-    """``rows`` with the folded ``changes`` of their keys (and ``extra`` columns, which may use those of the
+    """``rows`` with the folded ``changes`` of their keys (and ``extra`` SQL columns, which may use those of the
     changes as ``_new_<name>``); ``rows`` bucketed on the key stay where they are, and so does the result."""
-    new = changes.select(F.col(key), *[F.col(c).alias(f"_new_{c}") for c in changes.columns if c != key])
-    joined = rows.join(new, key, "left")
+    fresh = changes.columns
+    new = changes.selectExpr(ident(key), *[f"{ident(c)} AS {ident('_new_' + c)}" for c in fresh if c != key])
     out = []
     for c in rows.columns:
-        if c == key or c not in changes.columns:
-            out.append(F.col(c))
+        a, b = ident(c), ident("_new_" + c)
+        if c == key or c not in fresh:
+            out.append(a)
         elif c in flags:
-            out.append(F.when(F.col(f"_new_{c}").isNotNull(), F.col(f"_new_{c}") | F.coalesce(F.col(c), F.lit(False)))
-                       .otherwise(F.col(c)).alias(c))
+            out.append(f"CASE WHEN {b} IS NOT NULL THEN {b} OR coalesce({a}, false) ELSE {a} END AS {a}")
         else:
-            out.append(F.coalesce(F.col(f"_new_{c}"), F.col(c)).alias(c))
-    return joined.select(*out, *extra)
+            out.append(f"coalesce({b}, {a}) AS {a}")
+    return rows.join(new, key, "left").selectExpr(*out, *extra)

@@ -41,11 +41,9 @@ ORD = "_ord"
 _N, _SOLO, _FIRST = "_grp_n", "_solo", "_ord_first"
 
 
-def filled(*cols) -> Column:
-    cond = F.lit(True)
-    for c in cols:
-        cond = cond & F.col(c).isNotNull() & (F.col(c) != F.lit(""))
-    return cond
+def s_filled(*cols: str) -> str:
+    """The columns are neither null nor empty, as SQL text (one expression instead of many calls)."""
+    return " AND ".join(f"({ident(c)} IS NOT NULL AND {ident(c)} <> '')" for c in cols)
 
 
 def with_initial_order(df: DataFrame, seq: str = "seq") -> DataFrame:
@@ -59,7 +57,7 @@ def dedupe_pass(df: DataFrame, k1: str, k2: str, pass_no: int, seq: str = "seq",
     carried = [c for c in df.columns if c not in (k1, k2, ORD, *solid)]
     a, b, o = ident(k1), ident(k2), ident(ORD)
     solo = F.expr(f"CASE WHEN {a} IS NOT NULL AND {a} <> '' AND {b} IS NOT NULL AND {b} <> '' "
-                  f"THEN CAST(NULL AS BIGINT) ELSE CAST({ident(seq)} AS BIGINT) END").alias(_SOLO)
+                  f"THEN CAST(NULL AS BIGINT) ELSE CAST({ident(seq)} AS BIGINT) END AS {_SOLO}")
     # the order is unique, so comparing the structs never reaches the columns after it
     aggs = [F.expr(f"count(1) AS {_N}"), F.min(F.struct(ORD, *solid)).alias(_FIRST)]
     # First non-null in the current order ("" is a value, not a gap)
@@ -79,8 +77,8 @@ def key_columns(combinations) -> list[str]:
 def sharing_rows(df: DataFrame, columns, seq: str = "seq") -> DataFrame:
     """(seq) of the rows that share two or more filled values of ``columns`` with other rows.
     Values are compared by 64-bit hashes: a collision could only let one more row in."""
-    hashes = [F.when(filled(c), F.xxhash64(F.lit(i), F.col(c))) for i, c in enumerate(columns)]
-    values = df.select(F.col(seq), F.explode(F.filter(F.array(*hashes), lambda h: h.isNotNull())).alias("_value"))
+    hashes = ", ".join(f"CASE WHEN {s_filled(c)} THEN xxhash64({i}, {ident(c)}) END" for i, c in enumerate(columns))
+    values = df.select(F.col(seq), F.expr(f"explode(array_compact(array({hashes})))").alias("_value"))
     shared = values.groupBy("_value").agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > 1).select("_value")
     # a value that very many rows hold is one row on the other side, which AQE's skew join splits
     return values.join(shared, "_value").groupBy(seq).agg(F.count(F.lit(1)).alias(_N)).filter(F.col(_N) > 1).select(seq)
@@ -89,23 +87,25 @@ def sharing_rows(df: DataFrame, columns, seq: str = "seq") -> DataFrame:
 def filter_pays(df: DataFrame, columns) -> bool:
     """Whether half of the rows or fewer share two key values, by estimate: at most twice as many rows
     as there are values beyond the distinct ones share a column's values."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), *[x for i, c in enumerate(columns) for x in (
-        F.count(F.when(filled(c), F.lit(1))).alias(f"n{i}"),
-        F.approx_count_distinct(F.when(filled(c), F.col(c)), 0.03).alias(f"d{i}"))]).first()
+    row = df.agg(F.expr("count(1) AS n"), *[F.expr(x) for i, c in enumerate(columns) for x in (
+        f"count_if({s_filled(c)}) AS n{i}", f"approx_count_distinct(nullif({ident(c)}, ''), 0.03) AS d{i}")]).first()
     sharing = sorted((min(row[f"n{i}"], 2 * max(0, row[f"n{i}"] - row[f"d{i}"])) for i in range(len(columns))), reverse=True)
     return len(sharing) > 1 and 2 * sharing[1] <= row.n
 
 
-def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True, single_keys: bool | None = None) -> DataFrame:
+def dedupe(df: DataFrame, combinations, seq: str = "seq", keep_order: bool = True, single_keys: bool | None = None,
+           keys: DataFrame | None = None) -> DataFrame:
     """E1 over all key pairs in order. Input rows need a unique ``seq`` (their
     initial order); the output keeps ``_ord`` unless ``keep_order`` is False. ``single_keys`` says
-    whether rows that cannot merge are taken out first (None: where that pays)."""
+    whether rows that cannot merge are taken out first (None: where that pays); ``keys`` may give the
+    rows' seq and key columns from a cheaper plan."""
     solid = [f.name for f in df.schema.fields if not f.nullable and f.name != ORD]
     out = df if ORD in df.columns else with_initial_order(df, seq)
     columns = key_columns(combinations)
+    keys = df if keys is None else keys
     alone = None
-    if filter_pays(df, columns) if single_keys is None else single_keys:
-        sharing = stored(sharing_rows(df, columns, seq), "sharing")
+    if filter_pays(keys, columns) if single_keys is None else single_keys:
+        sharing = stored(sharing_rows(keys, columns, seq), "sharing")
         out, alone = out.join(sharing, seq, "left_semi"), out.join(sharing, seq, "left_anti")
     for p, (k1, k2) in enumerate(combinations, start=1):
         out = dedupe_pass(out, k1, k2, p, seq, solid)

@@ -31,16 +31,16 @@ def index_schema(keys, pk: str, types: dict | None = None) -> T.StructType:
                          T.StructField(VERSION, T.IntegerType()), T.StructField(LIVE, T.BooleanType())])
 
 
-def delta(before: Column | None, after: Column, rows: DataFrame, pk: str, version: int) -> DataFrame:
+def delta(before: Column, after: Column, rows: DataFrame, pk: str, version: int) -> DataFrame:
     """Entries of ``rows`` that changed: ``before`` and ``after`` are arrays of key structs (null
     or empty for none); one row per entry that died or came to life."""
     none = F.slice(after, F.lit(1), F.lit(0))
-    old = none if before is None else F.coalesce(before, none)
-    new = F.coalesce(after, none)
-    told = lambda keys, live: F.transform(keys, lambda k: F.struct(k.alias("key"), F.lit(live).alias("live")))
-    gone, come = F.array_except(old, new), F.array_except(new, old)
-    return (rows.select(F.col(pk), F.explode(F.concat(told(gone, False), told(come, True))).alias("_entry"))
-            .select("_entry.key.*", F.col(pk), F.lit(version).alias(VERSION), F.col("_entry.live").alias(LIVE)))
+    old, new = F.coalesce(before, none), F.coalesce(after, none)
+    changed = rows.select(F.col(pk), old.alias("_old"), new.alias("_new"))
+    told = "transform(array_except({0}, {1}), k -> named_struct('key', k, 'live', {2}))"
+    entry = f"explode(concat({told.format('_old', '_new', 'false')}, {told.format('_new', '_old', 'true')})) AS _entry"
+    return (changed.selectExpr(pk, entry)
+            .selectExpr("_entry.key.*", pk, f"{version} AS {VERSION}", f"_entry.live AS {LIVE}"))
 
 
 def _as_base(rows: DataFrame) -> DataFrame:

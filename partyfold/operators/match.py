@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.fixed import CODE_WIDTH
-from .dedupe import filled, order_columns
+from ..functions.text import ident
+from .dedupe import order_columns, s_filled
 from .keyindex import KeptIndex
 from .ordinal import with_global_ordinal
 
@@ -26,10 +27,10 @@ KEY = (_RANK, "key_a", "key_b")
 
 def pair_array(combinations, prefix: str = "") -> Column:
     """The filled key pairs of a row as an array of structs (columns named with ``prefix``)."""
-    pairs = [F.when(filled(prefix + k1, prefix + k2), F.struct(F.lit(rank).alias(KEY[0]), F.col(prefix + k1).alias(KEY[1]),
-                                                               F.col(prefix + k2).alias(KEY[2])))
-             for rank, (k1, k2) in enumerate(combinations)]
-    return F.filter(F.array(*pairs), lambda p: p.isNotNull())
+    pairs = ", ".join(
+        f"CASE WHEN {s_filled(prefix + k1, prefix + k2)} THEN named_struct('{KEY[0]}', {rank}, '{KEY[1]}', {ident(prefix + k1)}, "
+        f"'{KEY[2]}', {ident(prefix + k2)}) END" for rank, (k1, k2) in enumerate(combinations))
+    return F.expr(f"array_compact(array({pairs}))")
 
 
 def key_pairs(df: DataFrame, combinations, value: str) -> DataFrame:

@@ -7,9 +7,11 @@ the size of their batches. ``saved`` writes the next state once, without moving
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -100,9 +102,9 @@ class KeptMaster:
             rows = self.base.withColumn("_tag", F.lit("untouched"))
         else:
             updates = cl.folded(log.filter(~F.col(cl.INSERT)), self.pk, names, self.flags).withColumn("_touched", F.lit(True))
-            mark = F.when(F.col("_new__touched"), "updated").otherwise("untouched").alias("_tag")
+            mark = "CASE WHEN _new__touched THEN 'updated' ELSE 'untouched' END AS _tag"
             old = cl.applied(self.base, updates, self.pk, self.flags, extra=[mark])
-            new = cl.applied(log.filter(cl.INSERT).select(*names), updates, self.pk, self.flags, extra=[F.lit("inserted").alias("_tag")])
+            new = cl.applied(log.filter(cl.INSERT).select(*names), updates, self.pk, self.flags, extra=["'inserted' AS _tag"])
             rows = old.unionByName(new)
         observed, obs = counted(rows, f"save-{self.pk}", **{t: F.count_if(tag == t) for t in ("inserted", "updated", "untouched")})
         base = write_bucketed(observed.drop("_tag"), path, [self.pk], self.buckets, aligned=True)
@@ -136,9 +138,12 @@ class Masters:
         spark = m_company.sparkSession
         n = buckets or default_buckets(spark)
         root = root or scratch_path(spark, "masters")
-        company = KeptMaster.build(m_company, "company_code", fixed.COMPANY_COMBINATIONS, fixed.COMPANY_FLAGS,
-                                   f"{root}/company", f"{root}/company_pairs", n)
-        person = KeptMaster.build(m_person, "person_id", fixed.PERSON_COMBINATIONS, (), f"{root}/person", f"{root}/person_pairs", n)
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            company = pool.submit(inheritable_thread_target(spark)(KeptMaster.build), m_company, "company_code",
+                                  fixed.COMPANY_COMBINATIONS, fixed.COMPANY_FLAGS, f"{root}/company", f"{root}/company_pairs", n)
+            person = pool.submit(inheritable_thread_target(spark)(KeptMaster.build), m_person, "person_id",
+                                 fixed.PERSON_COMBINATIONS, (), f"{root}/person", f"{root}/person_pairs", n)
+            company, person = company.result(), person.result()
         held = (person.base.select("person_id", F.explode(president_entry(F.col("job_post"), F.col("company_code"), conf)).alias("k"))
                 .select("k.company_code", "person_id"))
         presidents = KeptIndex.build(held, ("company_code",), "person_id", f"{root}/presidents", n)

@@ -9,8 +9,10 @@ feeds 1..n-1, and the masters are rewritten once, after the last feed.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -103,18 +105,23 @@ class CompanyUpsert:
         return self.kept.rows()
 
 
+def company_batch(feed: str, std: DataFrame, conf: Conf, now: Column) -> tuple[DataFrame, DataFrame]:
+    """(view, de-duplicated batch) of a feed's companies: B5 and E1, which need no master."""
+    var_view, constants = company_view_parts(feed, std, conf, now)
+    layout = ("seq",) + COMPANY_VIEW_COLUMNS
+    # E1 carries only the varying columns (constants are equal in every row);
+    # the de-duplicated batch feeds E3, E4, E5 and E6: materialise it once
+    deduped = snapshot(with_constants(dd.dedupe(var_view, fixed.COMPANY_COMBINATIONS), constants, layout))
+    return with_constants(var_view, constants, layout), deduped
+
+
 def upsert_company(feed: str, std: DataFrame, kept: KeptMaster, conf: Conf, now: Column, version: int = 1,
-                   index: bool = True) -> CompanyUpsert:
+                   index: bool = True, batch: tuple[DataFrame, DataFrame] | None = None) -> CompanyUpsert:
     """E1 -> E3 -> E4 -> E5 -> E6 -> change rows for E7/E8 and the inserts. With ``index`` the key
     index gets the step's changes (only a state that no further batch is matched against can do
-    without)."""
+    without). ``batch`` is the feed's ``company_batch`` where it has been made already."""
     combos = kept.combinations
-    var_view, constants = company_view_parts(feed, std, conf, now)
-    view = with_constants(var_view, constants, ("seq",) + COMPANY_VIEW_COLUMNS)
-    # E1 carries only the varying columns (constants are equal in every row);
-    # the de-duplicated batch feeds E3, E4, E5 and E6: materialise it once
-    deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
-                                      ("seq",) + COMPANY_VIEW_COLUMNS))
+    view, deduped = batch or company_batch(feed, std, conf, now)
     # (seq, code) pairs, read by E4, E5, E6 and E7: keep them
     matches = snapshot(mt.match_index(deduped, kept.index, combos))
     ins, upd = mt.split_insert_update(deduped, matches, "company_code")
@@ -145,13 +152,15 @@ class PersonUpsert:
         return self.kept.rows()
 
 
-def upsert_person(std_with_code: DataFrame, kept: KeptMaster, now: Column, version: int = 1,
+def upsert_person(std: DataFrame, attached: DataFrame, kept: KeptMaster, now: Column, version: int = 1,
                   index: bool = True) -> PersonUpsert:
     """E1 -> E3 -> E4 -> E5 -> change rows for the inserts and E7 (fixed eight-column update list)."""
     combos = kept.combinations
-    var_view, constants = person_view_parts(std_with_code, now)
+    attached = snapshot(attached)        # the batch is read more than once
+    var_view, constants = person_view_parts(with_company_code(std, attached), now)
+    keys, _ = person_view_parts(std, now)
     view = with_constants(var_view, constants, ("seq",) + PERSON_VIEW_COLUMNS)
-    deduped = snapshot(with_constants(dd.dedupe(var_view, combos), constants,
+    deduped = snapshot(with_constants(dd.dedupe(var_view, combos, keys=keys), constants,
                                       ("seq",) + PERSON_VIEW_COLUMNS))
     matches = snapshot(mt.match_index(deduped, kept.index, combos))
     ins, upd = mt.split_insert_update(deduped, matches, "person_id")
@@ -170,22 +179,22 @@ def with_company_code(std: DataFrame, attached: DataFrame) -> DataFrame:
     return std.join(attached, "seq", "left")
 
 
-def link_presidents(masters: Masters, company: CompanyUpsert, person: PersonUpsert, conf: Conf, version: int) -> Masters:
+def link_presidents(masters: Masters, new_companies: DataFrame, person: PersonUpsert, conf: Conf,
+                    version: int) -> tuple[Masters, DataFrame]:
     """E11, incrementally: the index of presidents gets the step's persons, and only companies that won
     or lost a president in it (or are new) are looked up again; one that lost its last keeps what it
-    has. A state whose links do not follow the index yet is linked as a whole, once."""
+    has. A state whose links do not follow the index yet is linked as a whole, once. Returns the
+    state with the persons and the index, and the change rows of the companies."""
     entry = lambda p: president_entry(F.col(f"{p}job_post"), F.col(f"{p}company_code"), conf)
     changed = snapshot(delta(entry("_was_"), entry(""), person.touched, "person_id", version))
     presidents = masters.presidents.extended(changed)
     wanted = None
     if masters.linked:
-        fresh = company.changes.filter(cl.INSERT).select("company_code")
-        wanted = changed.select("company_code").unionByName(fresh).distinct()
+        wanted = changed.select("company_code").unionByName(new_companies).distinct()
     best = presidents.best(wanted, F.min).withColumnRenamed("person_id", "president_person_id")
-    links = cl.update_rows(best, "company_code", ["president_person_id"], company.kept.layout, version,
+    links = cl.update_rows(best, "company_code", ["president_person_id"], masters.company.layout, version,
                            order_col=None, on_multi="unique")
-    log, _ = _logged(links, "president-links")
-    return replace(masters, company=company.kept.changed(log, 0), person=person.kept, presidents=presidents, linked=True)
+    return replace(masters, person=person.kept, presidents=presidents, linked=True), _logged(links, "president-links")[0]
 
 
 @dataclass
@@ -203,25 +212,59 @@ class FeedResult:
         return self.masters.person.rows()
 
 
+def _new_companies(company: CompanyUpsert) -> DataFrame:
+    return company.changes.filter(cl.INSERT).select("company_code")
+
+
 def feed_step(feed: str, std: DataFrame, masters: Masters, conf: Conf, now: Column) -> FeedResult:
     """One feed against the masters: company upsert, then (if the feed carries
     persons) person upsert and the president link."""
     # the standardised batch is read by E1, E6 and the person view: text work once
     std = snapshot(std)
     version = 2 * masters.step + 1
-    masters = replace(masters, step=masters.step + 1)
     comp = upsert_company(feed, std, masters.company, conf, now, version)
+    masters = replace(masters, step=masters.step + 1, company=comp.kept)
     if not FEEDS[feed].has_person:
-        return FeedResult(comp, None, replace(masters, company=comp.kept))
-    pers = upsert_person(with_company_code(std, comp.attached), masters.person, now, version)
-    return FeedResult(comp, pers, link_presidents(masters, comp, pers, conf, version + 1))
+        return FeedResult(comp, None, masters)
+    pers = upsert_person(std, comp.attached, masters.person, now, version)
+    masters, links = link_presidents(masters, _new_companies(comp), pers, conf, version + 1)
+    return FeedResult(comp, pers, replace(masters, company=masters.company.changed(links, 0)))
 
 
 def fold(std_by_feed: dict, masters: Masters, conf: Conf, now: Column, feeds=FEED_ORDER) -> Masters:
     """Apply the feeds in priority order (weakest first), so the
     strongest feed's non-empty values win. No master is rewritten on the way: every feed leaves
-    change rows, and the next state is taken from them once (``rows`` or ``saved`` of the result)."""
-    for feed in feeds:
-        if feed in std_by_feed:
-            masters = feed_step(feed, std_by_feed[feed], masters, conf, now).masters
-    return masters
+    change rows, and the next state is taken from them once (``rows`` or ``saved`` of the result).
+
+    What does not depend on each other runs side by side: the feeds' batches need no master, and the
+    persons of a feed wait for its companies and for the persons before them, not for the companies
+    of the next feed. Change rows carry their version, so the order in which they are written does
+    not matter."""
+    feeds = [f for f in feeds if f in std_by_feed]
+    spark = masters.company.base.sparkSession
+    versions = {f: 2 * (masters.step + i) + 1 for i, f in enumerate(feeds)}
+
+    def prepare(feed):
+        std = snapshot(std_by_feed[feed])
+        return std, company_batch(feed, std, conf, now)
+
+    def persons(feed, std, comp, before):
+        state, links = before.result() if before else (masters, [])
+        pers = upsert_person(std, comp.attached, state.person, now, versions[feed])
+        state, new = link_presidents(state, _new_companies(comp), pers, conf, versions[feed] + 1)
+        return state, [*links, new]
+
+    company, last = masters.company, None
+    with ThreadPoolExecutor(max_workers=max(1, len(feeds))) as batches, ThreadPoolExecutor(max_workers=1) as behind:
+        start = lambda pool, f, *a: pool.submit(inheritable_thread_target(spark)(f), *a)
+        ready = {f: start(batches, prepare, f) for f in feeds}
+        for feed in feeds:
+            std, batch = ready[feed].result()
+            comp = upsert_company(feed, std, company, conf, now, versions[feed], batch=batch)
+            company = comp.kept
+            if FEEDS[feed].has_person:
+                last = start(behind, persons, feed, std, comp, last)
+        state, links = last.result() if last else (masters, [])
+    for new in links:
+        company = company.changed(new, 0)
+    return replace(state, company=company, step=masters.step + len(feeds))

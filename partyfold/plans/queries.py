@@ -42,10 +42,16 @@ def now():
     return fx.run_time_lit()
 
 
-def _work(spark, d, feed):
+@lru_cache(maxsize=16)
+def _landed(app_id, spark, d, feed):
     return fx.work_feed(spark, d, feed)
 
 
+def _work(spark, d, feed):
+    """A feed's work rows: the stand-in for the landed table, written once a session and data folder."""
+    return _landed(spark.sparkContext.applicationId, spark, d, feed)
+
+
 def _std(spark, d, feed):
     return pl.standardized(feed, _work(spark, d, feed), conf())
 
@@ -156,7 +162,7 @@ def _crm_company(spark, d):
 def _person_upsert(spark, d, feed):
     std = _std(spark, d, feed)
     comp = pl.upsert_company(feed, std, _masters(spark, d).company, conf(), now(), index=False)
-    return pl.upsert_person(pl.with_company_code(std, comp.attached), _masters(spark, d).person, now(), index=False)
+    return pl.upsert_person(std, comp.attached, _masters(spark, d).person, now(), index=False)
 
 
 def q_dedupe_person(feed):
