@@ -66,10 +66,10 @@ SLICE_BYTES = 2_000_000
 
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """``batch`` in pieces of about ``limit`` bytes of text each (a row is never cut)."""
+    """``batch`` in pieces of about ``limit`` bytes of text and binary values each (a row is never cut)."""
     sizes = np.zeros(batch.num_rows, np.int64)
     for column in batch.columns:
-        if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):
+        if any(kind(column.type) for kind in (pa.types.is_string, pa.types.is_large_string, pa.types.is_binary)):
             sizes += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
     number = np.cumsum(sizes) // limit
     cuts = [0, *(np.flatnonzero(np.diff(number)) + 1).tolist(), batch.num_rows]
