@@ -1,22 +1,20 @@
-"""Substring dedup by hashed lines and sentences.
+"""Substring dedup by hashed lines and their pieces.
 
 Units are the lines of a text and, so that a passage put into the middle of a line is found
-too, the sentences of each line: a sentence starts at the start of a line, after a word that
-ends with . ! or ? and at a capitalised word. A sentence of fewer than ``min_words`` words is
-widened to whole neighbour sentences of its line, once forwards and once backwards, so a
-repeated passage is covered to its first and last word however short its sentences are.
-Pieces of ``min_words`` words, chosen by their hash alone over the whole text (winnowing: the least hash
-of every ``WINDOW`` neighbouring pieces), are units as well, so a repeat needs no line or
-sentence of its own: any run of ``min_words + WINDOW - 1`` equal words is found, and at most
-``WINDOW - 1`` words at each of its ends stay. A line break between two lines as long as that is part
-of a piece; other breaks count as blanks, so text wrapped anew is found. Where a line has few blanks (Chinese, Thai,
-encoded data) its characters are the words, and a minimum of one word stands for
-``CHARS_A_WORD`` characters. Units are normalised (lower case, single spaces) and hashed to 96 bits.
+too, the pieces that a long line falls into. A line is cut where a sentence starts (after a word
+that ends with . ! or ?, and at a capitalised word) and, inside sentences of more than ``LONGEST``
+words, at the words whose hash is the least among their ``REACH`` neighbours on either side. Both
+kinds of cut depend on the words around them alone, so a repeated passage falls into the same
+pieces wherever it stands, but for a few words at its ends; pieces do not overlap. Neighbouring
+pieces of a text that all repeat are one span, which goes if it has ``min_words`` words or more.
+Where a line has few blanks (Chinese, Thai, encoded data) its characters are the words, and a
+minimum of one word stands for ``CHARS_A_WORD`` characters. Units are normalised (lower case, single
+spaces) and hashed to 96 bits.
 
 Digests are grouped over the corpus. The occurrence in the document of least id is kept, and
 in it the first; every other occurrence is cut out, with its span in the original
 text (code points, end exclusive) kept in the result. Lines of fewer than ``min_line_words``
-words and shorter runs of words are never cut. Every word that goes stands in an earlier
+words, and shorter spans inside lines than ``min_words``, are never cut. Every word that goes stands in an earlier
 occurrence, so of a text that repeats itself one period stays.
 
 Scale: one scan makes the units; the least id of a digest is an aggregate of two numbers that
@@ -33,7 +31,6 @@ are not cut for each other's sake; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
-from bisect import bisect
 from collections.abc import Iterator
 from itertools import accumulate, pairwise
 
@@ -44,12 +41,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import BLANKS, arrow_rows, picked, stored, table
-from .secrets import merged
 
 ODD_BLANK = re.compile("[\t\r\v\f]|  |^ | $").search
 WORD = re.compile("[^\x20\t-\r]+")
-#: Pieces of which one at least is a unit.
-WINDOW = 6
+#: Words of a sentence that is not cut, and neighbours on either side that a cut inside one is chosen from.
+LONGEST, REACH = 16, 4
 #: Words whose hash a task remembers.
 REMEMBERED = 500_000
 # Scripts written without blanks (Thai to Tibetan, Burmese, Khmer, kana and Han), their
@@ -81,26 +77,6 @@ def _dense(line: str, words: list[str]) -> int:
     return CHARS_A_WORD[1] if chars > MEAN_CHARS * len(words) else 0
 
 
-def _sentences(cuts: list[int], min_words: int) -> Iterator[tuple[int, int]]:
-    """Sentences between neighbouring cuts, short ones widened forwards and backwards."""
-    last = len(cuts) - 1
-    for k in range(last):
-        a, b = cuts[k], cuts[k + 1]
-        if b - a >= min_words:
-            yield a, b
-            continue
-        j = k + 1
-        while j < last and cuts[j] - a < min_words:
-            j += 1
-        if cuts[j] - a >= min_words:
-            yield a, cuts[j]
-        j = k
-        while j > 0 and b - cuts[j] < min_words:
-            j -= 1
-        if b - cuts[j] >= min_words:
-            yield cuts[j], b
-
-
 class _Hashes(dict):
     """Hash of a word in lower case."""
 
@@ -114,95 +90,109 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def pieces(words: list[str], size: int, window: int, breaks: list[int]) -> list[int]:
-    """Where the chosen pieces of ``size`` words start: the least hash of each ``window``
-    neighbours, or of all when there are fewer. A word at ``breaks`` differs from the same
-    word elsewhere, except as the first of its piece."""
-    n = len(words) - size + 1
-    if n < 1:
-        return []
-    of = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
-    h = of[:n].copy()
-    of[breaks] ^= _FACTOR
-    for i in range(1, size):
-        h = h * _FACTOR + of[i:i + n]
-    h = (h ^ (h >> np.uint64(32))) * _FACTOR
-    h ^= h >> np.uint64(29)
-    if n <= window:
-        return [int(h.argmin())]
-    least = np.lib.stride_tricks.sliding_window_view(h, window).argmin(axis=1) + np.arange(n - window + 1)
-    return least[np.diff(least, prepend=-1) > 0].tolist()
-
-
-def units(text: str, min_words: int, min_line_words: int) -> Iterator[tuple[int, int, str]]:
-    """(start, end, normalised text) of every unit, in order of start."""
+def cuts_of(words: list[str], dense: int) -> list[int]:
+    """Where the pieces of a line start, and its end."""
+    n, scale = len(words), dense or 1
+    if dense:
+        sentences = [0, *(i for i in range(1, n) if words[i - 1] in FULL_STOPS and words[i] not in FULL_STOPS), n]
+    else:
+        sentences = [0, *(i for i in range(1, n) if words[i - 1][-1] in ".!?" or (words[i][0].isupper() and not words[i][1:2].isupper())), n]
+    longest, reach = LONGEST * scale, REACH * scale
+    if all(b - a <= longest for a, b in pairwise(sentences)):
+        return sentences
+    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
+    # a pair of words decides: single words are too often the same
+    h = h * _FACTOR + np.roll(h, 1)
+    h = (h ^ (h >> np.uint64(29))) * _FACTOR
+    h[0] = np.iinfo(np.uint64).max
+    padded = np.pad(h, reach, constant_values=np.iinfo(np.uint64).max)
+    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
+    chosen = np.flatnonzero((h == around.min(axis=1)) & (around.argmin(axis=1) == reach))
+    out = []
+    for a, b in pairwise(sentences):
+        out.append(a)
+        if b - a > longest:
+            out += chosen[np.searchsorted(chosen, a + 1):np.searchsorted(chosen, b)].tolist()
+    return [*out, n]
+
+
+def units(text: str, min_line_words: int) -> Iterator[tuple[int, int, int, str]]:
+    """(start, end, words, normalised text) of every unit, in order: each line that has words and is long
+    enough to go by itself, and the pieces of lines that fall into more than one. Words are counted as
+    the minimums count them; for a line they have the sign minus."""
     at = 0
-    found: set[tuple[int, int]] = set()  # in words of the text
-    words, starts, ends = [], [], []
-    parts: list[tuple[int, int]] = []  # (first word, characters a word) of neighbouring lines of one kind
-    breaks: list[int] = []  # words that follow a line break between two long lines
-    was_long = False
     for line in text.split("\n"):
         if line.strip(BLANKS):
-            own, own_starts, own_ends = _words(line)
-            dense = _dense(line, own)
+            words, starts, ends = _words(line)
+            dense = _dense(line, words)
             if dense:
-                own_starts = [i for s, e in zip(own_starts, own_ends, strict=True) for i in range(s, e)]
-                own_ends = [i + 1 for i in own_starts]
-                own = [line[i] for i in own_starts]
-            n, scale, first = len(own), dense or 1, len(words)
-            is_long = n >= (min_words + WINDOW - 1) * scale
-            if not parts or parts[-1][1] != dense:
-                parts.append((first, dense))
-            elif was_long and is_long:
-                breaks.append(first)
-            was_long = is_long
-            if n >= min_line_words * scale:
-                found.add((first, first + n))
-            if n >= min_words * scale:
-                if dense:
-                    cuts = [0, *(i for i in range(1, n) if own[i - 1] in FULL_STOPS and own[i] not in FULL_STOPS), n]
-                else:
-                    cuts = [0, *(i for i in range(1, n) if own[i - 1][-1] in ".!?" or (own[i][0].isupper() and not own[i][1:2].isupper())), n]
-                found.update((first + a, first + b) for a, b in _sentences(cuts, min_words * scale))
-            words += own
-            starts += [at + s for s in own_starts]
-            ends += [at + e for e in own_ends]
+                starts = [i for s, e in zip(starts, ends, strict=True) for i in range(s, e)]
+                ends = [i + 1 for i in starts]
+                words = [line[i] for i in starts]
+            n, scale, blank = len(words), dense or 1, "" if dense else " "
+            cuts = cuts_of(words, dense)
+            if n >= min_line_words * scale or len(cuts) == 2:
+                yield at + starts[0], at + ends[-1], -(n // scale), blank.join(words).lower()
+            if len(cuts) > 2:
+                for a, b in pairwise(cuts):
+                    yield at + starts[a], at + ends[b - 1], (b - a) // scale, blank.join(words[a:b]).lower()
         at += len(line) + 1
-    dense_at = []
-    parts.append((len(words), 0))
-    for (a, dense), (b, _) in pairwise(parts):
-        size, scale = min_words * (dense or 1), dense or 1
-        own_breaks = [x - a for x in breaks[bisect(breaks, a):bisect(breaks, b - 1)]]
-        found.update((a + i, a + i + size) for i in pieces(words[a:b], size, WINDOW * scale, own_breaks))
-        if dense:
-            dense_at.append((a, b))
-    for a, b in sorted(found):
-        blank = "" if any(x <= a < y for x, y in dense_at) else " "
-        cuts = [a, *breaks[bisect(breaks, a):bisect(breaks, b - 1)], b]
-        yield starts[a], ends[b - 1], "\n".join(blank.join(words[x:y]) for x, y in pairwise(cuts)).lower()
+
+
+def spans_to_cut(found: list[tuple[int, int, int]], text: str, min_words: int, min_line_words: int) -> list[tuple[int, int]]:
+    """Repeated units (start, end, words) as the spans that go: whole lines of ``min_line_words`` words, and
+    neighbouring units, across blanks and line breaks, of ``min_words`` words together."""
+    runs: list[list[int]] = []
+    covered = -1
+    for start, end, words in sorted(found, key=lambda u: (u[0], -u[1])):
+        if end <= covered:
+            continue                      # a piece of a line that goes as a whole
+        covered = end
+        whole = words < 0 and -words >= min_line_words
+        if runs and not text[runs[-1][1]:start].strip(BLANKS + "\n"):
+            runs[-1][1], runs[-1][2] = end, runs[-1][2] + abs(words)
+            runs[-1][3].append((start, end, whole))
+        else:
+            runs.append([start, end, abs(words), [(start, end, whole)]])
+    out = []
+    for start, end, words, parts in runs:
+        if words >= min_words:
+            out.append((start, end))
+        else:
+            out += [(s, e) for s, e, whole in parts if whole]
+    return out
 
 
 def _texts_key(text: str) -> int:
     return xxhash.xxh3_64_intdigest(text.encode()) & 0xFFFFFFFF
 
 
-def text_units(rows: DataFrame, min_words: int, min_line_words: int) -> DataFrame:
+def packed(start: int, end: int, words: int) -> int:
+    return start << 35 | (end - start) << 9 | (256 if words < 0 else 0) | min(abs(words), 255)
+
+
+def unpacked(span: int) -> tuple[int, int, int]:
+    start, words = span >> 35, span & 255
+    return start, start + (span >> 9 & 0x3FFFFFF), -words if span & 256 else words
+
+
+def text_units(rows: DataFrame, min_line_words: int) -> DataFrame:
     """(doc_id, h1, h2, again, span): units of all texts. h2 holds the last 32 bits of the
-    digest above 32 bits of the text's own hash, span the start above the end; again marks
-    occurrences after the first in one text."""
+    digest above 32 bits of the text's own hash; span holds the start (28 bits), the length in characters
+    (26) and the words (8 and a sign; more count as the most); again marks occurrences after the first
+    in one text."""
     def make():
         def run(text):
             h1_of, h2_of, again_of, span_of = [], [], [], []
             for t in text.to_pylist():
                 h1, h2, again, span, seen = [], [], [], [], set()
                 key = _texts_key(t) if t else 0
-                for start, end, unit in units(t, min_words, min_line_words) if t else ():
+                for start, end, words, unit in units(t, min_line_words) if t else ():
                     d = xxhash.xxh3_128_intdigest(unit.encode()) >> 32
                     h1.append((d >> 32) - (1 << 63))
                     h2.append(((d & 0xFFFFFFFF) << 32 | key) - (1 << 63))
                     again.append(d in seen)
-                    span.append(start << 32 | end)
+                    span.append(packed(start, end, words))
                     seen.add(d)
                 for to, x in ((h1_of, h1), (h2_of, h2), (again_of, again), (span_of, span)):
                     to.append(x)
@@ -215,9 +205,9 @@ def text_units(rows: DataFrame, min_words: int, min_line_words: int) -> DataFram
             .select("doc_id", F.col("u.h1").alias("h1"), F.col("u.h2").alias("h2"), F.col("u.again").alias("again"), F.col("u.span").alias("span")))
 
 
-def repeated_spans(rows: DataFrame, min_words: int, min_line_words: int) -> DataFrame:
-    """(doc_id, key, spans): what has to go from each text (key: 32 bits of its hash)."""
-    found = text_units(rows, min_words, min_line_words)
+def repeated_spans(rows: DataFrame, min_line_words: int) -> DataFrame:
+    """(doc_id, key, spans): the repeated units of each text (key: 32 bits of its hash)."""
+    found = text_units(rows, min_line_words)
     digest = F.shiftright("h2", 32)
     keepers = (found.groupBy("h1", digest.alias("d")).agg(F.min("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n"))
                .filter("n > 1").select(F.col("h1").alias("k1"), F.col("d").alias("k2"), "keeper"))
@@ -238,10 +228,8 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
     if not spans:
         return text
     kept = []
-    cut_lines = set()
-    for s, e in spans:
-        first = text.count("\n", 0, s)
-        cut_lines.update(range(first, first + 1 + text.count("\n", s, e)))
+    # numbers of the lines with a cut, in what is left: line breaks inside a span went with it
+    cut_lines = set(accumulate(part.count("\n") for part in out[:-1]))
     for i, line in enumerate("".join(out).split("\n")):
         if i not in cut_lines or line.strip(BLANKS):
             kept.append(line)
@@ -253,7 +241,7 @@ def dedup(docs: DataFrame, min_words: int = 10, min_line_words: int = 5, id_col:
     """doc_id, n_removed (spans), removed_chars, removed (spans as start:end, comma-joined),
     text (what is left) of every row."""
     rows = picked(docs, doc_id=id_col, text=text_col)
-    spans = stored(repeated_spans(rows, min_words, min_line_words), "repeats")
+    spans = stored(repeated_spans(rows, min_line_words), "repeats")
     # texts are what is large here: merge, whatever the planner makes of the size of the spans
     spans = spans.select(F.col("doc_id").alias("_id"), "key", "spans").hint("merge")
     keyed = arrow_rows(rows, ["doc_id", "text"], ["text"], "text_key long", lambda: lambda text: [
@@ -264,7 +252,7 @@ def dedup(docs: DataFrame, min_words: int = 10, min_line_words: int = 5, id_col:
         def run(text, spans):
             n, chars, told, kept = [], [], [], []
             for t, s in zip(text.to_pylist(), spans.to_pylist(), strict=True):
-                cut = merged((x >> 32, x & 0xFFFFFFFF) for x in s) if t and s else []
+                cut = spans_to_cut([unpacked(x) for x in s], t, min_words, min_line_words) if t and s else []
                 n.append(len(cut))
                 chars.append(sum(e - b for b, e in cut))
                 told.append(",".join(f"{b}:{e}" for b, e in cut))

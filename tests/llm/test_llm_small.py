@@ -453,18 +453,69 @@ def test_line_dedup_cuts_repeats_only(spark):
     assert len(text) == len(rows)
 
 
+def plain_cuts(words):
+    """Starts of sentences, and in long ones the words whose pair hash is the first least of four on either side."""
+    import xxhash
+    factor, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
+    h = [xxhash.xxh3_64_intdigest(w.lower().encode()) for w in words]
+    pair = []
+    for i in range(len(words)):
+        x = (h[i] * factor + h[i - 1]) & mask
+        pair.append(((x ^ (x >> 29)) * factor) & mask if i else mask)
+    starts = [i for i in range(1, len(words)) if words[i - 1][-1] in ".!?" or (words[i][0].isupper() and not words[i][1:2].isupper())]
+    bounds = [0, *starts, len(words)]
+    cuts = set(bounds)
+    for a, b in zip(bounds, bounds[1:]):
+        for i in range(a + 1, b if b - a > 16 else a):
+            near = [pair[j] if 0 <= j < len(words) else mask for j in range(i - 4, i + 5)]
+            if near.index(min(near)) == 4:
+                cuts.add(i)
+    return sorted(cuts)
+
+
+def plain_units(text):
+    """(start, end, words, whole line, text) of lines and their pieces, for texts written with blanks."""
+    at = 0
+    for line in text.split("\n"):
+        found = [(m[0], at + m.start(), at + m.end()) for m in WORDS.finditer(line)]
+        if found:
+            cuts = plain_cuts([w for w, _, _ in found])
+            spans = [(0, len(found), True)] if len(found) >= 5 or len(cuts) == 2 else []
+            for a, b, whole in spans + ([(a, b, False) for a, b in zip(cuts, cuts[1:])] if len(cuts) > 2 else []):
+                yield found[a][1], found[b - 1][2], b - a, whole, " ".join(w for w, _, _ in found[a:b]).lower()
+        at += len(line) + 1
+
+
 def test_line_dedup_equals_brute_force(small):
-    rows = [(r.doc_id, r.text) for r in small.collect()]
+    """Keepers, runs of repeated pieces and spans, all restated plainly: a word goes if its piece or line
+    repeats, in stretches of ten words or in a repeated line of five."""
+    rows = [(r.doc_id, r.text) for r in small.collect()
+            if all(sum(map(len, x.split())) <= 20 * len(x.split()) for x in (r.text or "").split("\n"))]
     keeper = {}
     for k, t in sorted(rows):
-        for start, end, unit in line_dedup.units(t or "", 10, 5):
+        for start, _, _, _, unit in plain_units(t or ""):
             keeper.setdefault(unit, (k, start))
     want = {}
     for k, t in rows:
-        spans = [(s, e) for s, e, unit in line_dedup.units(t or "", 10, 5) if keeper[unit] != (k, s)]
-        want[k] = ",".join(f"{s}:{e}" for s, e in secrets.merged(spans))
-    got = {r.doc_id: r.removed for r in line_dedup.dedup(small).collect()}
-    assert got == want and any(want.values())
+        gone = [u for u in plain_units(t or "") if keeper[u[4]] != (k, u[0])]
+        starts = {m.start(): n for n, m in enumerate(WORDS.finditer(t or ""))}
+        ends = [m.end() for m in WORDS.finditer(t or "")]
+        marked = sorted({i for s, e, *_ in gone for i in range(starts[s], ends.index(e) + 1)})
+        whole = {i for s, e, n, line, _ in gone if line and n >= 5 for i in range(starts[s], ends.index(e) + 1)}
+        stretches = []
+        for i in marked:
+            if stretches and stretches[-1][-1] == i - 1:
+                stretches[-1].append(i)
+            else:
+                stretches.append([i])
+        cut = sorted({i for x in stretches for i in x if len(x) >= 10 or i in whole})
+        want[k] = set(cut)
+    got = {}
+    for r in line_dedup.dedup(small).collect():
+        spans = [tuple(map(int, x.split(":"))) for x in r.removed.split(",") if x]
+        got[r.doc_id] = {n for n, m in enumerate(WORDS.finditer(next((t for k, t in rows if k == r.doc_id), None) or ""))
+                         if any(s <= m.start() < e for s, e in spans)}
+    assert all(got[k] == want[k] for k, _ in rows) and sum(map(bool, want.values())) > 10
 
 
 def test_line_dedup_finds_repeats_inside_sentences(spark):
@@ -477,11 +528,17 @@ def test_line_dedup_finds_repeats_inside_sentences(spark):
             (8, "it has " + " ".join(words[5:14]) + " only")]
     got = {r.doc_id: r for r in line_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got[1].n_removed == got[4].n_removed == got[6].n_removed == got[7].n_removed == got[8].n_removed == 0
-    for k in (2, 3):
+    for k, ends in ((2, 2), (3, 4)):                  # what stays: less than a piece at each end of a run
         left = got[k].text.split()
-        assert sum(w in words for w in left) <= 2 * (line_dedup.WINDOW - 1)
+        assert sum(w in words for w in left) <= ends * line_dedup.LONGEST // 2
         assert [w for w in left if w not in words] == [w for w in rows[k - 1][1].split() if w not in words]
-    assert len(got[5].text) <= 3 + 2 * (2 * line_dedup.WINDOW - 1) and got[5].text[0] == "\u4e19" and got[5].text.endswith("\u4e01\u620a")
+    assert len(got[5].text) < 50 and got[5].text[0] == "\u4e19" and got[5].text.endswith("\u4e01\u620a")
+
+
+def test_line_dedup_without_counts_lines():
+    text = "one two\nthree four\nfive six\nseven"
+    assert line_dedup.without(text, [(8, 27)]) == "one two\nseven"
+    assert line_dedup.without(text, [(4, 13), (28, 33)]) == "one  four\nfive six"
 
 
 def test_line_dedup_edges(edge):
