@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, picked, small_side, stored, table
+from .common import arrow_rows, picked, slices, small_side, stored, table
 
 BUCKETS = 1 << 16
 VIEWS = ("text", "meta")
@@ -140,16 +140,7 @@ def _sample(rows: DataFrame, labels: DataFrame, per_class: int, seed: int) -> Da
     known = labels.filter(draw < share).select(F.col("doc_id").alias("_id"), "y")  # about per_class rows each
     drawn = rows.join(F.broadcast(known), F.col("doc_id") == F.col("_id"))
     drawn = drawn.withColumn("kept_out", F.pmod(F.xxhash64("doc_id", F.lit(seed + 2)), F.lit(4)) == 0)
-
-    def make():
-        def run(text, source, lang, n_chars):
-            texts = text.to_pylist()
-            counted = [text_buckets(t) for t in texts]
-            meta = [meta_buckets(s, x, n, t) for s, x, n, t in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist(), texts, strict=True)]
-            ints = pa.list_(pa.int32())
-            return [pa.array([b for b, _ in counted], ints), pa.array([c for _, c in counted], ints), pa.array(meta, ints)]
-        return run
-    return stored(arrow_rows(drawn, ["y", "kept_out"], ["text", "source", "lang", "n_chars"], FEATURES, make), "co-training")
+    return stored(_features(drawn, ["y", "kept_out"]), "co-training")
 
 
 def _odds(learned: DataFrame, pairs) -> np.ndarray:
@@ -189,7 +180,7 @@ def surest(free: DataFrame, odds: dict[str, np.ndarray], platt: dict[str, np.nda
         of, fits, known = sent.value
         views = Views(of["text"], of["meta"])
         best: dict[tuple[str, int], dict] = {(v, label): {} for v in VIEWS for label in (0, 1)}
-        for b in batches:
+        for b in (piece for batch in batches for piece in slices(batch)):
             rows = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
             scores = {"text": [views.text_score(r[1]) for r in rows], "meta": [views.meta_score(*r[2:], r[1]) for r in rows]}
             for view, other in (VIEWS, VIEWS[::-1]):
@@ -198,27 +189,39 @@ def surest(free: DataFrame, odds: dict[str, np.ndarray], platt: dict[str, np.nda
                     top = best[view, label]
                     for i in np.flatnonzero(confidence >= sure).tolist():
                         if rows[i][0] not in known[other]:
-                            top[rows[i][0]] = (-float(confidence[i]), rows[i][0], rows[i])
+                            top[rows[i][0]] = (-float(confidence[i]), rows[i][0])
                     if len(top) > per_round:
-                        best[view, label] = {t[1]: t for t in heapq.nsmallest(per_round, top.values(), key=lambda t: t[:2])}
+                        best[view, label] = {t[1]: t for t in heapq.nsmallest(per_round, top.values())}
         for (view, label), top in best.items():
-            for less, key, (_, text, *meta) in top.values():
-                buckets, counts = text_buckets(text)
-                ints = pa.list_(pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([view]), pa.array([label], pa.int32()), pa.array([-less]), pa.array([key], pa.int64()), pa.array([buckets], ints),
-                     pa.array([counts], ints), pa.array([meta_buckets(*meta, text)], ints)],
-                    names=["teacher", "label", "confidence", "key", "buckets", "counts", "meta"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([view] * len(top), pa.string()), pa.array([label] * len(top), pa.int32()), pa.array([-less for less, _ in top.values()], pa.float64()),
+                 pa.array([key for _, key in top.values()], pa.int64())], names=["teacher", "label", "confidence", "key"])
 
     found = stored(free.select("key", "text", "source", "lang", "n_chars").mapInArrow(
-        run, f"teacher string, label int, confidence double, key long, {FEATURES}"), "co-training-surest")
+        run, "teacher string, label int, confidence double, key long"), "co-training-surest")
     chosen = []
     for view in VIEWS:
         for label in (0, 1):
             one = found.filter((F.col("teacher") == view) & (F.col("label") == label)).groupBy("key").agg(F.max("confidence").alias("confidence"))
             chosen += [(view, label, r.key) for r in one.orderBy(F.desc("confidence"), "key").limit(per_round).collect()]
-    taken = spark.createDataFrame(chosen, "teacher string, label int, key long")  # at most 4 x per_round
-    return stored(found.join(F.broadcast(taken), ["teacher", "label", "key"]).drop("confidence").dropDuplicates(["teacher", "label", "key"]), "co-training-chosen")
+    taken = F.broadcast(spark.createDataFrame(chosen, "teacher string, label int, key long"))  # at most 4 x per_round
+    # features of the chosen alone, from one more scan for their rows
+    rows = free.join(taken.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    return stored(_features(rows, ["key"]).join(taken, "key"), "co-training-chosen")
+
+
+def _features(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``keep`` and the features of both views."""
+    ints = pa.list_(pa.int32())
+
+    def make():
+        def run(text, source, lang, n_chars):
+            texts = text.to_pylist()
+            counted = [text_buckets(t) for t in texts]
+            meta = [meta_buckets(*v) for v in zip(source.to_pylist(), lang.to_pylist(), n_chars.to_pylist(), texts, strict=True)]
+            return [pa.array([b for b, _ in counted], ints), pa.array([c for _, c in counted], ints), pa.array(meta, ints)]
+        return run
+    return arrow_rows(rows, keep, ["text", "source", "lang", "n_chars"], FEATURES, make)
 
 
 def learn(rows: DataFrame, labels: DataFrame, per_class: int, rounds: int, per_round: int, sure: float, seed: int):

@@ -45,7 +45,7 @@ from .common import BLANKS, arrow_rows, picked, stored, table
 ODD_BLANK = re.compile("[\t\r\v\f]|  |^ | $").search
 WORD = re.compile("[^\x20\t-\r]+")
 #: Words of a sentence that is not cut, and neighbours on either side that a cut inside one is chosen from.
-LONGEST, REACH = 16, 4
+LONGEST, REACH = 20, 5
 #: Words whose hash a task remembers.
 REMEMBERED = 500_000
 # Scripts written without blanks (Thai to Tibetan, Burmese, Khmer, kana and Han), their

@@ -454,7 +454,7 @@ def test_line_dedup_cuts_repeats_only(spark):
 
 
 def plain_cuts(words):
-    """Starts of sentences, and in long ones the words whose pair hash is the first least of four on either side."""
+    """Starts of sentences, and in long ones the words whose pair hash is the first least of five on either side."""
     import xxhash
     factor, mask = 0x9E3779B97F4A7C15, (1 << 64) - 1
     h = [xxhash.xxh3_64_intdigest(w.lower().encode()) for w in words]
@@ -466,9 +466,9 @@ def plain_cuts(words):
     bounds = [0, *starts, len(words)]
     cuts = set(bounds)
     for a, b in zip(bounds, bounds[1:]):
-        for i in range(a + 1, b if b - a > 16 else a):
-            near = [pair[j] if 0 <= j < len(words) else mask for j in range(i - 4, i + 5)]
-            if near.index(min(near)) == 4:
+        for i in range(a + 1, b if b - a > 20 else a):
+            near = [pair[j] if 0 <= j < len(words) else mask for j in range(i - 5, i + 6)]
+            if near.index(min(near)) == 5:
                 cuts.add(i)
     return sorted(cuts)
 
