@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import fixed
 from ..functions.fixed import MERGE_COLUMNS, STRIPPED, ZERO_IS_GAP
-from ..sources.tables import write_snapshot
+from ..sources.tables import counted
 from .master import delete_keys, merge_update
 
 INSTRUCTION_SCHEMA = "survivor string, absorbed string"
@@ -82,18 +82,23 @@ def _fill(col: str, survivor: Column, absorbed: Column) -> Column:
     return F.coalesce(F.nullif(survivor, F.lit("")), absorbed)
 
 
-def apply_merge(instr: DataFrame, m_company: DataFrame) -> DataFrame:
-    """E14 + E15: fill the survivor's gaps from the absorbed company, then delete
-    the absorbed company. Returns the next m_company state."""
+def merged_rows(instr: DataFrame, m_company: DataFrame) -> DataFrame:
+    """The survivors' gaps filled from the absorbed companies, which are all still there. A master
+    bucketed by company_code stays where it is."""
     s = m_company.select([F.col(c).alias("s_" + c) for c in m_company.columns])
     a = m_company.select([F.col(c).alias("a_" + c) for c in m_company.columns])
     pairs = (instr.join(s, instr.survivor == s.s_company_code)
              .join(a, instr.absorbed == a.a_company_code))
     update = pairs.select(F.col("survivor").alias("company_code"),
                           *[_fill(c, F.col("s_" + c), F.col("a_" + c)).alias(c) for c in MERGE_COLUMNS])
-    merged = merge_update(m_company, update, "company_code", MERGE_COLUMNS, order_col=None,
-                          on_multi="unique")
-    return delete_keys(merged, instr, "company_code", "absorbed")
+    return merge_update(m_company, update, "company_code", MERGE_COLUMNS, order_col=None,
+                        on_multi="unique")
+
+
+def apply_merge(instr: DataFrame, m_company: DataFrame) -> DataFrame:
+    """E14 + E15: fill the survivor's gaps from the absorbed company, then delete
+    the absorbed company. Returns the next m_company state."""
+    return delete_keys(merged_rows(instr, m_company), instr, "company_code", "absorbed")
 
 
 def orphan_persons(m_person: DataFrame, m_company: DataFrame) -> DataFrame:
@@ -120,5 +125,13 @@ def run_manual_merge(spark: SparkSession, instructions: str, m_company_in: str,
     if not problems.isEmpty():
         raise BadInstructions(problems)
     rows = _trimmed(instr)
-    written = write_snapshot(apply_merge(rows, master), m_company_out, "manual_merge")
-    return {"instructions": rows.count(), "company_rows": written}
+    # what happens to each row is told and counted while the snapshot is written: no job of its own
+    fate = (rows.select(F.col("survivor").alias("company_code"), F.lit("updated").alias("_fate"))
+            .unionByName(rows.select(F.col("absorbed").alias("company_code"), F.lit("deleted").alias("_fate")).distinct()))
+    told = merged_rows(rows, master).join(fate, "company_code", "left")
+    observed, obs = counted(told, "manual_merge", **{x: F.count_if(F.col("_fate") == x) for x in ("updated", "deleted")})
+    left = observed.filter(F.col("_fate").isNull() | (F.col("_fate") != "deleted")).drop("_fate")
+    left.write.mode("errorifexists").parquet(m_company_out)
+    got = {k: int(v) for k, v in obs.get.items()}
+    return {"instructions": got["updated"], "company_rows": got["rows"] - got["deleted"], "company_updated": got["updated"],
+            "company_deleted": got["deleted"], "company_untouched": got["rows"] - got["updated"] - got["deleted"]}

@@ -19,7 +19,7 @@ from ..operators.slice import daily_slice
 from ..sources.bucketed import default_buckets
 from ..sources.conf import Conf
 from ..sources.landing import LANDED_ON, lake_day, land_feed
-from ..sources.tables import counted, read_or_none
+from ..sources.tables import counted, log_counts, read_or_none
 from . import pipeline as pl
 from .masters import Masters
 from .specs import FEED_ORDER
@@ -60,9 +60,9 @@ def run_daily(spark: SparkSession, csv_dir: str, lake_root: str, error_root: str
               m_company_in: str, m_person_in: str, m_company_out: str, m_person_out: str,
               run_time: dt.datetime, conf: Conf | None = None, feeds=FEED_ORDER,
               conf_root: str | None = None, index_in: str | None = None, index_out: str | None = None,
-              buckets: int | None = None) -> dict:
-    """Run one day. Returns row counts per step (from observations, no extra jobs). Conf comes
-    from ``conf``, else from the tables stored under ``conf_root``, else from the defaults.
+              buckets: int | None = None, run_log: str | None = None) -> dict:
+    """Run one day. Returns row counts per step (from observations, no extra jobs), which are also
+    appended to the table ``run_log`` where one is given. Conf comes from ``conf``, else from the tables stored under ``conf_root``, else from the defaults.
 
     ``index_in`` is the folder of indexes that the run which wrote the masters left as its ``index_out``
     (same ``buckets``): masters and indexes are then read in place. Without it the masters may be any
@@ -93,4 +93,7 @@ def run_daily(spark: SparkSession, csv_dir: str, lake_root: str, error_root: str
         masters = Masters.build(m_company, m_person, conf, buckets)
     masters = pl.fold(std, masters, conf, now, feeds)
     _, written = masters.saved(m_company_out, m_person_out, index_out)
-    return counts | written
+    counts |= written
+    if run_log is not None:
+        log_counts(spark, run_log, run_time, counts)
+    return counts

@@ -50,11 +50,10 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def write_snapshot(df: DataFrame, path: str, label: str) -> int:
-    """Write a new snapshot at ``path`` (which must not exist) and return its row count."""
-    observed, obs = counted(df, label)
-    observed.write.mode("errorifexists").parquet(path)
-    return int(obs.get["rows"])
+def log_counts(spark: SparkSession, path: str, run_time, counts: dict) -> None:
+    """Append the row counts of a run's steps to the run log (run_time, step, row_count)."""
+    append(spark.createDataFrame([(run_time, k, int(v)) for k, v in counts.items()],
+                                 "run_time timestamp_ntz, step string, row_count bigint"), path)
 
 
 def counted(df: DataFrame, label: str, **more):

@@ -153,6 +153,33 @@ def test_manual_merge_is_all_or_nothing(spark):
     with pytest.raises(ValueError):
         run_manual_merge(spark, put("0000000001,0000000007,x\n"), master, os.path.join(root, "m1"))
     done = run_manual_merge(spark, put("0000000001\t,\u30000000000007\n"), master, os.path.join(root, "m1"))
-    assert done == {"instructions": 1, "company_rows": before - 1}
+    assert done == {"instructions": 1, "company_rows": before - 1, "company_updated": 1, "company_deleted": 1,
+                    "company_untouched": before - 2}
     left = {r[0] for r in spark.read.parquet(os.path.join(root, "m1")).select("company_code").collect()}
     assert "0000000001" in left and "0000000007" not in left
+
+
+def test_one_day_of_the_lake_is_read_alone(spark, tmp_path):
+    """Only the day's folder: its partition filter is in the plan, and a column that another day's
+    files have does not show."""
+    import datetime as dt
+    from pyspark.sql import functions as F
+    from partyfold.operators.slice import daily_slice
+    from partyfold.sources.landing import LANDED_ON, lake, lake_day, replace_day
+    days = [dt.date(2025, 12, d) for d in (1, 2, 3)]
+    for d in days:
+        rows = spark.createDataFrame([(f"c{i}", dt.datetime.combine(d, dt.time(12))) for i in range(d.day)], "company_name string, update_datetime timestamp_ntz")
+        if d.day == 2:
+            rows = rows.withColumn("campaign", F.lit("x"))
+        replace_day(rows.withColumn(LANDED_ON, F.lit(d)), str(tmp_path / "crm"))
+    assert "campaign" in lake(spark, "crm", str(tmp_path)).columns
+    third = lake_day(spark, "crm", str(tmp_path), days[2])
+    assert sorted(third.columns) == ["company_name", "landed_on", "update_datetime"] and third.count() == 3
+    assert "campaign" in lake_day(spark, "crm", str(tmp_path), days[1]).columns
+    assert lake_day(spark, "crm", str(tmp_path), dt.date(2025, 12, 9)) is None
+    whole = lake(spark, "crm", str(tmp_path))
+    wanted = daily_slice(whole, days[2], [("company_name", "name"), (None, "upper(company_name) AS upper_name")], ["company_name"], partition=LANDED_ON)
+    assert sorted(tuple(r) for r in wanted.collect()) == [(1, "c0", "C0"), (2, "c1", "C1"), (3, "c2", "C2")]
+    from partyfold.operators.slice import day_filter
+    plan = whole.filter((F.col(LANDED_ON) == F.lit(days[2])) & day_filter(whole, days[2]))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(landed_on" in plan
