@@ -74,10 +74,45 @@ def _candidate_groups(m_company: DataFrame, key, reason: str, min_names: int = 1
                     "group_size", "name_count"))
 
 
+#: Shortest name (without the form word) that a slip of the pen is looked for in.
+NEAR_CHARS = 5
+
+
+def near_names(m_company: DataFrame, min_chars: int = NEAR_CHARS) -> DataFrame:
+    """F3, names that differ by one character (typed wrong, left out or put in) once the company-form
+    word is removed. Digits do not count as slips: both names must hold the same ones. One row per
+    company with such a neighbour: anchor_code is the least code under the name and its neighbours,
+    group_size (and name_count) the number of these names.
+
+    Every distinct name gives the texts that are left when one of its characters is taken out. Names
+    with the same rest at the same place differ by that character alone, all of them from each
+    other, so counting the group is enough; a name that equals another's rest lacks one character
+    of it. No two names are compared, whatever the size of a group."""
+    rows = m_company.selectExpr("company_code", "company_name", f"replace(company_name, '{COMPANY_NAME_FORM}', '') AS candidate_key")
+    names = (rows.filter(F.length("candidate_key") >= min_chars).groupBy("candidate_key").agg(F.min("company_code").alias("code"))
+             .withColumn("digits", F.regexp_replace("candidate_key", r"\P{Nd}", "")))
+    rests = names.selectExpr("candidate_key", "code", "digits", """posexplode(transform(sequence(1, char_length(candidate_key)),
+        i -> concat(substring(candidate_key, 1, i - 1), substring(candidate_key, i + 1)))) AS (place, rest)""")
+    alike = ["digits", "place", "rest"]
+    typed = (rests.groupBy(*alike).agg((F.count(F.lit(1)) - 1).alias("n"), F.min("code").alias("least")).filter("n > 0"))
+    wrong = rests.join(typed, alike).select("candidate_key", "n", "least")
+    whole = names.select(F.col("candidate_key").alias("rest"), F.col("code").alias("short_code"), "digits")
+    lacking = rests.select("candidate_key", "code", "digits", "rest").distinct().join(whole, ["rest", "digits"])
+    links = (wrong.unionByName(lacking.select("candidate_key", F.lit(1).alias("n"), F.col("short_code").alias("least")))
+             .unionByName(lacking.select(F.col("rest").alias("candidate_key"), F.lit(1).alias("n"), F.col("code").alias("least"))))
+    stats = (links.groupBy("candidate_key").agg((F.sum("n") + 1).alias("group_size"), F.min("least").alias("least"))
+             .join(names.select("candidate_key", "code"), "candidate_key")
+             .select("candidate_key", "group_size", F.least("least", "code").alias("anchor_code")))
+    return (salted_join(rows.filter("candidate_key <> ''"), stats, ["candidate_key"], salt_from=["company_code"])
+            .select(F.lit("near_name").alias("reason"), "candidate_key", "anchor_code", "company_code", "company_name",
+                    "group_size", F.col("group_size").alias("name_count")))
+
+
 def candidates_name(m_company: DataFrame) -> DataFrame:
-    """different names that are equal once the company-form word is removed."""
+    """different names that are equal once the company-form word is removed (reason
+    ``similar_name``), and names one character apart (``near_name``)."""
     key = F.replace(F.col("company_name"), F.lit(COMPANY_NAME_FORM), F.lit(""))
-    return _candidate_groups(m_company, key, "similar_name", min_names=2)
+    return _candidate_groups(m_company, key, "similar_name", min_names=2).unionByName(near_names(m_company))
 
 
 def candidates_address(m_company: DataFrame) -> DataFrame:

@@ -586,7 +586,7 @@ def seed_company(ch: Chain) -> str:
         return "seed_company"
     vals = {
         "company_code": "lpad(CAST(e+1 AS STRING),10,'0')",
-        "company_name": "CASE WHEN e%6<>0 THEN '休眠'||CAST(e AS STRING) WHEN e%4=0 THEN '取引先'||CAST(e AS STRING) ELSE '株式会社取引先'||CAST(e AS STRING) END",
+        "company_name": "CASE WHEN e%6=2 THEN '休眠商亊'||CAST(e-1 AS STRING) WHEN e%6<>0 THEN '休眠商事'||CAST(e AS STRING) WHEN e%4=0 THEN '取引先'||CAST(e AS STRING) ELSE '株式会社取引先'||CAST(e AS STRING) END",
         "full_address": f"CASE WHEN e%6<>0 THEN '' ELSE {PREF}||'中央区'||CAST(e%9+1 AS STRING)||'-'||CAST(e%20+1 AS STRING)||'-'||CAST(e%30+1 AS STRING) END",
         "main_phone_number": "CASE WHEN e%6<>0 OR e%12=0 THEN '' ELSE '03'||lpad(CAST(e%10000 AS STRING),4,'0')||'1111' END",
         "main_email_address": f"CASE WHEN e%30=0 THEN 'info@e'||{DOM}||'.example' ELSE '' END",
@@ -708,6 +708,20 @@ def candidates(ch: Chain, master: str, key_sql: str, reason: str, min_names: int
  s.group_size, s.name_count FROM {rows2} r JOIN {stats} s ON r.candidate_key = s.candidate_key"""
 
 
+def near(ch: Chain, master: str) -> str:
+    """Names one character apart by brute force: every pair of names of about one length is compared."""
+    ch.add("nrow", f"SELECT company_code, company_name, replace(company_name, '株式会社', '') AS k FROM {master}")
+    ch.add("nname", r"""SELECT k, min(company_code) AS code, length(k) AS n, regexp_replace(k, '\P{Nd}', '', 'g') AS digits
+ FROM nrow WHERE length(k) >= 5 GROUP BY k""")
+    ch.add("nlink", """SELECT a.k, b.code FROM nname a JOIN nname b ON a.digits = b.digits AND a.k <> b.k WHERE
+ (a.n = b.n AND len(list_filter(range(1, a.n + 1), i -> substr(a.k, i, 1) <> substr(b.k, i, 1))) = 1)
+ OR (a.n = b.n + 1 AND list_contains(list_transform(range(1, a.n + 1), i -> substr(a.k, 1, i - 1) || substr(a.k, i + 1)), b.k))
+ OR (b.n = a.n + 1 AND list_contains(list_transform(range(1, b.n + 1), i -> substr(b.k, 1, i - 1) || substr(b.k, i + 1)), a.k))""")
+    return """SELECT 'near_name' AS reason, r.k AS candidate_key, least(l.least, n.code) AS anchor_code, r.company_code, r.company_name,
+ l.size AS group_size, l.size AS name_count FROM nrow r JOIN nname n ON n.k = r.k
+ JOIN (SELECT k, count(*) + 1 AS size, min(code) AS least FROM nlink GROUP BY k) l ON l.k = r.k"""
+
+
 # ---- the registry ---------------------------------------------------------------------
 def _q(build) -> str:
     ch = Chain()
@@ -814,7 +828,11 @@ def oracle_queries() -> dict[str, str]:
         rows = ch.new("trow", "\nUNION ALL\n".join(parts))
         return f"SELECT error_date, source, error_reason, count(*) AS error_count FROM {rows} GROUP BY 1, 2, 3"
     q["error_trend"] = _q(_trend)
-    q["candidates_name"] = _q(lambda ch: candidates(ch, _fold(ch)[0], "replace(company_name, '株式会社', '')", "similar_name", 2))
+    def _names(ch):
+        master = _fold(ch)[0]
+        alike = ch.new("alike", candidates(ch, master, "replace(company_name, '株式会社', '')", "similar_name", 2))
+        return f"SELECT * FROM {alike} UNION ALL BY NAME {near(ch, master)}"
+    q["candidates_name"] = _q(_names)
     q["candidates_address"] = _q(lambda ch: candidates(ch, _fold(ch)[0], "full_address", "same_address", 2))
     q["candidates_domain"] = _q(lambda ch: candidates(
         ch, _fold(ch)[0], "CASE WHEN contains(main_email_address, '@') THEN split_part(main_email_address, '@', -1) END",

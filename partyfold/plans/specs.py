@@ -23,6 +23,7 @@ class FeedSpec:
     raw_prefecture: bool = False  # prefecture code from the raw column (crm)
 
 
+# ---- FIXED VALUES: rules, flags and update columns of each feed -----------------
 BASE_COMPANY_UPDATE = ("company_name", "postal_code", "prefecture_code", "full_address",
                        "main_phone_number", "main_email_address", "update_datetime")
 

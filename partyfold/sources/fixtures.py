@@ -226,7 +226,8 @@ def seed_company_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     other = e % 6 != 0            # in the master, but matched by no feed
     df = base.select(
         _pad(e + 1, 10).alias("company_code"),
-        F.when(other, F.concat(F.lit("休眠"), _s(e))).when(e % 4 == 0, F.concat(F.lit("取引先"), _s(e)))
+        F.when(other & (e % 6 == 2), F.concat(F.lit("休眠商亊"), _s(e - 1)))     # a variant of the name before
+         .when(other, F.concat(F.lit("休眠商事"), _s(e))).when(e % 4 == 0, F.concat(F.lit("取引先"), _s(e)))
          .otherwise(F.concat(F.lit("株式会社取引先"), _s(e))).alias("company_name"),
         F.when(other, F.lit("")).otherwise(
             F.concat(PREF(), F.lit("中央区"), _s(e % 9 + 1), F.lit("-"), _s(e % 20 + 1), F.lit("-"),

@@ -154,3 +154,25 @@ def test_global_ordinal_with_adaptive_ranges(spark):
     df = spark.range(0, 3000).select((F.col("id") * 7 % 3000).alias("k"))
     got = sorted((r.k, r.n) for r in with_global_ordinal(df, ["k"], "n", start=1).collect())
     assert [n for _, n in got] == list(range(1, 3001))
+
+
+def test_near_names(spark):
+    from partyfold.operators import reports as rp
+    names = ["あいうえお", "あいうえか", "あいうえ株式会社お", "あいうお", "あいうえおか", "あいいうえお", "いあうえお", "会社一二三1", "会社一二三2",
+             "会社一二1三", "会社一二四1", "", None, "aabbb", "abbb", "aabbbb", "aabb"]
+    m = spark.createDataFrame([(f"{i:03d}", n) for i, n in enumerate(names * 2)], "company_code string, company_name string")
+    plain = {n: (n or "").replace("株式会社", "") for n in names}
+    rest = lambda x: {x[:i] + x[i + 1:] for i in range(len(x))}
+    digits = lambda x: [c for c in x if c.isdigit()]
+
+    def near(a, b):
+        one = len(a) == len(b) and sum(x != y for x, y in zip(a, b)) == 1
+        return min(len(a), len(b)) >= 5 and digits(a) == digits(b) and (one or b in rest(a) or a in rest(b))
+    keys = {k for k in plain.values() if k}
+    code = {k: min(f"{i:03d}" for i, n in enumerate(names * 2) if plain[n] == k) for k in keys}
+    want = []
+    for i, n in enumerate(names * 2):
+        around = [k for k in keys if plain[n] and near(plain[n], k)]
+        if around:
+            want.append((f"{i:03d}", min(code[k] for k in [*around, plain[n]]), len(around) + 1))
+    assert rows(rp.near_names(m), "company_code", "anchor_code", "group_size") == sorted(want) and len(want) > 10
