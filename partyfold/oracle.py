@@ -714,9 +714,9 @@ def near(ch: Chain, master: str) -> str:
     ch.add("nname", r"""SELECT k, min(company_code) AS code, length(k) AS n, regexp_replace(k, '\P{Nd}', '', 'g') AS digits
  FROM nrow WHERE length(k) >= 5 GROUP BY k""")
     ch.add("nlink", """SELECT a.k, b.code FROM nname a JOIN nname b ON a.digits = b.digits AND a.k <> b.k WHERE
- (a.n = b.n AND len(list_filter(range(1, a.n + 1), i -> substr(a.k, i, 1) <> substr(b.k, i, 1))) = 1)
- OR (a.n = b.n + 1 AND list_contains(list_transform(range(1, a.n + 1), i -> substr(a.k, 1, i - 1) || substr(a.k, i + 1)), b.k))
- OR (b.n = a.n + 1 AND list_contains(list_transform(range(1, b.n + 1), i -> substr(b.k, 1, i - 1) || substr(b.k, i + 1)), a.k))""")
+ (a.n = b.n AND len(list_filter(range(1, a.n + 1), lambda i: substr(a.k, i, 1) <> substr(b.k, i, 1))) = 1)
+ OR (a.n = b.n + 1 AND list_contains(list_transform(range(1, a.n + 1), lambda i: substr(a.k, 1, i - 1) || substr(a.k, i + 1)), b.k))
+ OR (b.n = a.n + 1 AND list_contains(list_transform(range(1, b.n + 1), lambda i: substr(b.k, 1, i - 1) || substr(b.k, i + 1)), a.k))""")
     return """SELECT 'near_name' AS reason, r.k AS candidate_key, least(l.least, n.code) AS anchor_code, r.company_code, r.company_name,
  l.size AS group_size, l.size AS name_count FROM nrow r JOIN nname n ON n.k = r.k
  JOIN (SELECT k, count(*) + 1 AS size, min(code) AS least FROM nlink GROUP BY k) l ON l.k = r.k"""
