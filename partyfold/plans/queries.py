@@ -22,6 +22,7 @@ from ..operators.slice import daily_slice
 from ..operators.standardize import normalized_only
 from ..operators.validate import failing_rows, max_error_seq
 from ..sources.bucketed import scratch_path
+from ..sources.tables import files_there
 from ..sources import fixtures as fx
 from ..sources.conf import Conf
 from . import pipeline as pl
@@ -42,14 +43,21 @@ def now():
     return fx.run_time_lit()
 
 
-@lru_cache(maxsize=16)
-def _landed(app_id, spark, d, feed):
-    return fx.work_feed(spark, d, feed)
+_KEPT: dict = {}
+
+
+def _kept(spark, d, what, make, tables):
+    """What ``make`` writes, once a session and data folder, as long as the files of its ``tables`` are there:
+    a daily run finds its landed feeds and its masters like that."""
+    key = (spark.sparkContext.applicationId, spark, d, what)
+    if key not in _KEPT or not all(files_there(t) for t in tables(_KEPT[key])):
+        _KEPT[key] = make()
+    return _KEPT[key]
 
 
 def _work(spark, d, feed):
-    """A feed's work rows: the stand-in for the landed table, written once a session and data folder."""
-    return _landed(spark.sparkContext.applicationId, spark, d, feed)
+    """A feed's work rows: the stand-in for the landed table."""
+    return _kept(spark, d, f"feed {feed}", lambda: fx.work_feed(spark, d, feed), lambda df: [df])
 
 
 def _std(spark, d, feed):
@@ -64,15 +72,13 @@ def _seed_p(spark, d):
     return fx.seed_person_master(spark, d)
 
 
-@lru_cache(maxsize=4)
-def _kept(app_id, spark, d) -> Masters:
-    """The seed masters as a kept state (bucketed, indexed), made once a session and data folder: a daily
-    run finds its masters like that."""
-    return Masters.build(_seed_c(spark, d), _seed_p(spark, d), conf())
+def _tables(masters: Masters):
+    return [masters.company.base, masters.person.base, masters.company.index.base, masters.person.index.base, masters.presidents.base]
 
 
 def _masters(spark, d) -> Masters:
-    return _kept(spark.sparkContext.applicationId, spark, d)
+    """The seed masters as a kept state (bucketed, indexed)."""
+    return _kept(spark, d, "masters", lambda: Masters.build(_seed_c(spark, d), _seed_p(spark, d), conf()), _tables)
 
 
 # ---- A: sources -------------------------------------------------------------
@@ -265,20 +271,21 @@ def q_error_trend(spark, d):
     return rp.error_trend(spark, path)
 
 
-@lru_cache(maxsize=4)
-def _screen(app_id, spark, d) -> Masters:
-    """The masters the screens show: those that the fold of all five feeds leaves, written once a session
-    and data folder (a daily run writes them once a day)."""
-    place = scratch_path(spark, "screen")
-    return _fold(spark, d).saved(f"{place}/company", f"{place}/person")[0]
+def _screen(spark, d) -> Masters:
+    """The masters the screens show: those that the fold of all five feeds leaves, written once (a daily run
+    writes them once a day)."""
+    def make():
+        place = scratch_path(spark, "screen")
+        return _fold(spark, d).saved(f"{place}/company", f"{place}/person")[0]
+    return _kept(spark, d, "screen", make, lambda m: [m.company.base, m.person.base])
 
 
 def _screen_company(spark, d):
-    return _screen(spark.sparkContext.applicationId, spark, d).company.base
+    return _screen(spark, d).company.base
 
 
 def _screen_person(spark, d):
-    return _screen(spark.sparkContext.applicationId, spark, d).person.base
+    return _screen(spark, d).person.base
 
 
 def q_president_link(spark, d):

@@ -34,6 +34,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def files_there(df: DataFrame) -> bool:
+    """Whether the files that a plain table scan ``df`` reads still exist (the first stands for all)."""
+    files = df.inputFiles()
+    if not files:
+        return True
+    jvm = df.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(files[0])
+    return path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).exists(path)
+
+
 def read_or_none(spark: SparkSession, path: str, **options) -> DataFrame | None:
     """The table at ``path``, or None when there is none (an empty folder included); any
     other failure is an error."""
