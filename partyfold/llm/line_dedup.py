@@ -32,7 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import accumulate, pairwise
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +56,7 @@ FULL_STOPS = "\u3002\uff01\uff1f\uff0e.!?"
 MEAN_CHARS = 20
 CHARS_A_WORD = (2, 6)
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR, _MOST = np.uint64(0x9E3779B97F4A7C15), np.uint64((1 << 64) - 1)
 
 
 def _words(line: str) -> tuple[list[str], list[int], list[int]]:
@@ -90,37 +90,40 @@ class _Hashes(dict):
 _hashes = _Hashes()
 
 
-def cuts_of(words: list[str], dense: int) -> list[int]:
-    """Where the pieces of a line start, and its end."""
-    n, scale = len(words), dense or 1
+def sentences_of(words: list[str], dense: int) -> list[int]:
+    """Where the sentences of a line start, and its end."""
+    n = len(words)
     if dense:
-        sentences = [0, *(i for i in range(1, n) if words[i - 1] in FULL_STOPS and words[i] not in FULL_STOPS), n]
-    else:
-        sentences = [0, *(i for i in range(1, n) if words[i - 1][-1] in ".!?" or (words[i][0].isupper() and not words[i][1:2].isupper())), n]
-    longest, reach = LONGEST * scale, REACH * scale
-    if all(b - a <= longest for a, b in pairwise(sentences)):
-        return sentences
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, n)
-    # a pair of words decides: single words are too often the same
+        return [0, *(i for i in range(1, n) if words[i - 1] in FULL_STOPS and words[i] not in FULL_STOPS), n]
+    return [0, *(i for i in range(1, n) if words[i - 1][-1] in ".!?" or (words[i][0].isupper() and not words[i][1:2].isupper())), n]
+
+
+def least_words(lines: list[list[str]], reach: int) -> list[np.ndarray]:
+    """For each line the words (never the first) whose hash, taken with the word before, is the first
+    least of ``reach`` neighbours on either side, all lines at once."""
+    sizes = np.array([len(words) for words in lines])
+    ends = np.cumsum(sizes)
+    firsts = ends - sizes
+    h = np.fromiter(map(_hashes.__getitem__, chain.from_iterable(lines)), np.uint64, ends[-1])
     h = h * _FACTOR + np.roll(h, 1)
     h = (h ^ (h >> np.uint64(29))) * _FACTOR
-    h[0] = np.iinfo(np.uint64).max
-    padded = np.pad(h, reach, constant_values=np.iinfo(np.uint64).max)
-    around = np.lib.stride_tricks.sliding_window_view(padded, 2 * reach + 1)
-    chosen = np.flatnonzero((h == around.min(axis=1)) & (around.argmin(axis=1) == reach))
-    out = []
-    for a, b in pairwise(sentences):
-        out.append(a)
-        if b - a > longest:
-            out += chosen[np.searchsorted(chosen, a + 1):np.searchsorted(chosen, b)].tolist()
-    return [*out, n]
+    h[firsts] = _MOST
+    # lines stand apart by as many greatest values as a neighbourhood has
+    at = np.arange(len(h)) + np.repeat(reach * np.arange(len(lines)), sizes)
+    apart = np.full(at[-1] + 2 * reach + 1, _MOST)
+    apart[at + reach] = h
+    around = np.lib.stride_tricks.sliding_window_view(apart, 2 * reach + 1)[at]
+    chosen = np.flatnonzero((around.argmin(axis=1) == reach) & (h != _MOST))
+    bounds = np.searchsorted(chosen, ends)
+    return [chosen[a:b] - first for a, b, first in zip([0, *bounds], bounds, firsts)]
 
 
 def units(text: str, min_line_words: int) -> Iterator[tuple[int, int, int, str]]:
     """(start, end, words, normalised text) of every unit, in order: each line that has words and is long
     enough to go by itself, and the pieces of lines that fall into more than one. Words are counted as
     the minimums count them; for a line they have the sign minus."""
-    at = 0
+    at, lines = 0, []
+    long: dict[int, list[int]] = {}
     for line in text.split("\n"):
         if line.strip(BLANKS):
             words, starts, ends = _words(line)
@@ -129,14 +132,25 @@ def units(text: str, min_line_words: int) -> Iterator[tuple[int, int, int, str]]
                 starts = [i for s, e in zip(starts, ends, strict=True) for i in range(s, e)]
                 ends = [i + 1 for i in starts]
                 words = [line[i] for i in starts]
-            n, scale, blank = len(words), dense or 1, "" if dense else " "
-            cuts = cuts_of(words, dense)
-            if n >= min_line_words * scale or len(cuts) == 2:
-                yield at + starts[0], at + ends[-1], -(n // scale), blank.join(words).lower()
-            if len(cuts) > 2:
-                for a, b in pairwise(cuts):
-                    yield at + starts[a], at + ends[b - 1], (b - a) // scale, blank.join(words[a:b]).lower()
+            cuts = sentences_of(words, dense)
+            if len(words) > LONGEST and any(b - a > LONGEST * (dense or 1) for a, b in pairwise(cuts)):
+                long.setdefault(dense, []).append(len(lines))
+            lines.append([at, words, starts, ends, dense, cuts])
         at += len(line) + 1
+    for dense, which in long.items():
+        scale = dense or 1
+        for i, chosen in zip(which, least_words([lines[i][1] for i in which], REACH * scale), strict=True):
+            cuts = lines[i][5]
+            more = [chosen[np.searchsorted(chosen, a + 1):np.searchsorted(chosen, b)].tolist() if b - a > LONGEST * scale else []
+                    for a, b in pairwise(cuts)]
+            lines[i][5] = [x for a, own in zip(cuts, [*more, []]) for x in (a, *own)]
+    for at, words, starts, ends, dense, cuts in lines:
+        n, scale, blank = len(words), dense or 1, "" if dense else " "
+        if n >= min_line_words * scale or len(cuts) == 2:
+            yield at + starts[0], at + ends[-1], -(n // scale), blank.join(words).lower()
+        if len(cuts) > 2:
+            for a, b in pairwise(cuts):
+                yield at + starts[a], at + ends[b - 1], (b - a) // scale, blank.join(words[a:b]).lower()
 
 
 def spans_to_cut(found: list[tuple[int, int, int]], text: str, min_words: int, min_line_words: int) -> list[tuple[int, int]]:
