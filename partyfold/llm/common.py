@@ -77,6 +77,14 @@ def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.Recor
         yield batch.slice(a, b - a)
 
 
+def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The slices of all batches; what a batch took is given back before the next one comes."""
+    for batch in batches:
+        yield from slices(batch)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 def arrow_rows(df: DataFrame, keep: list[str], inputs: list[str], out: str,
                make: Callable[[], Callable[..., list]]) -> DataFrame:
     """Map rows in Arrow batches (cut by ``slices``): ``make()`` runs once per task and returns a function
@@ -88,7 +96,7 @@ def arrow_rows(df: DataFrame, keep: list[str], inputs: list[str], out: str,
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = None
-        for b in (piece for batch in batches for piece in slices(batch)):
+        for b in pieces(batches):
             f = f or make()
             made = f(*[b.column(wanted.index(c)) for c in inputs])
             yield pa.RecordBatch.from_arrays(

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, picked, slices, small_side, stored, table
+from .common import arrow_rows, picked, pieces, small_side, stored, table
 
 BUCKETS = 1 << 16
 VIEWS = ("text", "meta")
@@ -180,7 +180,7 @@ def surest(free: DataFrame, odds: dict[str, np.ndarray], platt: dict[str, np.nda
         of, fits, known = sent.value
         views = Views(of["text"], of["meta"])
         best: dict[tuple[str, int], dict] = {(v, label): {} for v in VIEWS for label in (0, 1)}
-        for b in (piece for batch in batches for piece in slices(batch)):
+        for b in pieces(batches):
             rows = list(zip(*(b.column(i).to_pylist() for i in range(5)), strict=True))
             scores = {"text": [views.text_score(r[1]) for r in rows], "meta": [views.meta_score(*r[2:], r[1]) for r in rows]}
             for view, other in (VIEWS, VIEWS[::-1]):

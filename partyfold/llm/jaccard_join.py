@@ -47,12 +47,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, free_names, picked, slices, small_side, stored, table, utf8
+from .common import arrow_rows, free_names, picked, pieces, small_side, stored, table, utf8
 from .components import components
 
 #: Words whose hash a task remembers, n-grams in a block that counts them, how often a block
 #: must hold one to report it, and how many reported ones are ordered last.
-REMEMBERED, BLOCK, FREQUENT, LAST = 200_000, 2_000_000, 2, 200_000
+REMEMBERED, BLOCK, FREQUENT, LAST = 100_000, 2_000_000, 2, 200_000
 #: What a set in a block takes besides its n-grams, in n-grams.
 OBJECT = 32
 #: Largest size whose subsets may be listed, and what scanning a posting costs against
@@ -120,7 +120,7 @@ def _digests(rows: DataFrame, n: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.nulls(len(grams), ids_type), pa.nulls(len(grams), pa.binary()),
                                                pa.array(grams), pa.array(counts)], names=schema.names)
 
-        for b in (piece for batch in batches for piece in slices(batch)):
+        for b in pieces(batches):
             ids_type = b.column(0).type
             nodes, sizes = [], []
             for text in utf8(b.column(1)):
@@ -296,7 +296,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num
             .join(sets.select(F.col("node").alias("b"), F.col("grams").alias("y")), "b"))
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in (piece for batch in batches for piece in slices(batch)):
+        for b in pieces(batches):
             keep = []
             for x, y in zip(b.column(2), b.column(3), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))

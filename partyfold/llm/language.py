@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, picked, table
+from .common import arrow_rows, picked, pieces, table
 
 ORDERS = (1, 2, 3)
 UNDETERMINED = "und"
@@ -118,7 +118,7 @@ def train(rows: DataFrame, sample: int, buckets: int, max_languages: int, smooth
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = np.zeros((len(langs), buckets), np.int64)
-        for b in batches:
+        for b in pieces(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 codes = _codes(text)
                 at = sums[langs.index(lang)]
@@ -169,7 +169,7 @@ def recognised(docs: DataFrame, min_score: float = 0.5, sample: int = 4000, buck
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(*sent.value)
-        for b in batches:
+        for b in pieces(batches):
             lang, score = scorer.score(b.column(names.index(text_col)).to_pylist())
             given = b.column(names.index(lang_col)).to_pylist()
             filled = pa.array([g if g is not None else x for g, x in zip(given, lang, strict=True)], pa.string())

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, picked, stored, table
+from .common import arrow_rows, picked, pieces, stored, table
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -221,7 +221,7 @@ def redacted(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = names.index(text_col)
-        for b in batches:
+        for b in pieces(batches):
             texts = []
             for t in b.column(at).to_pylist():
                 if t:
