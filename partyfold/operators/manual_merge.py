@@ -15,6 +15,7 @@ from ..functions import fixed
 from ..functions.fixed import MERGE_COLUMNS, STRIPPED, ZERO_IS_GAP
 from ..sources.tables import counted
 from .master import delete_keys, merge_update
+from .skew import grown
 
 INSTRUCTION_SCHEMA = "survivor string, absorbed string"
 _ENDS = f"^[{STRIPPED}]+|[{STRIPPED}]+$"
@@ -46,7 +47,7 @@ def check_instructions(instr: DataFrame, m_company: DataFrame) -> DataFrame:
     codes = m_company.select(stripped("company_code").alias("code")).filter(F.col("code").isNotNull())
     out = []
     for col in ("survivor", "absorbed"):
-        bad = (ins.select(F.col(col).alias("code")).join(codes, "code", "left_anti")
+        bad = (ins.select(F.col(col).alias("code")).join(grown(codes), "code", "left_anti")
                .select(F.lit(col).alias("field"), "code", F.lit("unknown_code").alias("problem")))
         out.append(bad)
     out.append(ins.filter(F.col("survivor") == F.col("absorbed"))
@@ -104,7 +105,7 @@ def apply_merge(instr: DataFrame, m_company: DataFrame) -> DataFrame:
 def orphan_persons(m_person: DataFrame, m_company: DataFrame) -> DataFrame:
     """Persons whose company_code no longer exists (E15 keeps them)."""
     codes = m_company.select("company_code")
-    return m_person.filter(F.col("company_code").isNotNull()).join(codes, "company_code", "left_anti")
+    return m_person.filter(F.col("company_code").isNotNull()).join(grown(codes), "company_code", "left_anti")
 
 
 class BadInstructions(ValueError):

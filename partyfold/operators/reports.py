@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import fixed
-from .skew import salted_join
+from .skew import grown, salted_join
 
 COMPANY_NAME_FORM = "株式会社"
 
@@ -95,13 +95,13 @@ def near_names(m_company: DataFrame, min_chars: int = NEAR_CHARS) -> DataFrame:
         i -> concat(substring(candidate_key, 1, i - 1), substring(candidate_key, i + 1)))) AS (place, rest)""")
     alike = ["digits", "place", "rest"]
     typed = (rests.groupBy(*alike).agg((F.count(F.lit(1)) - 1).alias("n"), F.min("code").alias("least")).filter("n > 0"))
-    wrong = rests.join(typed, alike).select("candidate_key", "n", "least")
+    wrong = rests.join(grown(typed), alike).select("candidate_key", "n", "least")
     whole = names.select(F.col("candidate_key").alias("rest"), F.col("code").alias("short_code"), "digits")
-    lacking = rests.select("candidate_key", "code", "digits", "rest").distinct().join(whole, ["rest", "digits"])
+    lacking = rests.select("candidate_key", "code", "digits", "rest").distinct().join(grown(whole), ["rest", "digits"])
     links = (wrong.unionByName(lacking.select("candidate_key", F.lit(1).alias("n"), F.col("short_code").alias("least")))
              .unionByName(lacking.select(F.col("rest").alias("candidate_key"), F.lit(1).alias("n"), F.col("code").alias("least"))))
     stats = (links.groupBy("candidate_key").agg((F.sum("n") + 1).alias("group_size"), F.min("least").alias("least"))
-             .join(names.select("candidate_key", "code"), "candidate_key")
+             .join(grown(names.select("candidate_key", "code")), "candidate_key")
              .select("candidate_key", "group_size", F.least("least", "code").alias("anchor_code")))
     return (salted_join(rows.filter("candidate_key <> ''"), stats, ["candidate_key"], salt_from=["company_code"])
             .select(F.lit("near_name").alias("reason"), "candidate_key", "anchor_code", "company_code", "company_name",
@@ -147,7 +147,7 @@ def person_list(m_person: DataFrame, m_company: DataFrame, name_contains: str |
     if name_contains is not None:
         persons = persons.filter(F.col("name").contains(name_contains))
     comp = m_company.select("company_code", "company_name")
-    joined = persons.filter(F.col("company_code").isNotNull()).join(comp, "company_code", "left")
+    joined = persons.filter(F.col("company_code").isNotNull()).join(grown(comp), "company_code", "left")
     alone = persons.filter(F.col("company_code").isNull()).withColumn("company_name", F.lit(None).cast("string"))
     out = joined.unionByName(alone)
     if company_contains is not None:

@@ -15,6 +15,7 @@ from partyfold.operators import dedupe as dd
 from partyfold.operators import manual_merge as mm
 from partyfold.operators import master as ms
 from partyfold.operators import match as mt
+from partyfold.operators import reports as rp
 from partyfold.operators.keyindex import KeptIndex, delta
 from partyfold.plans import pipeline as pl
 from partyfold.plans import queries as Q
@@ -202,3 +203,27 @@ def test_single_key_filter_changes_nothing(spark, spread):
     enter = {r[0] for r in data if sum(bool(v) and count[c, v] > 1 for c, v in zip(columns, r[1:5])) > 1}
     assert {r.seq for r in dd.sharing_rows(df, columns).collect()} == enter
     assert dd.filter_pays(df, columns) == (spread == 400)
+
+
+def test_growing_sides_are_never_broadcast(spark, conf):
+    """Whatever the planner makes of their size (here all of them are tiny)."""
+    d, now = SMALL, Q.now()
+    masters = Q._masters(spark, d)
+    std = pl.snapshot(Q._std(spark, d, "sales"))
+    comp = pl.upsert_company("sales", std, masters.company, conf, now, index=False)
+    person = pl.upsert_person(std, comp.attached, masters.person, now, index=False)
+    shared = dd.sharing_rows(person.view, dd.key_columns(fixed.PERSON_COMBINATIONS))
+    plans = {
+        "attached": comp.attached, "companies": comp.master, "persons": person.master, "inserts": person.inserts,
+        "matches": mt.match_index(person.deduped, masters.person.index, fixed.PERSON_COMBINATIONS),
+        "current": person.kept.current(person.updates.select("person_id").distinct(), ["name"]), "shared": shared,
+        "dedupe": dd.dedupe(person.view, fixed.PERSON_COMBINATIONS, single_keys=True),
+        "names": rp.candidates_name(comp.master), "addresses": rp.candidates_address(comp.master),
+        "domains": rp.candidates_domain(comp.master), "list": rp.person_list(person.master, comp.master),
+        "orphans": mm.orphan_persons(person.master, comp.master)}
+    for name, df in plans.items():
+        df.collect()                       # the adaptive plan as it was run
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan, name
+        # only the offsets of a global numbering, one row a partition, are broadcast
+        assert not re.search(r"BroadcastHashJoin \[(?!_part_id)", plan), name
