@@ -227,3 +227,10 @@ def test_growing_sides_are_never_broadcast(spark, conf):
         assert "SortMergeJoin" in plan, name
         # only the offsets of a global numbering, one row a partition, are broadcast
         assert not re.search(r"BroadcastHashJoin \[(?!_part_id)", plan), name
+
+
+def test_upserts_read_a_standardised_batch_once_made(spark):
+    """The text rules of a feed run once, not again in each step that reads the batch."""
+    df = Q.registry()["person_view_sales"](spark, SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "normalized_personal_name" in plan and "regexp_replace" not in plan
