@@ -194,29 +194,32 @@ def text_units(rows: DataFrame, min_line_words: int) -> DataFrame:
     """(doc_id, h1, h2, again, span): units of all texts. h2 holds the last 32 bits of the
     digest above 32 bits of the text's own hash; span holds the start (28 bits), the length in characters
     (26) and the words (8 and a sign; more count as the most); again marks occurrences after the first
-    in one text."""
+    in one text. Units are read twice, by the digests' groups and by the join, and making them costs far more
+    than storing them: they are stored, as arrays of a text (its hash stands there once)."""
     def make():
         def run(text):
-            h1_of, h2_of, again_of, span_of = [], [], [], []
+            key_of, h1_of, d_of, again_of, span_of = [], [], [], [], []
             for t in text.to_pylist():
-                h1, h2, again, span, seen = [], [], [], [], set()
-                key = _texts_key(t) if t else 0
+                h1, tail, again, span, seen = [], [], [], [], set()
+                key_of.append(_texts_key(t) if t else 0)
                 for start, end, words, unit in units(t, min_line_words) if t else ():
                     d = xxhash.xxh3_128_intdigest(unit.encode()) >> 32
                     h1.append((d >> 32) - (1 << 63))
-                    h2.append(((d & 0xFFFFFFFF) << 32 | key) - (1 << 63))
+                    tail.append((d & 0xFFFFFFFF) - (1 << 31))
                     again.append(d in seen)
                     span.append(packed(start, end, words))
                     seen.add(d)
-                for to, x in ((h1_of, h1), (h2_of, h2), (again_of, again), (span_of, span)):
+                for to, x in ((h1_of, h1), (d_of, tail), (again_of, again), (span_of, span)):
                     to.append(x)
             longs = pa.list_(pa.int64())
-            return [pa.array(h1_of, longs), pa.array(h2_of, longs), pa.array(again_of, pa.list_(pa.bool_())), pa.array(span_of, longs)]
+            return [pa.array(key_of, pa.int64()), pa.array(h1_of, longs), pa.array(d_of, pa.list_(pa.int32())), pa.array(again_of, pa.list_(pa.bool_())), pa.array(span_of, longs)]
         return run
 
-    found = arrow_rows(rows, ["doc_id"], ["text"], "h1 array<long>, h2 array<long>, again array<boolean>, span array<long>", make)
-    return (found.select("doc_id", F.explode(F.arrays_zip("h1", "h2", "again", "span")).alias("u"))
-            .select("doc_id", F.col("u.h1").alias("h1"), F.col("u.h2").alias("h2"), F.col("u.again").alias("again"), F.col("u.span").alias("span")))
+    found = stored(arrow_rows(rows, ["doc_id"], ["text"], "key long, h1 array<long>, d array<int>, again array<boolean>, span array<long>", make),
+                   "units", compression="zstd")
+    return (found.select("doc_id", "key", F.explode(F.arrays_zip("h1", "d", "again", "span")).alias("u"))
+            .select("doc_id", F.col("u.h1").alias("h1"), F.shiftleft(F.col("u.d").cast("long"), 32).bitwiseOR(F.col("key")).alias("h2"),
+                    F.col("u.again").alias("again"), F.col("u.span").alias("span")))
 
 
 def repeated_spans(rows: DataFrame, min_line_words: int) -> DataFrame:

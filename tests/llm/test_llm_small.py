@@ -535,6 +535,12 @@ def test_line_dedup_finds_repeats_inside_sentences(spark):
     assert len(got[5].text) < 50 and got[5].text[0] == "\u4e19" and got[5].text.endswith("\u4e01\u620a")
 
 
+def test_line_dedup_makes_units_once(small):
+    """The groups of the digests and the join that finds their places read stored units."""
+    plan = line_dedup.repeated_spans(small.select("doc_id", "text"), 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "MapInArrow" not in plan
+
+
 def test_line_dedup_without_counts_lines():
     text = "one two\nthree four\nfive six\nseven"
     assert line_dedup.without(text, [(8, 27)]) == "one two\nseven"
