@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from .common import arrow_rows, picked, table
 
 #: Pre-tokens whose ids a task remembers before it starts afresh.
-REMEMBERED = 500_000
+REMEMBERED = 150_000
 #: Pre-tokens that are looked up together; what is new among them is encoded in one call.
 GROUP = 200_000
 

@@ -7,10 +7,11 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from partyfold.llm import (bpe, components, cotraining, html_text, jaccard_join, language, line_dedup, mixing,
+from partyfold.llm import (bpe, common, components, cotraining, html_text, jaccard_join, language, line_dedup, mixing,
                            nearest, quality_rules, secrets)
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -258,6 +259,28 @@ def test_bpe_equals_tiktoken(small, edge):
     assert bpe.round_trip(empty_like(edge), path, pattern).count() == 0
 
 
+def test_pieces_return_freed_memory():
+    """What a stage freed is not kept by the worker's C library while the next one runs."""
+    held = lambda: int(re.search(r"Pss_Anon:\s+(\d+)", open("/proc/self/smaps_rollup").read())[1]) // 1024
+    many = [bytes(2000) for _ in range(100_000)]
+    last = bytes(2000)                                    # above the others in the heap, so it cannot shrink
+    del many
+    before = held()
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None])], names=["text"])
+    assert [b.num_rows for b in common.pieces(iter([batch]))] == [2] and last
+    assert held() < before - 100
+
+
+def test_bpe_remembers_few_and_encodes_alike(monkeypatch):
+    path, pattern = bpe.vocabulary()
+    texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)] + [None, ""]
+    codec = lambda: bpe.Codec(bpe.model_bytes(bpe.read_ranks(path)), pattern)
+    expected = codec().encode(texts)
+    monkeypatch.setattr(bpe, "REMEMBERED", 50)
+    monkeypatch.setattr(bpe, "GROUP", 100)
+    assert codec().encode(texts) == expected
+
+
 def test_bpe_pattern_is_the_public_one():
     assert bpe.vocabulary()[1] == bpe.PATTERN_OF_QUICK
 
