@@ -22,9 +22,10 @@ members of different components, so what copies have in common is compared once.
 that can link is in one component already or is verified, so no link is lost.
 
 Scale: texts are hashed in tasks (three scans, the last one only for candidates); prefixes
-are stored once, and what is shuffled is the prefix postings, the pairs and the candidates'
-sets. Lists of frequent n-grams (a bounded table) get their hub by an aggregate that
-combines before the shuffle and a broadcast of at most that table; members that are copies
+are stored once, and what is shuffled is the prefix postings (n-gram, row and place; the
+digests of classes only for lists of two rows or more), the pairs and the candidates' sets.
+Lists of frequent n-grams (a bounded table) get their hub by an aggregate that
+combines before the shuffle and a broadcast of at most that table; their members that are copies
 are listed once per task. Joins can be split by AQE. Nothing that grows with the corpus
 reaches the driver.
 
@@ -160,10 +161,9 @@ def boundary(histogram: dict[int, int], num: int, den: int) -> int:
     return best
 
 
-def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, frequent: tuple[np.ndarray, np.ndarray]) -> tuple[DataFrame, DataFrame]:
-    """Prefixes (node, n, grams, places, rare), and the same as postings (gram, node, n, place,
-    central, often): n-grams of prefixes with their place, and subsets with place = -their size.
-    central counts the rare n-grams of a heavy set's prefix."""
+def _prefixes(rows: DataFrame, n: int, num: int, den: int, light: int, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """Prefixes (row, node, n, grams, places, rare): n-grams with their place, and subsets with place =
+    -their size. row is the number of the stored row; a class has one for each task that met it."""
     sent = rows.sparkSession.sparkContext.broadcast(frequent)
     reach = -(-num * (light + 1) // den)
 
@@ -216,11 +216,7 @@ def _postings(rows: DataFrame, n: int, num: int, den: int, light: int, frequent:
         return run
 
     found = arrow_rows(rows, [], ["text"], "node binary, n int, grams array<long>, places array<int>, rare int", make)
-    found = stored(found.filter(F.size("grams") > 0), "prefixes")
-    return found, (found.select("node", "n", "rare", F.explode(F.arrays_zip("grams", "places")).alias("g"))
-            .select(F.col("g.grams").alias("gram"), "node", "n", F.col("g.places").alias("place"),
-                    F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)).alias("central"),
-                    (F.col("g.places") >= F.col("rare")).alias("often")))
+    return stored(found.filter(F.size("grams") > 0).withColumn("row", F.monotonically_increasing_id()), "prefixes")
 
 
 def _tau(na: Column, nb: Column, num: int, den: int) -> Column:
@@ -258,14 +254,29 @@ def _plausible(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> Dat
     return both.filter(F.col("proved") | (shared >= c)).select("a", "b")
 
 
-def _with_hub(postings: DataFrame) -> DataFrame:
-    """Postings of lists with two classes or more, with the hub of their list."""
-    member = F.struct("central", "n", "node", "place")
+def _with_hub(prefixes: DataFrame, light: int) -> DataFrame:
+    """Postings (gram, node, n, place, central, often) of lists with two classes or more, with the hub
+    of their list. central counts the rare n-grams of a heavy set's prefix.
+
+    Most n-grams stand in one prefix only. To find those, the numbers of rows are dealt out, which
+    take a few bytes however many partitions there are; the digests and counts of classes
+    follow for the lists of two rows or more, from one row of each class."""
+    own = prefixes.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("rare").alias("rare"))
+    own = own.withColumn("central", F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)))
+    entries = (prefixes.select("row", "node", "n", "rare", F.explode(F.arrays_zip("grams", "places")).alias("g"))
+               .select(F.col("g.grams").alias("gram"), "row", "node", "n", "rare", F.col("g.places").alias("place")))
     w = Window.partitionBy("gram")
-    rare = (postings.filter("not often")
+    met = (entries.filter("place < rare").select("gram", "row", "place")
+           .withColumns({"least": F.min("row").over(w), "most": F.max("row").over(w)})
+           .filter("least != most").select("gram", "row", "place"))
+    member = F.struct("central", "n", "node", "place")
+    # dealt out before the window, which would make its struct first and send both
+    rare = (met.join(own, "row").select("gram", "node", "n", "place", "central", F.lit(False).alias("often")).repartition("gram")
             .withColumns({"hub": F.min(member).over(w), "least": F.min("node").over(w), "most": F.max("node").over(w)})
             .filter("least != most").drop("least", "most"))
-    often = postings.filter("often")
+    often = (entries.filter("place >= rare")
+             .select("gram", "node", "n", "place", F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)).alias("central"),
+                     F.lit(True).alias("often")))
     hubs = (often.groupBy(F.col("gram").alias("_gram"))
             .agg(F.min(member).alias("hub"), F.min("node").alias("least"), F.max("node").alias("most"))
             .filter("least != most").select("_gram", "hub"))
@@ -325,8 +336,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     frequent = grams[by_gram], np.log2(np.maximum(counts, 1)).astype(np.int8)[by_gram]
     classes = sized.groupBy("node").agg(F.min("doc_id").alias("least_id"))
 
-    prefixes, postings = _postings(rows, n, num, den, light, frequent)
-    lists = stored(_with_hub(postings), "lists")
+    prefixes = _prefixes(rows, n, num, den, light, frequent)
+    lists = stored(_with_hub(prefixes, light), "lists")
 
     with_hubs = lists.filter("node != hub.node").select(F.struct("n", "place", "node").alias("x"), "hub")
     stars = stored(_meetings(with_hubs, num, den, "x", "hub"), "stars")

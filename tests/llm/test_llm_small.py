@@ -339,6 +339,22 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, n, num, den):
     assert got == plain_components(rows, n, num, den)
 
 
+def test_jaccard_lists_name_a_class_once(spark):
+    rows = [(k, t) for _ in range(4) for k, t in near_copies(6, 6, 4, (9, 40, 90))]        # exact copies in every task
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    light, none = 10, (np.zeros(0, np.uint64), np.zeros(0, np.int8))
+    prefixes = jaccard_join._prefixes(df, 5, 80, 100, light, none)
+    lists = jaccard_join._with_hub(prefixes, light)
+    assert prefixes.count() > prefixes.select("node").distinct().count()
+    assert lists.count() == lists.select("gram", "node", "place").distinct().count() > 0
+    assert lists.groupBy("gram").agg(F.countDistinct("node").alias("c"), F.countDistinct("hub").alias("h")).filter("c < 2 or h != 1").count() == 0
+    plain = {}
+    for r in prefixes.collect():
+        for g in r.grams:
+            plain.setdefault(g, set()).add(bytes(r.node))
+    assert {(r.gram, bytes(r.node)) for r in lists.collect()} == {(g, x) for g, nodes in plain.items() if len(nodes) > 1 for x in nodes}
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.boundary({}, 85, 100) == jaccard_join.MOST_LIGHT
     many = {s: 1000 for s in range(1, 25)}
