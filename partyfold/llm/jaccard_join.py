@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, free_names, picked, pieces, small_side, stored, table, utf8
+from .common import arrow_rows, free_names, mapped, picked, pieces, small_side, stored, table, utf8
 from .components import components
 
 #: Words whose hash a task remembers, n-grams in a block that counts them, how often a block
@@ -141,7 +141,7 @@ def _digests(rows: DataFrame, n: int) -> DataFrame:
         if block:
             yield frequent()
 
-    return rows.select("doc_id", "text").mapInArrow(run, schema)
+    return mapped(rows.select("doc_id", "text"), run, schema)
 
 
 def deletions(size: int, num: int, den: int) -> int:
@@ -316,7 +316,7 @@ def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num
             kept = b.filter(pa.array(keep, pa.bool_()))
             yield pa.RecordBatch.from_arrays([kept.column(0), kept.column(1)], names=["a", "b"])
 
-    return both.select("a", "b", "x", "y").mapInArrow(check, "a binary, b binary")
+    return mapped(both.select("a", "b", "x", "y"), check, "a binary, b binary")
 
 
 def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str = "doc_id",

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, picked, pieces, table
+from .common import arrow_rows, mapped, picked, pieces, table
 
 ORDERS = (1, 2, 3)
 UNDETERMINED = "und"
@@ -128,7 +128,7 @@ def train(rows: DataFrame, sample: int, buckets: int, max_languages: int, smooth
         of, bucket = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(of.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(sums[of, bucket])], names=["lang", "bucket", "n"])
 
-    sums = (picked_rows.mapInArrow(count, "lang int, bucket int, n long")
+    sums = (mapped(picked_rows, count, "lang int, bucket int, n long")
             .groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow())  # at most languages x buckets
     counts = np.zeros((buckets, len(langs)))
     counts[sums["bucket"].to_numpy(), sums["lang"].to_numpy()] = sums["n"].to_numpy()
@@ -177,7 +177,7 @@ def recognised(docs: DataFrame, min_score: float = 0.5, sample: int = 4000, buck
             keep = [x != UNDETERMINED and s >= min_score for x, s in zip(lang, score, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return mapped(docs, run, docs.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

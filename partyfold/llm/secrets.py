@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, picked, pieces, stored, table
+from .common import arrow_rows, mapped, picked, pieces, stored, table
 
 KINDS = ("assign", "access", "hex", "random")
 
@@ -232,7 +232,7 @@ def redacted(docs: DataFrame, fdr: float = 0.01, alpha: float = 0.001, text_col:
                 texts.append(t)
             columns = [pa.array(texts, pa.string()) if i == at else b.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    return docs.mapInArrow(run, T.StructType(docs.schema.fields))
+    return mapped(docs, run, T.StructType(docs.schema.fields))
 
 
 def merged(spans) -> list[tuple[int, int]]:

@@ -271,6 +271,23 @@ def test_pieces_return_freed_memory():
     assert held() < before - 100
 
 
+def test_batches_to_python_are_cut_by_bytes(spark):
+    """Many long rows reach Python in batches of a few MB, also where a stage maps whole rows."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], names=["n", "size"])
+
+    rows = spark.range(0, 8000, 1, 1).select("id", F.expr("repeat(cast(id % 10 as string), 2000)").alias("text"))
+    got = common.mapped(rows, sizes, "n long, size long").collect()
+    assert sum(r.n for r in got) == 8000 and max(r.size for r in got) < common.BATCH_BYTES + 10_000
+    spark.conf.set(common.BATCH_LIMIT, "1000000")                     # a session's own limit stays
+    try:
+        got = common.mapped(rows, sizes, "n long, size long").collect()
+        assert sum(r.n for r in got) == 8000 and max(r.size for r in got) < 1_010_000
+    finally:
+        spark.conf.unset(common.BATCH_LIMIT)
+
+
 def test_bpe_remembers_few_and_encodes_alike(monkeypatch):
     path, pattern = bpe.vocabulary()
     texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)] + [None, ""]
