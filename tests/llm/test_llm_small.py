@@ -2,8 +2,10 @@
 
 import hashlib
 import math
+import pathlib
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -288,6 +290,23 @@ def test_batches_to_python_are_cut_by_bytes(spark):
         spark.conf.unset(common.BATCH_LIMIT)
 
 
+def test_stored_leaves_no_shuffle_files(spark):
+    """The write's shuffle files go with its end, and the frame can be read again."""
+    shuffled = lambda: {p.name for p in pathlib.Path(local).rglob("shuffle_*.data")}
+    local = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()[0]
+    local = pathlib.Path(local).parent
+    before = spark.conf.get(common.DROP_SHUFFLES)
+    df = spark.range(100_000).groupBy((F.col("id") % 5000).alias("k")).agg(F.collect_list("id").alias("ids"))
+    old = shuffled()
+    out = common.stored(df, "test-shuffles")
+    for _ in range(50):                                               # Spark drops them in the background
+        if not shuffled() - old:
+            break
+        time.sleep(0.2)
+    assert not shuffled() - old
+    assert out.count() == df.count() == 5000 and spark.conf.get(common.DROP_SHUFFLES) == before
+
+
 def test_bpe_remembers_few_and_encodes_alike(monkeypatch):
     path, pattern = bpe.vocabulary()
     texts = [" ".join(f"w{i}x{j}" for j in range(300)) for i in range(20)] + [None, ""]
