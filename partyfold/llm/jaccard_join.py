@@ -17,13 +17,15 @@ costs as much as posting and scanning lists.
 No list is expanded into all pairs. Round one pairs each member of a list with one hub, the
 member with the fewest rare n-grams in its prefix (the same for all lists of a family of
 copies, and the one nearest to all of them); the pairs are verified on full sets and give
-components. Round two takes the lists that still hold several components and pairs only
-members of different components, so what copies have in common is compared once. Every pair
-that can link is in one component already or is verified, so no link is lost.
+components. Round two takes the lists that still hold several components besides the hub's pairs
+(so three classes or more) and pairs only members of different components, so what copies have in
+common is compared once. Every pair that can link is in one component already, was judged with
+its hub, or is verified, so no link is lost.
 
 Scale: texts are hashed in tasks (three scans, the last one only for candidates); prefixes
 are stored once, and what is shuffled is the prefix postings (n-gram, row and place; the
 digests of classes only for lists of two rows or more), the pairs and the candidates' sets.
+The postings are dealt out in ``PARTS`` turns by n-gram, so that disk holds one part of that shuffle.
 Lists of frequent n-grams (a bounded table) get their hub by an aggregate that
 combines before the shuffle and a broadcast of at most that table; their members that are copies
 are listed once per task. Joins can be split by AQE. Nothing that grows with the corpus
@@ -48,7 +50,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import arrow_rows, free_names, mapped, picked, pieces, small_side, stored, table, utf8
+from .common import arrow_rows, free_names, mapped, picked, pieces, small_side, stored, stored_in_turn, table, utf8
 from .components import components
 
 #: Words whose hash a task remembers, n-grams in a block that counts them, how often a block
@@ -59,6 +61,8 @@ OBJECT = 32
 #: Largest size whose subsets may be listed, and what scanning a posting costs against
 #: writing one key.
 MOST_LIGHT, SCAN_COST = 24, 4
+#: Parts of the n-grams whose postings are shuffled one after another.
+PARTS = 4
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93,
                  0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
@@ -254,17 +258,25 @@ def _plausible(pairs: DataFrame, prefixes: DataFrame, num: int, den: int) -> Dat
     return both.filter(F.col("proved") | (shared >= c)).select("a", "b")
 
 
-def _with_hub(prefixes: DataFrame, light: int) -> DataFrame:
-    """Postings (gram, node, n, place, central, often) of lists with two classes or more, with the hub
-    of their list. central counts the rare n-grams of a heavy set's prefix.
+def _classes(prefixes: DataFrame, light: int) -> DataFrame:
+    """(row, node, n, central) of one row of each class. central counts the rare n-grams of a heavy set's prefix."""
+    own = prefixes.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("rare").alias("rare"))
+    return own.select("row", "node", "n", F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)).alias("central"))
+
+
+def _with_hub(prefixes: DataFrame, light: int, own: DataFrame | None = None, part: int | None = None) -> DataFrame:
+    """Postings (gram, node, n, place, central, often, more) of lists with two classes or more, with the hub
+    of their list; more is false where two are all. own are the ``_classes``; a part has the n-grams of one
+    remainder by ``PARTS``.
 
     Most n-grams stand in one prefix only. To find those, the numbers of rows are dealt out, which
     take a few bytes however many partitions there are; the digests and counts of classes
     follow for the lists of two rows or more, from one row of each class."""
-    own = prefixes.groupBy("node").agg(F.min("row").alias("row"), F.first("n").alias("n"), F.first("rare").alias("rare"))
-    own = own.withColumn("central", F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)))
+    own = _classes(prefixes, light) if own is None else own
     entries = (prefixes.select("row", "node", "n", "rare", F.explode(F.arrays_zip("grams", "places")).alias("g"))
                .select(F.col("g.grams").alias("gram"), "row", "node", "n", "rare", F.col("g.places").alias("place")))
+    if part is not None:
+        entries = entries.filter(F.pmod("gram", F.lit(PARTS)) == part)
     w = Window.partitionBy("gram")
     met = (entries.filter("place < rare").select("gram", "row", "place")
            .withColumns({"least": F.min("row").over(w), "most": F.max("row").over(w)})
@@ -272,7 +284,8 @@ def _with_hub(prefixes: DataFrame, light: int) -> DataFrame:
     member = F.struct("central", "n", "node", "place")
     # dealt out before the window, which would make its struct first and send both
     rare = (met.join(own, "row").select("gram", "node", "n", "place", "central", F.lit(False).alias("often")).repartition("gram")
-            .withColumns({"hub": F.min(member).over(w), "least": F.min("node").over(w), "most": F.max("node").over(w)})
+            .withColumns({"hub": F.min(member).over(w), "least": F.min("node").over(w), "most": F.max("node").over(w),
+                          "more": F.count(F.lit(1)).over(w) > 2})
             .filter("least != most").drop("least", "most"))
     often = (entries.filter("place >= rare")
              .select("gram", "node", "n", "place", F.when(F.col("n") > light, F.col("rare")).otherwise(F.lit(0)).alias("central"),
@@ -281,8 +294,26 @@ def _with_hub(prefixes: DataFrame, light: int) -> DataFrame:
             .agg(F.min(member).alias("hub"), F.min("node").alias("least"), F.max("node").alias("most"))
             .filter("least != most").select("_gram", "hub"))
     # at most LAST rows: the table of frequent n-grams is that long
-    often = often.join(F.broadcast(hubs), F.col("gram") == F.col("_gram")).drop("_gram")
-    return rare.unionByName(often)
+    often = often.join(F.broadcast(hubs), F.col("gram") == F.col("_gram")).drop("_gram").withColumn("more", F.lit(True))
+    return rare.unionByName(often).select("gram", "node", "n", "place", "central", "often", "more", "hub")
+
+
+def _still_mixed(lists: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings (gram, node, n, place, root, hub_root) of the lists that hold several components besides
+    their hub, without the hub: round one has judged its pairs, by the same sizes and places."""
+    members = (lists.filter("more and place >= 0")
+               .select("gram", "node", "n", "place", "often", (F.col("node") == F.col("hub.node")).alias("is_hub"))
+               .join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    root, other = F.when(F.col("is_hub"), F.col("root")), F.when(~F.col("is_hub"), F.col("root"))
+    found = {"hub_root": F.max(root), "least": F.min(other), "most": F.max(other)}
+    w = Window.partitionBy("gram")
+    rare = members.filter("not often").withColumns({k: c.over(w) for k, c in found.items()}).filter("least != most")
+    often = members.filter("often")
+    hubs = often.groupBy(F.col("gram").alias("_gram")).agg(*[c.alias(k) for k, c in found.items()]).filter("least != most")
+    # at most LAST rows, as above
+    often = often.join(F.broadcast(hubs), F.col("gram") == F.col("_gram"))
+    wanted = ["gram", "node", "n", "place", "root", "hub_root"]
+    return rare.filter("not is_hub").select(*wanted).union(often.filter("not is_hub").select(*wanted))
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, classes: DataFrame, n: int, num: int, den: int) -> DataFrame:
@@ -337,7 +368,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     classes = sized.groupBy("node").agg(F.min("doc_id").alias("least_id"))
 
     prefixes = _prefixes(rows, n, num, den, light, frequent)
-    lists = stored(_with_hub(prefixes, light), "lists")
+    numbered = stored(_classes(prefixes, light), "classes")
+    lists = stored_in_turn([_with_hub(prefixes, light, numbered, part) for part in range(PARTS)], "lists")
 
     with_hubs = lists.filter("node != hub.node").select(F.struct("n", "place", "node").alias("x"), "hub")
     stars = stored(_meetings(with_hubs, num, den, "x", "hub"), "stars")
@@ -345,13 +377,8 @@ def join(docs: DataFrame, n: int = 5, num: int = 80, den: int = 100, id_col: str
     links = stored(_verified(plausible, rows, classes, n, num, den), "links-1")
     roots = components(links)
 
-    labelled = (lists.filter("place >= 0").drop("hub").join(roots, "node", "left")
-                .withColumn("root", F.coalesce("root", "node")))
-    hub_root = (labelled.groupBy(F.col("gram").alias("_gram"))
-                .agg(F.min(F.struct("central", "n", "node", "root")).alias("h"), F.min("root").alias("least"), F.max("root").alias("most"))
-                .filter("least != most").select("_gram", F.col("h.root").alias("hub_root")))
-    mixed = stored(labelled.join(hub_root, F.col("gram") == F.col("_gram")).drop("_gram"), "mixed-lists")
-    x, y = mixed.filter("root != hub_root").alias("x"), mixed.alias("y")
+    mixed = stored(_still_mixed(lists, roots), "mixed-lists")
+    x, y = mixed.filter("not root <=> hub_root").alias("x"), mixed.alias("y")
     # two rows of different components that both differ from the hub's meet from both sides: once is enough
     both = x.join(y, (F.col("x.gram") == F.col("y.gram")) & (F.col("x.root") != F.col("y.root"))
                   & ((F.col("y.root") == F.col("y.hub_root")) | (F.col("x.node") < F.col("y.node"))))

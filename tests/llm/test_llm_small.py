@@ -391,6 +391,50 @@ def test_jaccard_lists_name_a_class_once(spark):
     assert {(r.gram, bytes(r.node)) for r in lists.collect()} == {(g, x) for g, nodes in plain.items() if len(nodes) > 1 for x in nodes}
 
 
+@pytest.fixture(scope="module")
+def postings(spark):
+    """Prefixes of families of near copies that share some words, with most n-grams called frequent."""
+    rows = [(k, f"{t} these words stand in all of them {'at the end' if k % 2 else 'too'}")
+            for _ in range(3) for k, t in near_copies(6, 8, 5, (9, 40, 90))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string").repartition(4)
+    grams = np.unique(np.concatenate([jaccard_join.Shingler(5)(t.encode()) for _, t in rows]))
+    often = grams[grams % np.uint64(10) < 9]
+    return jaccard_join._prefixes(df, 5, 80, 100, 10, (often, np.ones(len(often), np.int8)))
+
+
+def test_jaccard_lists_come_in_parts(spark, postings, monkeypatch):
+    """The parts are the whole, none holds most of it, and the join writes them one after another."""
+    def rows(df):
+        return sorted((r.gram, bytes(r.node), r.n, r.place, r.central, r.often, r.more, bytes(r.hub.node)) for r in df.collect())
+    whole, own = rows(jaccard_join._with_hub(postings, 10)), jaccard_join._classes(postings, 10)
+    parts = [rows(jaccard_join._with_hub(postings, 10, own, p)) for p in range(jaccard_join.PARTS)]
+    assert sorted(x for p in parts for x in p) == whole and {x[5] for x in whole} == {True, False}
+    assert max(len({x[0] for x in p}) for p in parts) < 0.5 * len({x[0] for x in whole})
+    labels, write = [], common.stored
+    monkeypatch.setattr(common, "stored", lambda df, label, **o: labels.append(label) or write(df, label, **o))
+    jaccard_join.join(spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f g")], "doc_id long, text string"))
+    assert labels == ["lists"] * jaccard_join.PARTS
+
+
+def test_jaccard_second_round_leaves_pairs_of_hubs(spark, postings):
+    """Only lists whose members besides the hub are of several components go on, without the hub."""
+    lists = jaccard_join._with_hub(postings, 10)
+    nodes = sorted({bytes(r.node) for r in lists.select("node").distinct().collect()})
+    random.seed(4)
+    root = {x: random.choice(nodes[:3]) if random.random() < 0.6 else x for x in nodes}
+    root |= {x: x for x in nodes[:3]}
+    roots = spark.createDataFrame([(x, y) for x, y in root.items() if x != y], "node binary, root binary")
+    members = {}
+    for r in lists.filter("place >= 0").collect():
+        members.setdefault((r.gram, bytes(r.hub.node)), set()).add((bytes(r.node), r.n, r.place))
+    want = {(g, x, n, p, root[x], root[hub]) for (g, hub), of in members.items()
+            if len({root[x] for x, *_ in of if x != hub}) > 1 for x, n, p in of if x != hub}
+    got = {(r.gram, bytes(r.node), r.n, r.place, bytes(r.root), bytes(r.hub_root))
+           for r in jaccard_join._still_mixed(lists, roots).collect()}
+    assert got == want and 0 < len({x[0] for x in got}) < len(members)
+    assert any(len(of) == 2 for of in members.values()) and lists.filter("often").count() > 0
+
+
 def test_boundary_follows_cost():
     assert jaccard_join.boundary({}, 85, 100) == jaccard_join.MOST_LIGHT
     many = {s: 1000 for s in range(1, 25)}
